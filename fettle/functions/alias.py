@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fettle.functions.text import collapse_segments, normalize_text
+from fettle.functions.text import name_forms
 
 
 @dataclass(frozen=True)
@@ -68,9 +68,9 @@ def review_label(normalized: Column, families: Sequence[AliasFamily] = DEFAULT_F
 
 def accept_alias(c: Column, families: Sequence[AliasFamily] = DEFAULT_FAMILIES) -> Column:
     """True when raw text is an accepted spelling."""
-    return accept_label(normalize_text(collapse_segments(c)), families).isNotNull()
+    return accept_label(name_forms(c)["normalized_value"], families).isNotNull()
 
 
 def review_candidate(c: Column, families: Sequence[AliasFamily] = DEFAULT_FAMILIES) -> Column:
     """True when raw text looks like an alias but needs a person to decide."""
-    return review_label(normalize_text(collapse_segments(c)), families).isNotNull()
+    return review_label(name_forms(c)["normalized_value"], families).isNotNull()

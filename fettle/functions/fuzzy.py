@@ -35,40 +35,56 @@ def common_length(a: Column, b: Column) -> Column:
     return F.coalesce(bind(_chars(b), walk), F.lit(0))
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """Twice the common subsequence over the total length, in percent."""
-    total = F.char_length(a) + F.char_length(b)
-    return F.lit(200.0) * common_length(a, b) / total
+def _pair(a: Column, b: Column) -> Column:
+    return F.struct(a.alias("a"), b.alias("b"))
 
 
-def _best_window(short: Column, long: Column) -> Column:
-    """Best ratio of the short text against every window of the long text.
+def _windows(short: Column, long: Column) -> Column:
+    """Pairs of the short text and each window of the long text.
 
     Windows have the length of the short text and may hang over either end.
     """
-    width, extent = F.char_length(short), F.char_length(long)
-    starts = F.sequence(F.lit(2) - width, extent)
-    windows = F.transform(
-        starts,
-        lambda s: F.substr(long, F.greatest(s, F.lit(1)), width - F.greatest(F.lit(1) - s, F.lit(0))),
+    width, one = F.char_length(short), F.lit(1)
+    return F.transform(
+        F.sequence(F.lit(2) - width, F.char_length(long)),
+        lambda s: _pair(
+            short,
+            F.substr(long, F.greatest(s, one), width - F.greatest(one - s, F.lit(0))),
+        ),
     )
-    return F.array_max(F.transform(windows, lambda w: ratio(short, w)))
 
 
-def partial_ratio(a: Column, b: Column) -> Column:
-    """Best window match of the shorter text in the longer; both ways at equal length."""
+def _percent(pair: Column) -> Column:
+    """Twice the common subsequence over the total length, in percent."""
+    total = F.char_length(pair["a"]) + F.char_length(pair["b"])
+    return F.lit(200.0) * common_length(pair["a"], pair["b"]) / total
+
+
+def ratios(a: Column, b: Column) -> Column:
+    """Struct of the whole ratio and the best ratio of the shorter text in the longer.
+
+    At equal length each text is tried in the other.
+    """
     la, lb = F.char_length(a), F.char_length(b)
-    return (
-        F.when(la < lb, _best_window(a, b))
-        .when(la > lb, _best_window(b, a))
-        .otherwise(F.greatest(_best_window(a, b), _best_window(b, a)))
+    forward, backward = _windows(a, b), _windows(b, a)
+    windows = (
+        F.when(la < lb, forward)
+        .when(la > lb, backward)
+        .otherwise(F.concat(forward, backward))
+    )
+    every = F.transform(F.concat(F.array(_pair(a, b)), windows), _percent)
+    return bind(
+        every,
+        lambda r: F.struct(
+            r[0].alias("whole"), F.array_max(F.slice(r, 2, F.size(r) - 1)).alias("partial")
+        ),
     )
 
 
 def compact_similarity(a: Column, b: Column) -> Column:
     """Mean of both ratios of two compact texts, rounded half to even; 0 if one is empty."""
-    mean = (ratio(a, b) + partial_ratio(a, b)) / 2
-    return F.when((a == "") | (b == ""), F.lit(0)).otherwise(F.bround(mean, 0).cast("int"))
+    mean = bind(ratios(a, b), lambda r: F.bround((r["whole"] + r["partial"]) / 2, 0))
+    return F.when((a == "") | (b == ""), F.lit(0)).otherwise(mean.cast("int"))
 
 
 def similarity(a: Column, b: Column) -> Column:

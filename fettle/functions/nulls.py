@@ -55,9 +55,11 @@ def is_na_token(c: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
     tokens = list(tokens)
     if not tokens:
         return F.lit(False)
-    # The byte length is stored with the string: long cells skip the hash lookup.
+    # One constant instead of one literal per token keeps wide plans small.
+    known = F.split(F.lit("\n".join(tokens)), "\n")
+    # The byte length is stored with the string: long cells are never compared.
     longest = max(len(t.encode()) for t in tokens)
-    return (F.octet_length(c) <= longest) & c.isin(tokens)
+    return (F.octet_length(c) <= longest) & F.array_contains(known, c)
 
 
 def is_missing(c: Column, dtype: T.DataType | None = None) -> Column:

@@ -13,3 +13,12 @@ def as_rows(names: Sequence[str], values: Sequence[Sequence[Column]]) -> Column:
     return F.inline(
         F.array(*[F.struct(*[v.alias(n) for n, v in zip(names, row)]) for row in values])
     )
+
+
+def computed_once(*values: Column) -> Column:
+    """Columns evaluated once per row, however often later steps use them.
+
+    A filter on the result of a projection is moved below it and evaluates the expression
+    again; one on the output of a generator is not. Use it for costly text expressions.
+    """
+    return F.inline(F.array(F.struct(*values)))

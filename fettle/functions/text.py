@@ -103,17 +103,44 @@ def compact_text(c: Column) -> Column:
     return F.regexp_replace(_folded_upper(F.coalesce(c, F.lit(""))), "[^A-Z0-9]+", "")
 
 
-def collapse_segments(c: Column) -> Column:
-    """First of the segments split by ``|`` or ``/`` when all agree, else the trimmed text."""
+def name_forms(c: Column) -> Column:
+    """Struct of the forms of a name: collapsed text, its normal form, and that of the whole text.
+
+    When all segments split by ``|`` or ``/`` agree, the collapsed text is the first one;
+    otherwise it is the trimmed text.
+    """
+
+    def forms(collapsed: Column, normalized: Column, whole: Column) -> Column:
+        return F.struct(
+            collapsed.alias("collapsed_value"),
+            normalized.alias("normalized_value"),
+            whole.alias("full_normalized"),
+        )
+
+    def plain(text: Column) -> Column:
+        return bind(normalize_text(text), lambda n: forms(text, n, n))
 
-    def collapse(text: Column) -> Column:
+    def segmented(text: Column) -> Column:
         parts = F.filter(F.transform(F.split(text, "[|/]"), strip), lambda p: p != "")
 
         def choose(found: Column) -> Column:
-            agree = F.size(F.array_distinct(F.transform(found, normalize_text))) == 1
-            return F.when((F.size(found) > 1) & agree, found[0]).otherwise(text)
+            def agree(norms: Column) -> Column:
+                # Separators count as blanks, so the whole text repeats the normal form.
+                same = forms(found[0], norms[0], F.trim(F.array_join(norms, " ")))
+                is_repeat = (F.size(norms) > 1) & (F.size(F.array_distinct(norms)) == 1)
+                return F.when(is_repeat, same).otherwise(plain(text))
 
+            return bind(F.transform(found, normalize_text), agree)
+
+        return bind(parts, choose)
+
+    def either(text: Column) -> Column:
         has_separator = text.contains("|") | text.contains("/")
-        return F.when(has_separator, bind(parts, choose)).otherwise(text)
+        return F.when(has_separator, segmented(text)).otherwise(plain(text))
+
+    return bind(strip(F.coalesce(c, F.lit(""))), either)
 
-    return bind(strip(F.coalesce(c, F.lit(""))), collapse)
+
+def collapse_segments(c: Column) -> Column:
+    """First of the segments split by ``|`` or ``/`` when all agree, else the trimmed text."""
+    return name_forms(c)["collapsed_value"]

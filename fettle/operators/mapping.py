@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fettle.functions.alias import DEFAULT_FAMILIES, AliasFamily, accept_label, review_label
 from fettle.functions.labels import TOO_DIFFERENT, accepted_reason, review_reason
-from fettle.functions.rows import as_rows
+from fettle.functions.rows import as_rows, computed_once
 from fettle.functions.text import normalize_text
 from fettle.operators.variants import decision_rank, value_counts
 
@@ -29,22 +29,23 @@ def build_mapping(
         first = F.row_number().over(Window.partitionBy("original_value").orderBy(*report_order))
         variants = variants.withColumn("_nth", first).where("_nth = 1").drop("_nth")
     collapsed = F.col("normalized_value")
-    whole = normalize_text(F.col("original_value"))
+    whole = F.col("_whole")
     score = F.col("similarity_score").cast("int")
     accepted = accept_label(collapsed, families).isNotNull()
     candidate = review_label(collapsed, families).isNotNull()
     reason = (
         F.when(
             F.col("decision") == "accepted",
-            accepted_reason(F.col("_whole"), accepted, F.col("suggested_group"), score, families),
+            accepted_reason(whole, accepted, F.col("suggested_group"), score, families),
         )
         .when(
             F.col("decision") == "review",
-            review_reason(F.col("_whole"), candidate, score, families),
+            review_reason(whole, candidate, score, families),
         )
         .otherwise(F.lit(TOO_DIFFERENT))
     )
-    return variants.withColumn("_whole", whole).select(
+    normal = computed_once(normalize_text(F.col("original_value")).alias("_whole"))
+    return variants.select("*", normal).select(
         "original_value",
         F.col("suggested_group").alias("clean_value"),
         F.col("decision").alias("status"),

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fettle.functions import text
 from fettle.functions.alias import DEFAULT_FAMILIES, AliasFamily, accept_label, review_label
 from fettle.functions.fuzzy import compact_similarity, decision, repeat_similarity
-from fettle.functions.nulls import strip
-from fettle.functions.text import collapse_segments, compact_text, normalize_text
+from fettle.functions.rows import computed_once
+from fettle.functions.text import compact_text
 
 
 def value_counts(df: DataFrame, target: str, order: str | None = None) -> DataFrame:
@@ -35,20 +36,13 @@ def name_forms(values: DataFrame) -> DataFrame:
     ``normalized_value`` and ``compact_value`` come from the collapsed text and decide the
     group; ``full_normalized`` comes from the whole text and is what scores compare.
     """
-    original = F.col("original_value")
-    collapsed = F.col("collapsed_value")
-    whole = F.col("full_normalized")
-    return (
-        values.withColumn("collapsed_value", collapse_segments(original))
-        .withColumn("full_normalized", normalize_text(original))
-        .withColumn(
-            "normalized_value",
-            # Only the few collapsed values need a second normalisation.
-            F.when(collapsed == strip(original), whole).otherwise(normalize_text(collapsed)),
-        )
-        .withColumn("compact_value", F.replace("normalized_value", F.lit(" "), F.lit("")))
-        .withColumn("full_compact", F.replace(whole, F.lit(" "), F.lit("")))
-        .where(F.col("normalized_value") != "")
+    forms = F.inline(F.array(text.name_forms(F.col("original_value"))))
+    blank, none = F.lit(" "), F.lit("")
+    named = values.select("*", forms).where(F.col("normalized_value") != "")
+    return named.select(
+        "*",
+        F.replace("normalized_value", blank, none).alias("compact_value"),
+        F.replace("full_normalized", blank, none).alias("full_compact"),
     )
 
 
@@ -88,36 +82,35 @@ def scored_names(
     forms = name_forms(values)
     groups = compact_groups(forms, families)
     normalized, full, key = F.col("normalized_value"), F.col("full_compact"), F.col("compact_value")
-    tagged = (
-        # One row per form on the right: a form with very many spellings only makes the
-        # left side uneven, which adaptive execution splits.
-        forms.join(groups, "compact_value")
-        .withColumn("accepted_family", accept_label(normalized, families))
-        .withColumn("review_family", review_label(normalized, families))
-    )
     accepted, review = F.col("accepted_family"), F.col("review_family")
+    # One row per form on the right: a form with very many spellings only makes the left
+    # side uneven, which adaptive execution splits.
+    tagged = forms.join(groups, "compact_value").select(
+        "*",
+        accept_label(normalized, families).alias("accepted_family"),
+        review_label(normalized, families).alias("review_family"),
+    )
     grouped = F.col("members") > 1
-    admitted = accepted.isNotNull() | grouped | review.isNotNull()
-
     alias = F.when(grouped, F.col("group_family")).otherwise(review)
-    suggested = F.coalesce(accepted, alias, F.col("canonical"))
-    repeats = (F.char_length(full) / F.char_length(key)).cast("int")
-    label_repeats = (F.col("canonical_length") / F.char_length(key)).cast("int")
-    label = compact_text(F.col("alias"))
+    admitted = tagged.where(accepted.isNotNull() | grouped | review.isNotNull()).select(
+        "*",
+        alias.alias("alias"),
+        F.coalesce(accepted, alias, F.col("canonical")).alias("suggested_group"),
+        (F.char_length(full) / F.char_length(key)).cast("int").alias("repeats"),
+        (F.col("canonical_length") / F.char_length(key)).cast("int").alias("label_repeats"),
+        compact_text(alias).alias("label"),
+    )
     score = (
         F.when(accepted.isNotNull(), F.lit(100))
         # Inside a group every spelling repeats the same compact form.
-        .when(F.col("alias").isNull(), repeat_similarity(repeats, label_repeats))
-        .when(label == key, repeat_similarity(repeats, F.lit(1)))
-        .otherwise(compact_similarity(full, label))
-    )
-    return (
-        tagged.where(admitted)
-        .withColumn("alias", alias)
-        .withColumn("suggested_group", suggested)
-        .withColumn("similarity_score", score)
-        .withColumn("decision", decision(F.col("similarity_score")))
+        .when(
+            F.col("alias").isNull(), repeat_similarity(F.col("repeats"), F.col("label_repeats"))
+        )
+        .when(F.col("label") == key, repeat_similarity(F.col("repeats"), F.lit(1)))
+        .otherwise(compact_similarity(full, F.col("label")))
     )
+    scored = admitted.select("*", computed_once(score.alias("similarity_score")))
+    return scored.withColumn("decision", decision(F.col("similarity_score")))
 
 
 def decision_rank(c: Column) -> Column:

@@ -69,16 +69,16 @@ def query(fn: Query) -> Query:
 # Shared intermediate results
 
 
-def _variants(spark, sf):
-    return va.variants_report(read_grants(spark, sf), TARGET)
+def _variants(read):
+    return va.variants_report(read, TARGET)
 
 
-def _mapping(spark, sf):
-    return mp.build_mapping(_variants(spark, sf))
+def _mapping(read):
+    return mp.build_mapping(_variants(read))
 
 
-def _cleaned(spark, sf):
-    return mp.apply_mapping(read_grants(spark, sf), _mapping(spark, sf), TARGET)
+def _cleaned(read):
+    return mp.apply_mapping(read, _mapping(read), TARGET)
 
 
 def _duplicates(spark, sf, rules=dup.DEFAULT_RULES):
@@ -87,10 +87,9 @@ def _duplicates(spark, sf, rules=dup.DEFAULT_RULES):
     )
 
 
-def _groups(spark, sf):
+def _groups(view):
     """Duplicate groups without samples: all that the summaries need."""
-    filled = canonical_null(grants(spark, sf)).transform(null_to_empty)
-    return dup.duplicate_groups(filled)
+    return dup.duplicate_groups(canonical_null(view).transform(null_to_empty))
 
 
 def _report_order():
@@ -302,17 +301,17 @@ def dup_documents(spark, sf):
 
 @query
 def dup_summary(spark, sf):
-    return dup.duplicate_summary(_groups(spark, sf))
+    return dup.duplicate_summary(_groups(grants(spark, sf)))
 
 
 @query
 def dup_summary_max(spark, sf):
-    return dup.duplicate_summary(_groups(spark, sf), with_max=True)
+    return dup.duplicate_summary(_groups(grants(spark, sf)), with_max=True)
 
 
 @query
 def dup_total(spark, sf):
-    return dup.total_flagged(_groups(spark, sf))
+    return dup.total_flagged(_groups(grants(spark, sf)))
 
 
 # Text
@@ -396,44 +395,45 @@ def fuzzy_scores(spark, sf):
 
 @query
 def variants_report(spark, sf):
-    return _variants(spark, sf)
+    return _variants(read_grants(spark, sf))
 
 
 @query
 def cleaning_mapping(spark, sf):
-    return _mapping(spark, sf)
+    return _mapping(read_grants(spark, sf))
 
 
 @query
 def accepted_mapping(spark, sf):
-    return mp.accepted_only(_mapping(spark, sf))
+    return mp.accepted_only(_mapping(read_grants(spark, sf)))
 
 
 @query
 def cleaned_table(spark, sf):
-    return _cleaned(spark, sf).select(
+    return _cleaned(read_grants(spark, sf)).select(
         F.col("row_number").alias("key"), TARGET, f"{TARGET}_clean", "recipient_city"
     )
 
 
 @query
 def changed_cells(spark, sf):
-    return mp.changed_count(_cleaned(spark, sf), TARGET, f"{TARGET}_clean")
+    return mp.changed_count(_cleaned(read_grants(spark, sf)), TARGET, f"{TARGET}_clean")
 
 
 @query
 def cleaning_execution(spark, sf):
-    return mp.cleaning_summary(read_grants(spark, sf), _mapping(spark, sf), TARGET)
+    read = read_grants(spark, sf)
+    return mp.cleaning_summary(read, _mapping(read), TARGET)
 
 
 @query
 def mapping_status(spark, sf):
-    return mp.mapping_summary(_mapping(spark, sf))
+    return mp.mapping_summary(_mapping(read_grants(spark, sf)))
 
 
 @query
 def mapping_review_count(spark, sf):
-    return mp.review_count(_mapping(spark, sf))
+    return mp.review_count(_mapping(read_grants(spark, sf)))
 
 
 # Search
@@ -449,21 +449,21 @@ def search_any_column(spark, sf):
 
 @query
 def search_mapping(spark, sf):
-    found = se.filter_value(_mapping(spark, sf), "status", "accepted")
+    found = se.filter_value(_mapping(read_grants(spark, sf)), "status", "accepted")
     return se.search_report(found, "Ring", 500, order=["original_value"])
 
 
 @query
 def search_variants(spark, sf):
     return se.search_report(
-        _variants(spark, sf), "gear", None, ("decision", "All"), order=_report_order()
+        _variants(read_grants(spark, sf)), "gear", None, ("decision", "All"), order=_report_order()
     )
 
 
 @query
 def decision_counts(spark, sf):
     """Rows per decision among the variants that match a search."""
-    return va.decision_counts(se.search_report(_variants(spark, sf), "UQAM", None))
+    return va.decision_counts(se.search_report(_variants(read_grants(spark, sf)), "UQAM", None))
 
 
 @query
@@ -485,15 +485,15 @@ def top_rows(spark, sf):
 @query
 def raw_clean_preview(spark, sf):
     """The same search on the raw and the cleaned table, side by side."""
-    return se.preview(
-        read_grants(spark, sf), _cleaned(spark, sf), TERM, PREVIEW_COLUMNS, 40
-    ).withColumnRenamed("row_number", "key")
+    read = read_grants(spark, sf)
+    found = se.preview(read, _cleaned(read), TERM, PREVIEW_COLUMNS, 40)
+    return found.withColumnRenamed("row_number", "key")
 
 
 @query
 def cleaned_sample(spark, sf):
     """First rows of the cleaned table."""
-    return src.sample_rows(_cleaned(spark, sf), 20, "row_number", SAMPLE_COLUMNS)
+    return src.sample_rows(_cleaned(read_grants(spark, sf)), 20, "row_number", SAMPLE_COLUMNS)
 
 
 # Evidence
@@ -510,12 +510,12 @@ def lookup_terms(spark, sf):
 @query
 def lookup_totals(spark, sf):
     """Rows of the cleaned table that contain a term, and the sum of their values."""
-    return ev.lookup_totals(_cleaned(spark, sf), TERM)
+    return ev.lookup_totals(_cleaned(read_grants(spark, sf)), TERM)
 
 
 @query
 def lookup_rows(spark, sf):
-    return ev.lookup_rows(_cleaned(spark, sf), TERM)
+    return ev.lookup_rows(_cleaned(read_grants(spark, sf)), TERM)
 
 
 @query
@@ -552,13 +552,13 @@ def top_sections(spark, sf):
 @query
 def row_relevance(spark, sf):
     """Mapping rows that answer a question best."""
-    return ev.relevant_rows(_mapping(spark, sf), REPORT_QUESTION, 6, order=["original_value"])
+    return ev.relevant_rows(_mapping(read_grants(spark, sf)), REPORT_QUESTION, 6, order=["original_value"])
 
 
 @query
 def report_summary(spark, sf):
     """Most frequent values of the variants report columns."""
-    return pr.value_profile(_variants(spark, sf), ["decision", "suggested_group"], 12)
+    return pr.value_profile(_variants(read_grants(spark, sf)), ["decision", "suggested_group"], 12)
 
 
 @query
@@ -590,13 +590,11 @@ def report_metrics(spark, sf):
 
 @query
 def final_summary(spark, sf):
-    return sm.final_summary(
-        read_grants(spark, sf),
-        _cleaned(spark, sf),
-        _groups(spark, sf),
-        _mapping(spark, sf),
-        TARGET,
-    )
+    view = grants(spark, sf)
+    read = canonical_null(view, blanks=False)
+    mapping = _mapping(read)
+    clean = mp.apply_mapping(read, mapping, TARGET)
+    return sm.final_summary(read, clean, _groups(view), mapping, TARGET)
 
 
 # Remediation

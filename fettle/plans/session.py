@@ -25,6 +25,8 @@ def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Call-site capture for error messages doubles the cost of building a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **extra,
     }
     for name, value in settings.items():
