@@ -22,7 +22,7 @@ from fettle.operators import summary as sm
 from fettle.operators import variants as va
 from fettle.plans.grants import COLUMNS, grants, numbered_grants, positions, table
 from fettle.plans.policies import DEFAULT_POLICY, POLICIES
-from fettle.plans.session import work_path
+from fettle.plans.session import tune, work_path
 from fettle.plans.views import (
     documents_with_figures,
     grants_with_copies,
@@ -62,7 +62,7 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = fn
+    _QUERIES[fn.__name__] = lambda spark, sf_dir: fn(tune(spark), sf_dir.rstrip("/"))
     return fn
 
 

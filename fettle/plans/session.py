@@ -7,15 +7,30 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the plans rely on: run-time re-planning splits skewed joins and sizes partitions.
-SETTINGS = {
+# Settings of a running session that the plans rely on. Run-time re-planning splits skewed
+# joins and sizes partitions. The JVM never compiles a method above 8,000 bytes of bytecode;
+# a wide table easily generates one, and it then runs several times slower than the
+# same stage split into smaller methods.
+RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+SETTINGS = {
+    **RUNTIME_SETTINGS,
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the run-time settings to a session made elsewhere."""
+    for name, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("fettle")
