@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fettle.functions.nulls import strip
@@ -15,28 +15,32 @@ def _filled(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def stripped_cells(columns: Iterable[str], prefix: str = "") -> list[Column]:
+    """Trimmed text of each column, null as empty, under its own or a prefixed name."""
+    return [strip(_filled(c)).alias(f"{prefix}{c}") for c in columns]
+
+
 def complete_key(columns: Sequence[str]) -> Column:
-    """True when every column is non-empty after trimming."""
-    return reduce(lambda a, b: a & b, [strip(_filled(c)) != "" for c in columns])
+    """True when every one of some trimmed columns is non-empty."""
+    return reduce(lambda a, b: a & b, [F.col(f"`{c}`") != "" for c in columns])
 
 
-def compound_key(parts: Sequence[tuple[str, str]]) -> Column:
-    """Text ``label=value|label=value`` of trimmed values; null when a part is empty."""
+def compound_key(parts: Sequence[tuple[str, str]], prefix: str = "") -> Column:
+    """Text ``label=value|label=value`` of trimmed columns; null when a part is empty."""
     pieces: list[Column] = []
     for i, (label, name) in enumerate(parts):
-        pieces += [F.lit(f"{'|' if i else ''}{label}="), strip(_filled(name))]
-    return F.when(complete_key([name for _, name in parts]), F.concat(*pieces))
+        pieces += [F.lit(f"{'|' if i else ''}{label}="), F.col(f"`{prefix}{name}`")]
+    complete = complete_key([f"{prefix}{name}" for _, name in parts])
+    return F.when(complete, F.concat(*pieces))
 
 
-def row_key(df: DataFrame, exclude: Iterable[str] = ()) -> Column:
-    """SHA-256 over all columns of a row; null and empty are the same value.
+def row_key(columns: Iterable[str]) -> Column:
+    """SHA-256 over all given columns of a row; null and empty are the same value.
 
-    Each value is preceded by its length, so different rows give different input.
+    Each value is preceded by its length in bytes, so different rows give different input.
     """
-    skip = set(exclude)
     pieces: list[Column] = []
-    for name in df.columns:
-        if name not in skip:
-            value = _filled(name)
-            pieces += [F.char_length(value).cast("string"), F.lit(":"), value]
+    for name in columns:
+        value = _filled(name)
+        pieces += [F.octet_length(value).cast("string"), F.lit(":"), value]
     return F.sha2(F.concat(*pieces), 256)

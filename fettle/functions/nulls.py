@@ -39,17 +39,25 @@ WHITESPACE = (
 )
 
 
+def _may_start_blank(c: Column) -> Column:
+    """False only if text starts with a visible character.
+
+    In byte order white space lies below "!" or from U+0085 up: two comparisons settle
+    almost every cell without a trim.
+    """
+    return (c < "!") | (c >= "\x85")
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode white space."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    edge = _may_start_blank(c) | _may_start_blank(F.substring(c, -1, 1))
+    return F.when(edge, F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def is_blank(c: Column) -> Column:
     """True for text made of white space only (and for the empty string)."""
-    # In byte order white space lies below "!" or from U+0085 up: two comparisons settle
-    # almost every cell, and the trim then stops at the first visible character.
-    possible = (c < "!") | (c >= "\x85")
-    return possible & (F.ltrim(c, F.lit(WHITESPACE)) == "")
+    # The trim stops at the first visible character.
+    return _may_start_blank(c) & (F.ltrim(c, F.lit(WHITESPACE)) == "")
 
 
 def is_na_token(c: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +27,7 @@ BOOLEAN_WORDS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 def date_shape(c: Column) -> Column:
     """True when trimmed text has one of the date layouts."""
-    text = strip(c)
-    return reduce(lambda a, b: a | b, [text.rlike(p) for p in DATE_LAYOUTS])
+    return strip(c).rlike("|".join(DATE_LAYOUTS))
 
 
 def to_number(c: Column) -> Column:
@@ -45,7 +42,11 @@ def numeric_shape(c: Column) -> Column:
 
 
 def float_text(c: Column) -> Column:
-    """Shortest decimal text of a double: plain from 1e-4 up to 1e16, else with an exponent."""
+    """Shortest decimal text of a double: plain from 1e-4 up to 1e16, else with an exponent.
+
+    The digits are those of the JVM; before version 19 it prints a few numbers above 1e20
+    with one digit more than needed.
+    """
     raw = c.cast("string")
     size = F.abs(c)
     plain = F.rtrim(c.try_cast("decimal(38,20)").cast("string"), F.lit("0"))

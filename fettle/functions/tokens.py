@@ -71,15 +71,28 @@ def any_contains(columns: Iterable[Column], term: str) -> Column:
     return reduce(lambda a, b: a | b, hits, F.lit(False))
 
 
-def all_tokens(c: Column) -> Column:
-    """Lower-cased words in text order, repeats kept."""
-    return F.transform(F.regexp_extract_all(c, F.lit(TOKEN_PATTERN), F.lit(0)), F.lower)
-
-
 def token_set(c: Column) -> Column:
     """Distinct lower-cased words without the stop words, in text order."""
-    # array_except also removes repeats.
-    return F.array_except(all_tokens(c), F.array(*[F.lit(w) for w in STOP_WORDS]))
+    words = F.array_join(F.regexp_extract_all(c, F.lit(TOKEN_PATTERN), F.lit(0)), " ")
+    # Lower case comes after the match: some other letters turn into ASCII ones.
+    # array_except also removes repeats; text without words splits into one empty string.
+    return F.array_except(
+        F.split(F.lower(words), " "), F.split(F.lit(" ".join(("", *STOP_WORDS))), " ")
+    )
+
+
+def words_found(c: Column, words: Iterable[str]) -> Column:
+    """How many of some lower-case words occur in text as whole words, ignoring case.
+
+    Same as the size of the intersection with ``token_set``, without listing the words: a
+    plain search rules most words out, only the others are checked for their edges.
+    """
+    edge, lowered = "[A-Za-z0-9_]", F.lower(c)
+    found = F.lit(0)
+    for word in words:
+        whole = c.rlike(f"(?i)(?<!{edge}){word}(?!{edge})")
+        found = found + F.when(lowered.contains(word), whole.cast("int")).otherwise(0)
+    return found
 
 
 def lookup_term(c: Column) -> Column:

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fettle.functions.keys import compound_key, row_key
+from fettle.functions.keys import compound_key, row_key, stripped_cells
 from fettle.functions.nulls import NA_TOKENS, canonical_null, null_to_empty
+from fettle.functions.rows import as_rows
 
 
 @dataclass(frozen=True)
@@ -62,15 +63,20 @@ def duplicate_groups(
     counts are combined before it, so a key held by many rows costs one row per task.
     A rule on a column the table lacks finds nothing.
     """
-    keys = []
-    for rule in rules:
-        if all(column in df.columns for _, column in rule.parts):
-            key = compound_key(rule.parts) if rule.parts else row_key(df, exclude)
-            keys.append(
-                F.struct(F.lit(rule.name).alias("duplicate_type"), key.alias("duplicate_key"))
-            )
+    skip = set(exclude)
+    usable = [r for r in rules if all(column in df.columns for _, column in r.parts)]
+    used = dict.fromkeys(column for r in usable for _, column in r.parts)
+    # Each part is trimmed once per row, whatever the number of rules that use it.
+    cells = [F.col(row_number).alias("_row"), *stripped_cells(used, "_key_")]
+    if any(not r.parts for r in usable):
+        cells.append(row_key(c for c in df.columns if c not in skip).alias("_whole"))
+    keys = [
+        (F.lit(r.name), compound_key(r.parts, "_key_") if r.parts else F.col("_whole"))
+        for r in usable
+    ]
     return (
-        df.select(F.col(row_number).alias("_row"), F.inline(F.array(*keys)))
+        df.select(*cells)
+        .select("_row", as_rows(["duplicate_type", "duplicate_key"], keys))
         .where(F.col("duplicate_key").isNotNull())
         .groupBy("duplicate_type", "duplicate_key")
         .agg(F.count(F.lit(1)).alias("duplicate_count"), F.min("_row").alias("sample_row_number"))

@@ -15,7 +15,7 @@ from fettle.functions.tokens import (
     TOKEN_PATTERN,
     any_contains,
     fold_case,
-    token_set,
+    words_found,
 )
 from fettle.operators.search import clip_cells
 from fettle.sources.tables import existing
@@ -102,8 +102,7 @@ def section_score(chunk: Column, tokens: Sequence[str]) -> Column:
     """Question words found in a chunk, plus a bonus when one is near its start."""
     if not tokens:
         return F.lit(0)
-    asked = F.array(*[F.lit(t) for t in tokens])
-    overlap = F.size(F.array_intersect(token_set(chunk), asked))
+    overlap = words_found(chunk, tokens)
     start = fold_case(F.substring(chunk, 1, HEADING_CHARS))
     near_start = F.lit(False)
     for token in tokens:

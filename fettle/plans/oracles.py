@@ -188,7 +188,7 @@ def _key_rows(rule: str, source: str = "clean") -> str:
 
 def _digest(cols) -> str:
     pieces = " || ".join(
-        f"length(coalesce({c}, '')) || ':' || coalesce({c}, '')" for c in cols
+        f"strlen(coalesce({c}, '')) || ':' || coalesce({c}, '')" for c in cols
     )
     return f"sha256({pieces})"
 
@@ -543,7 +543,7 @@ clean AS ({nulled('doubled', True)}), {_groups(exact)} {_sampled('clean')}""",
         "dup_lineitem": """SELECT 'part_supplier' AS duplicate_type, 'part=' || l_partkey || '|supplier=' || l_suppkey AS duplicate_key,
   count(*) AS duplicate_count, min(l_orderkey) AS sample_row_number
 FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1""",
-        "dup_documents": f"""SELECT 'exact_row' AS duplicate_type, sha256(length(t) || ':' || t) AS duplicate_key,
+        "dup_documents": f"""SELECT 'exact_row' AS duplicate_type, sha256(strlen(t) || ':' || t) AS duplicate_key,
   count(*) AS duplicate_count, min(doc_id) AS sample_row_number
 FROM (SELECT doc_id, coalesce({as_null('text', True)}, '') AS t FROM documents) GROUP BY t HAVING count(*) > 1""",
         "dup_summary": f"""WITH {SUMMARY} SELECT t AS duplicate_type, count(*) AS duplicate_groups,

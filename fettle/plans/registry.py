@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fettle.functions.alias import accept_alias, review_candidate
 from fettle.functions.nulls import canonical_null, null_to_empty
+from fettle.functions.rows import as_rows
 from fettle.functions.shapes import date_shape, numeric_shape, to_number
 from fettle.functions.text import collapse_segments, compact_text, normalize_text
 from fettle.functions.tokens import lookup_term, token_set
@@ -236,14 +237,18 @@ def column_dtypes(spark, sf):
 def shape_counts(spark, sf):
     """Cells per column that look like a date or a number, and the sum of the numbers."""
     cols = ["ref_number", "amendment_number", "agreement_value", "agreement_start_date"]
-    cells = grants(spark, sf).select(*cols).unpivot([], cols, "column", "value")
-    value = F.col("value")
-    return cells.groupBy("column").agg(
-        F.count_if(date_shape(value)).alias("dates"),
-        F.count_if(numeric_shape(value)).alias("numbers"),
-        F.coalesce(F.sum(to_number(value).cast("decimal(38,2)")).cast("double"), F.lit(0.0)).alias(
-            "total"
-        ),
+    # One aggregate over the wide rows; only its single row is turned into one row per column.
+    tests, rows = [], []
+    for c in cols:
+        amount = to_number(F.col(c)).cast("decimal(38,2)")
+        tests += [
+            F.count_if(date_shape(F.col(c))).alias(f"{c}_dates"),
+            F.count_if(numeric_shape(F.col(c))).alias(f"{c}_numbers"),
+            F.coalesce(F.sum(amount).cast("double"), F.lit(0.0)).alias(f"{c}_total"),
+        ]
+        rows.append((F.lit(c), *[F.col(f"{c}_{k}") for k in ("dates", "numbers", "total")]))
+    return (
+        grants(spark, sf).agg(*tests).select(as_rows(["column", "dates", "numbers", "total"], rows))
     )
 
 
@@ -521,7 +526,7 @@ def lookup_rows(spark, sf):
 @query
 def token_sets(spark, sf):
     """Distinct words of whole texts."""
-    tokens = F.array_sort(token_set(F.col("text")))
+    tokens = F.sort_array(token_set(F.col("text")))
     return (
         table(spark, sf, "documents")
         .select("doc_id", tokens.alias("tokens"))
