@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,3 +22,9 @@ def computed_once(*values: Column) -> Column:
     again; one on the output of a generator is not. Use it for costly text expressions.
     """
     return F.inline(F.array(F.struct(*values)))
+
+
+def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The columns of two single-row relations as one row, without a join."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

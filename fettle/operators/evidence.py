@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fettle.functions.nulls import strip
+from fettle.functions.rows import beside
 from fettle.functions.shapes import to_number
 from fettle.functions.tokens import (
     STOP_WORDS,
@@ -182,9 +183,8 @@ def evidence_bundle(
 
     ``totals`` is the single row of ``lookup_totals``.
     """
-    body = budget_concat(items, order, text).withColumn("_one", F.lit(1))
-    matched = totals.select(F.lit(1).alias("_one"), F.col("matched_rows").alias("dataset_rows"))
-    return body.join(matched, "_one").select(
+    matched = totals.select(F.col("matched_rows").alias("dataset_rows"))
+    return beside(budget_concat(items, order, text).select("text"), matched).select(
         "text", F.array(*[F.lit(s) for s in sources]).alias("sources"), "dataset_rows"
     )
 

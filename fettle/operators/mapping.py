@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from fettle.functions.alias import DEFAULT_FAMILIES, AliasFamily, accept_label, review_label
 from fettle.functions.labels import TOO_DIFFERENT, accepted_reason, review_reason
-from fettle.functions.rows import as_rows, computed_once
+from fettle.functions.rows import as_rows, beside, computed_once
 from fettle.functions.text import normalize_text
-from fettle.operators.variants import decision_rank, value_counts
+from fettle.operators.variants import decision_rank
 
 
 def build_mapping(
@@ -113,28 +113,20 @@ def cleaning_summary(df: DataFrame, mapping: DataFrame, target: str) -> DataFram
 
     Corrections are counted on distinct values times their rows, not on the table.
     """
-    counts = value_counts(df, target)
-    applied = counts.join(_effective(mapping), "original_value").agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("value")
+    counts = df.groupBy(F.col(f"`{target}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    applied = F.when(F.col("clean_value").isNotNull(), F.col("n"))
+    rows = counts.join(
+        _effective(mapping), F.col("value") == F.col("original_value"), "left"
+    ).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_processed"),
+        F.coalesce(F.sum(applied), F.lit(0)).alias("corrections_applied"),
     )
     accepted = F.count_if(F.col("status") == "accepted")
     sizes = mapping.agg(
-        accepted.alias("accepted"),
-        F.greatest(F.count(F.lit(1)) - accepted, F.lit(0)).alias("skipped"),
+        accepted.alias("accepted_available"),
+        F.greatest(F.count(F.lit(1)) - accepted, F.lit(0)).alias("mappings_skipped"),
     )
-    rows = df.agg(F.count(F.lit(1)).alias("value"))
-    return (
-        rows.select(F.lit("rows_processed").alias("metric"), "value")
-        .unionByName(
-            sizes.select(
-                as_rows(
-                    ["metric", "value"],
-                    [
-                        (F.lit("accepted_available"), F.col("accepted")),
-                        (F.lit("mappings_skipped"), F.col("skipped")),
-                    ],
-                )
-            )
-        )
-        .unionByName(applied.select(F.lit("corrections_applied").alias("metric"), "value"))
+    metrics = [*rows.columns, *sizes.columns]
+    return beside(rows, sizes).select(
+        as_rows(["metric", "value"], [(F.lit(m), F.col(m)) for m in metrics])
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fettle.functions.nulls import NA_TOKENS, canonical_null
-from fettle.functions.rows import as_rows
+from fettle.functions.rows import as_rows, beside
 from fettle.functions.shapes import date_shape, numeric_shape
 from fettle.operators.profile import missing_profile
 from fettle.plans.policies import (
@@ -164,8 +164,7 @@ def remediation_checks(
     listed = [
         (F.lit(name), F.coalesce(F.col(f"_{i}"), F.lit(0))) for i, name in enumerate(checks)
     ]
-    rows = before.agg(F.count(F.lit(1)).alias("_before")).withColumn("_one", F.lit(1))
-    kept = totals.withColumn("_one", F.lit(1)).join(rows, "_one")
+    kept = beside(totals, before.agg(F.count(F.lit(1)).alias("_before")))
     lost = F.abs(F.col("_before") - F.col("_curated") - F.col("_review"))
     return kept.select(
         as_rows(["check", "failures"], [(F.lit("row_conservation"), lost), *listed])

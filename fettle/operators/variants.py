@@ -109,7 +109,10 @@ def scored_names(
         .when(F.col("label") == key, repeat_similarity(F.col("repeats"), F.lit(1)))
         .otherwise(compact_similarity(full, F.col("label")))
     )
-    scored = admitted.select("*", computed_once(score.alias("similarity_score")))
+    # Keeping the first row here gives both sides of the join the same value counts, so the
+    # table is scanned and shuffled once for both.
+    once = computed_once(score.alias("similarity_score"), F.col("first_row").alias("seen_first"))
+    scored = admitted.select("*", once)
     return scored.withColumn("decision", decision(F.col("similarity_score")))
 
 
