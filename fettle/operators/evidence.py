@@ -155,23 +155,26 @@ def budget_concat(
 ) -> DataFrame:
     """Join texts in order until a character budget is used up; the last one is clipped.
 
-    Each text costs its length plus the separator, so at most budget / 2 + 1 texts can
-    take part: only that many rows reach the running total, whatever the input size.
+    ``order`` must be a unique key. Each text costs its length plus the separator, so at
+    most budget / 2 + 1 texts can take part: only that many keys and lengths, without the
+    texts, reach the running total. The texts of the few that fit are then looked up, each
+    cut to what is left, so one task never holds more than the budget in characters.
     """
     cost = len(SEPARATOR)
-    first = items.orderBy(*order).limit(budget // cost + 1)
-    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    size = F.char_length(text) + cost
-    used = F.coalesce(F.sum(size).over(earlier), F.lit(0))
-    clipped = (
-        first.withColumn("_nth", F.row_number().over(Window.orderBy(*order)))
-        .withColumn("_left", F.lit(budget) - used)
-        .where(F.col("_left") > 0)
-        .select("_nth", F.substr(F.col(text), F.lit(1), F.col("_left").cast("int")).alias("_text"))
-    )
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("_nth", "_text"))), lambda x: x["_text"])
+    lengths = items.select(*order, F.char_length(text).alias("_size"))
+    first = lengths.orderBy(*order).limit(budget // cost + 1)
+    in_order = Window.orderBy(*order)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    used = F.coalesce(F.sum(F.col("_size") + cost).over(earlier), F.lit(0))
+    fitting = first.select(
+        *order, F.row_number().over(in_order).alias("_nth"), (F.lit(budget) - used).alias("_left")
+    ).where(F.col("_left") > 0)
+    # At most budget / 2 + 1 rows of a key and two numbers.
+    cut = F.substr(F.col(text), F.lit(1), F.col("_left").cast("int"))
+    clipped = items.join(F.broadcast(fitting), list(order)).select("_nth", cut.alias("_text"))
+    listed = F.sort_array(F.collect_list(F.struct("_nth", "_text")))
     return clipped.agg(
-        F.array_join(listed, SEPARATOR).alias("text"), F.count(F.lit(1)).alias("items")
+        F.array_join(listed["_text"], SEPARATOR).alias("text"), F.count(F.lit(1)).alias("items")
     )
 
 

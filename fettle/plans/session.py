@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot name even where its rows are grouped by the same key afterwards.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 

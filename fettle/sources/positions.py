@@ -13,8 +13,8 @@ from fettle.sources.tables import csv_reader
 _BLOCK_BITS = 20
 _GROUP_BITS = 42
 
-# A file offset row is far below 1 KB: this many stay under 100 MB in a broadcast.
-_BROADCAST_FILES = 100_000
+# An offset row is far below 1 KB: this many stay under 100 MB in a broadcast.
+_BROADCAST_UNITS = 100_000
 
 
 def _before(order: list[str], partition: list[str] | None = None):
@@ -57,10 +57,20 @@ def with_row_number(df: DataFrame, key: str, name: str = "row_number") -> DataFr
     )
 
 
-def _shift_by_unit(spark: SparkSession, rows: DataFrame, sizes: DataFrame, unit: list[str], files: int):
-    """Join the number of rows in all earlier scan units to each row."""
+def _most_splits(spark: SparkSession, scan: DataFrame) -> int:
+    """Upper bound for the number of pieces a scan is read in."""
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    piece = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return len(scan.inputFiles()) + size // piece + spark.sparkContext.defaultParallelism + 1
+
+
+def _shift_by_unit(rows: DataFrame, sizes: DataFrame, unit: list[str], units: int) -> DataFrame:
+    """Join the number of rows in all earlier scan units to each row.
+
+    The offsets are broadcast while their number is small, else joined by unit.
+    """
     offsets = _running_total(sizes, "_rows", "_offset", unit).drop("_rows")
-    if files <= _BROADCAST_FILES:
+    if units <= _BROADCAST_UNITS:
         offsets = F.broadcast(offsets)
     return rows.join(offsets, unit)
 
@@ -77,7 +87,7 @@ def read_parquet_numbered(spark: SparkSession, path: str, name: str = "row_numbe
         F.col("_metadata.row_index").alias("_index"),
     )
     sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
-    shifted = _shift_by_unit(spark, rows, sizes, ["_file"], len(scan.inputFiles()))
+    shifted = _shift_by_unit(rows, sizes, ["_file"], len(scan.inputFiles()))
     number = (F.col("_offset") + F.col("_index") + 1).alias(name)
     return shifted.select(number, *[F.col(f"`{c}`") for c in scan.columns])
 
@@ -99,6 +109,6 @@ def read_csv_numbered(
         F.monotonically_increasing_id().alias("_id"),
     )
     sizes = rows.groupBy(*unit).agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
-    shifted = _shift_by_unit(spark, rows, sizes, unit, len(scan.inputFiles()))
+    shifted = _shift_by_unit(rows, sizes, unit, _most_splits(spark, scan))
     number = (F.col("_offset") + F.col("_id") - F.col("_first") + 1).alias(name)
     return shifted.select(number, *[F.col(f"`{c}`") for c in scan.columns])
