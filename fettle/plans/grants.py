@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fettle.sources.positions import with_row_number
+from fettle.sources.tables import spread
 
 # The view definition, in column order after row_number.
 COLUMNS = {
@@ -46,16 +47,17 @@ COLUMNS = {
 _PART_NAMES = 64
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One generated table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str = "") -> DataFrame:
+    """One generated table; with a key, spread over all cores if one task would read it."""
+    scan = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(scan, key) if key else scan
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Names come from part keys 0 to 63: the primary key bounds the broadcast to 64 rows.
     part = table(spark, sf_dir, "part").where(F.col("p_partkey").between(0, _PART_NAMES - 1))
     return (
-        table(spark, sf_dir, "orders")
+        table(spark, sf_dir, "orders", "o_orderkey")
         .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(F.broadcast(part), F.expr(f"p_partkey = o_orderkey % {_PART_NAMES}"))

@@ -300,7 +300,7 @@ def dup_lineitem(spark, sf):
 @query
 def dup_documents(spark, sf):
     """Texts that occur more than once, by whole text."""
-    docs = canonical_null(table(spark, sf, "documents").select("doc_id", "text")).transform(null_to_empty)
+    docs = canonical_null(table(spark, sf, "documents", "doc_id").select("doc_id", "text")).transform(null_to_empty)
     return dup.duplicate_groups(docs, [dup.EXACT_ROW], "doc_id", exclude=["doc_id"])
 
 
@@ -339,7 +339,7 @@ def normalize_documents(spark, sf):
     """Normal form of whole texts."""
     normal = normalize_text(F.col("text"))
     return (
-        table(spark, sf, "documents")
+        table(spark, sf, "documents", "doc_id")
         .select("doc_id", normal.alias("normal"))
         .select("doc_id", F.char_length("normal").alias("length"), F.md5("normal").alias("digest"))
     )
@@ -350,7 +350,7 @@ def compact_documents(spark, sf):
     """Compact form of whole texts."""
     compact = compact_text(F.col("text"))
     return (
-        table(spark, sf, "documents")
+        table(spark, sf, "documents", "doc_id")
         .select("doc_id", compact.alias("compact"))
         .select("doc_id", F.char_length("compact").alias("length"), F.md5("compact").alias("digest"))
     )
@@ -528,7 +528,7 @@ def token_sets(spark, sf):
     """Distinct words of whole texts."""
     tokens = F.sort_array(token_set(F.col("text")))
     return (
-        table(spark, sf, "documents")
+        table(spark, sf, "documents", "doc_id")
         .select("doc_id", tokens.alias("tokens"))
         .select(
             "doc_id",
@@ -569,7 +569,7 @@ def report_summary(spark, sf):
 @query
 def budget_concat(spark, sf):
     """Texts joined in order until the character budget is used."""
-    return ev.budget_concat(table(spark, sf, "documents"), ["doc_id"])
+    return ev.budget_concat(table(spark, sf, "documents", "doc_id"), ["doc_id"])
 
 
 @query

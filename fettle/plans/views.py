@@ -57,12 +57,12 @@ def grants_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sectioned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with headings."""
-    return table(spark, sf_dir, "documents").selectExpr("doc_id", f"{SECTIONED_TEXT} AS content")
+    return table(spark, sf_dir, "documents", "doc_id").selectExpr("doc_id", f"{SECTIONED_TEXT} AS content")
 
 
 def documents_with_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that quote summary figures."""
-    return table(spark, sf_dir, "documents").selectExpr("doc_id", f"{FIGURES_TEXT} AS content")
+    return table(spark, sf_dir, "documents", "doc_id").selectExpr("doc_id", f"{FIGURES_TEXT} AS content")
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fettle.sources.tables import csv_reader
+from fettle.sources.tables import csv_reader, scan_bytes
 
 # Rows are numbered inside blocks of 2^20 consecutive keys, blocks inside groups of 2^22.
 # Any 64-bit key then needs at most 2^22 groups, so no window sees more than 2^22 rows.
@@ -59,8 +59,7 @@ def with_row_number(df: DataFrame, key: str, name: str = "row_number") -> DataFr
 
 def _most_splits(spark: SparkSession, scan: DataFrame) -> int:
     """Upper bound for the number of pieces a scan is read in."""
-    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    piece = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size, piece = scan_bytes(scan)
     return len(scan.inputFiles()) + size // piece + spark.sparkContext.defaultParallelism + 1
 
 

@@ -68,6 +68,24 @@ def existing(df: DataFrame, cols: Iterable[str]) -> list[str]:
     return [c for c in cols if c in df.columns]
 
 
+def scan_bytes(scan: DataFrame) -> tuple[int, int]:
+    """Bytes on disk of a file scan, and the most bytes one task reads. Runs no job."""
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    conf = scan.sparkSession._jsparkSession.sessionState().conf()
+    return size, int(conf.filesMaxPartitionBytes())
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a table that one task would read over all cores.
+
+    Only a table below the size of one input split is shuffled, so the cost is bounded;
+    a larger one is already read by many tasks and is left alone.
+    """
+    size, piece = scan_bytes(scan)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if size <= piece else scan
+
+
 def sample_rows(
     df: DataFrame, n: int, order: str, cols: Sequence[str] | None = None
 ) -> DataFrame:
