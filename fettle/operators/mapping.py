@@ -85,7 +85,12 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, target: str) -> DataFrame:
         columns.append(F.col(f"`{name}`"))
         if name == target:
             columns.append(F.coalesce(F.col("clean_value"), raw).alias(f"{target}_clean"))
-    return df.join(_effective(mapping), raw == F.col("original_value"), "left").select(*columns)
+    # The length is implied by the text. As part of the key it keeps a partitioning that the
+    # mapping may have by value alone from being reused: both sides are then shuffled for
+    # this join, the form in which adaptive execution can split a hot name.
+    original = F.col("original_value")
+    same = (raw == original) & (F.octet_length(raw) == F.octet_length(original))
+    return df.join(_effective(mapping), same, "left").select(*columns)
 
 
 def changed_count(df: DataFrame, raw: str, clean: str) -> DataFrame:

@@ -84,8 +84,13 @@ def scored_names(
     normalized, full, key = F.col("normalized_value"), F.col("full_compact"), F.col("compact_value")
     accepted, review = F.col("accepted_family"), F.col("review_family")
     # One row per form on the right: a form with very many spellings only makes the left
-    # side uneven, which adaptive execution splits.
-    tagged = forms.join(groups, "compact_value").select(
+    # side uneven, which adaptive execution splits. It can do so where both sides are
+    # shuffled for the join; with the length, which the text implies, as part of the key,
+    # the partitioning of the groups by text alone does not stand in for that shuffle.
+    length = F.octet_length("compact_value").alias("compact_length")
+    tagged = forms.select("*", length).join(
+        groups.select("*", length), ["compact_value", "compact_length"]
+    ).select(
         "*",
         accept_label(normalized, families).alias("accepted_family"),
         review_label(normalized, families).alias("review_family"),

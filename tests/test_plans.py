@@ -80,3 +80,42 @@ def test_variants_count_values_once(spark, sf_dir):
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in final
     assert final.count("orders.parquet") == 1
+
+
+def test_hot_name_is_split_when_the_mapping_is_large(spark):
+    from pyspark.sql import functions as F
+
+    from fettle.operators import mapping as mp
+
+    # A third of all rows hold one name; a tenth hold none.
+    n = F.col("id")
+    name = (
+        F.when(n % 3 == 0, "Hot Name")
+        .when(n % 10 == 1, None)
+        .otherwise(F.concat(F.lit("name "), (n % 5000).cast("string")))
+    )
+    table = spark.range(600_000, numPartitions=16).select(n.alias("row_number"), name.alias("name"), F.sha2(n.cast("string"), 512).alias("text"))
+    pairs = table.select("name").distinct().where("name IS NOT NULL")
+    mapping = pairs.select(
+        F.col("name").alias("original_value"), F.upper("name").alias("clean_value"),
+        F.lit("accepted").alias("status"), F.lit("").alias("reason"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        clean = mp.apply_mapping(table, mapping, "name")
+        by_name = clean.groupBy("name").agg(F.count("name_clean").alias("n"), F.max("text"))
+        counts = {r["name"]: r.n for r in by_name.collect()}
+        final = by_name._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert counts["Hot Name"] == 200_000
+    assert sum(counts.values()) == table.where("name IS NOT NULL").count()
+    assert "skew=true" in final
