@@ -119,3 +119,35 @@ def test_hot_name_is_split_when_the_mapping_is_large(spark):
     assert counts["Hot Name"] == 200_000
     assert sum(counts.values()) == table.where("name IS NOT NULL").count()
     assert "skew=true" in final
+
+
+def test_hot_spelling_group_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from fettle.operators import variants as va
+
+    # A third of all spellings differ in punctuation only, so they share one compact form.
+    n = F.col("id")
+    noise = F.translate(F.sha2(n.cast("string"), 512), "0123456789abcdef", " -.,;:!?()[]{}*+")
+    name = F.when(n % 3 == 0, F.concat(F.lit("Hot"), noise, F.lit("Name"))).otherwise(
+        F.concat(F.lit("name "), n.cast("string"))
+    )
+    table = spark.range(30_000, numPartitions=8).select(n.alias("row_number"), name.alias("name"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        report = va.variants_report(table, "name")
+        rows = report.collect()
+        final = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(rows) == 10_000 and len({r.suggested_group for r in rows}) == 1
+    assert "skew=true" in final and "ReusedExchange" in final
