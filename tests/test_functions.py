@@ -174,9 +174,9 @@ def test_tokens(spark):
 
 
 def test_lookup_terms(spark):
-    questions = ['see "Acme Inc" R-1-2', "see R-1-2/3 or ABCD", "ABOUT NASA and ESGUQAM, AQAMXYZ", "plain", "it's 'ab' DATA",
+    questions = ['see "Acme Inc" R-1-2', "see R-1-2/3 or ABCD", "ABOUT NASA and ESGUQAM, AQAMXYZ", "plain", "it's ab' DATA",
                  "É-x-y UQAM.CA"]
-    assert apply(spark, questions, lookup_term) == ["Acme Inc", "R-1-2/3", "ESGUQAM", "", "s", "UQAM.CA"]
+    assert apply(spark, questions, lookup_term) == ["Acme Inc", "R-1-2/3", "ESGUQAM", "", "s ab", "UQAM.CA"]
 
 
 def test_code_points_fold_to_ascii_only(spark):
@@ -184,4 +184,5 @@ def test_code_points_fold_to_ascii_only(spark):
 
     source, target, expanded = fold_tables()
     assert all(c.isascii() for c in target) and all(v.isascii() for v in expanded.values())
-    assert all(unicodedata.combining(c) for c in source[len(target):])
+    removed = unicodedata.normalize("NFKD", source[len(target):])
+    assert all(unicodedata.combining(c) for c in removed)
