@@ -133,7 +133,7 @@ def test_hot_spelling_group_is_split(spark):
     name = F.when(n % 3 == 0, F.concat(F.lit("Hot"), noise, F.lit("Name"))).otherwise(
         F.concat(F.lit("name "), n.cast("string"))
     )
-    table = spark.range(30_000, numPartitions=8).select(n.alias("row_number"), name.alias("name"))
+    table = spark.range(60_000, numPartitions=8).select(n.alias("row_number"), name.alias("name"))
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -150,5 +150,5 @@ def test_hot_spelling_group_is_split(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
-    assert len(rows) == 10_000 and len({r.suggested_group for r in rows}) == 1
+    assert len(rows) == 20_000 and len({r.suggested_group for r in rows}) == 1
     assert "skew=true" in final and "ReusedExchange" in final
