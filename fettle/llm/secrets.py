@@ -58,7 +58,7 @@ def random_spans(token: str, window: int = WINDOW) -> list[tuple[int, int]]:
     least = next(t for _, c, t in CLASSES if c.fullmatch(token))
     if least == math.inf:
         return []
-    terms = [0.0, *(n * math.log2(n) for n in range(1, window + 1))]
+    terms = [0.0, *(n * math.log2(n) for n in range(1, window + 2))]
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     for i, c in enumerate(token):
