@@ -27,7 +27,7 @@ LEAST_LEAD = 0.005
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
-SCHEMA = "doc_id long, lang_pred string, score double, accepted boolean"
+FOUND = "lang_pred string, score double, accepted boolean"
 
 
 def sample_dictionaries(
@@ -79,15 +79,16 @@ class Encoders:
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float = LEAST_LEAD) -> DataFrame:
-    """doc_id, lang_pred, score and accepted for each row, from its whole text alone.
+    """Adds lang_pred, score and accepted to each row, from its whole text alone.
 
     The score is the lead of the smallest encoding over the second smallest, as a part of
     the second; a document with a lead under ``least_lead`` is not accepted. Without a
     letter, or where there is no dictionary, the language is ``und`` with score 0, not
     accepted. With a single dictionary the second size is that of the text itself. Ties go
-    to the first language by name. Other columns are not read.
+    to the first language by name. Repeated rows stay as they are.
     """
-    names = list(dictionaries)
+    names, kept = list(dictionaries), docs.columns
+    place = kept.index("text")
 
     def predict(text: str | None, encoders: Encoders) -> tuple[str, float, bool]:
         if not text or not names or not _LETTER.search(text):
@@ -103,14 +104,13 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                found = [predict(t, encoders) for t in part.column(1).to_pylist()]
+                found = [predict(t, encoders) for t in part.column(place).to_pylist()]
                 langs, scores, accepted = zip(*found)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())],
-                    ["doc_id", "lang_pred", "score", "accepted"],
-                )
+                added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*kept, "lang_pred", "score", "accepted"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, f"{schema}, {FOUND}")
 
 
 def held_out(doc_id):

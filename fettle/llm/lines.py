@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fettle.llm.common import stored
+
 RATIO = 0.1
 LEAST_PAGES = 3
 
@@ -46,7 +48,9 @@ def drop_boilerplate(
     contain it. A null text stays null with no lines; a null host is a host of its own; each
     of several equal rows is a page. Rows are never dropped: a page may end up empty.
     """
-    found = boilerplate(pages, host, text, ratio, least).withColumnRenamed("_host", "_site")
+    # Written first: its size is then known when the join is planned, and where it is small
+    # the pages need no shuffle.
+    found = stored(boilerplate(pages, host, text, ratio, least).withColumnRenamed("_host", "_site"), "boilerplate")
     joined = pages.join(found, F.col(host).eqNullSafe(F.col("_site")), "left").drop("_site")
     lines = F.split(text, "\n")
     kept = F.when(F.col("_drop").isNull(), lines).otherwise(

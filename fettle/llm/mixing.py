@@ -79,14 +79,14 @@ def mix(
     spark = docs.sparkSession
     columns = [c for c in docs.columns]
     named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
-    rows = stored(docs.withColumn("_source", named), "mix")
-    counts = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("_n"))
+    rows = docs.withColumn("_source", named).withColumn("_order", F.xxhash64(*columns))
+    counts = stored(rows.groupBy("_source").agg(F.count(F.lit(1)).alias("_n")), "sources")
     if weights is not None:
         listed = [f"={k}" for k in weights]
         pool = ~F.col("_source").isin(listed)
     else:
         # At most 2 * frame sources have a share this large, so that many rows at most are read here.
-        pool = F.col("_n") * (2 * frame) < F.lit(rows.count())
+        pool = F.col("_n") * (2 * frame) < F.lit(counts.agg(F.sum("_n")).first()[0] or 0)
     named_counts = counts.withColumn("_pool", pool)
     sizes = {
         r["_group"]: r["_n"]
@@ -118,7 +118,7 @@ def mix(
     facts = spark.createDataFrame([(k, s, sizes[k]) for k, s in shares.items()], "_of string, _share long, _size long")
     known = [k for k in shares if k != "*"]
     grouped = rows.withColumn("_group", F.when(F.col("_source").isin(known), F.col("_source")).otherwise("*"))
-    ranked = with_rank(grouped, "_group", ["doc_id"], "_rank")
+    ranked = with_rank(grouped, "_group", ["doc_id", "_order"], "_rank")
     ranked = ranked.join(F.broadcast(facts), F.col("_group") == F.col("_of"))
     # No more blocks of a source can come before the last slot than whole frames hold.
     most = F.lit(-(-until // length)) * F.col("_share")

@@ -70,7 +70,7 @@ class WordIds(dict):
         for word in words:
             low = word.lower() if word.isascii() else word
             # A run of letters and the mark after it are tokenized apart.
-            parts[word] = (low[:-1], low[-1]) if low[-1] in ".,!" and low[:-1].isalpha() else (low,)
+            parts[word] = (low[:-1], low[-1]) if low[-1] in ".,!" and low[:-1].lower().isalpha() else (low,)
         new = {p for ps in parts.values() for p in ps} - self.keys()
         simple = sorted(p for p in new if self.plain and "0" not in p)
         for at in range(0, len(simple), 2000):

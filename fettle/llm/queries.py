@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fettle.llm import exact, html, language, lines, mixing, packing, secrets
+from fettle.llm import exact, fingerprints, html, jaccard, language, lines, mixing, packing, secrets, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,10 +58,23 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     out = language.held_out(F.col("doc_id"))
     learnt = language.sample_dictionaries(docs.where(~out))
-    found = language.identify(docs, learnt)
+    found = language.identify(docs.select("doc_id", "text"), learnt)
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op6_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    found = fingerprints.fingerprints(documents(spark, sf_dir))
+    columns = ["fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *columns)
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that are left where passages of 35 words and more that repeat are removed."""
+    found = substrings.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     found = secrets.scan_secrets(documents(spark, sf_dir))
@@ -82,6 +95,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share most of their four-word shingles."""
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_harmonic_packing,
@@ -89,8 +107,11 @@ def queries() -> dict[str, Query]:
         op3_pfair_mixing,
         op4_html_extraction,
         op5_language_id,
+        op6_iblt_fingerprints,
+        op7_substring_dedup,
         op8_secret_scan,
         op9_exact_dedup,
+        op10_jaccard_join,
     ]
     return {f.__name__: f for f in found}
 
@@ -131,6 +152,29 @@ FROM rows WINDOW same AS (PARTITION BY text)
 """
 
 
+OP7_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 33)) AS place, w FROM words WHERE len(w) >= 35
+), keyed AS (
+  SELECT doc_id, place, array_to_string(w[place:place + 34], ' ') AS key FROM windows
+), repeated AS (
+  SELECT doc_id, place FROM (SELECT doc_id, place, count(*) OVER (PARTITION BY key) AS n FROM keyed) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + 35)) AS place FROM repeated
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words
+), kept AS (
+  SELECT p.doc_id, count(g.place) AS n_removed,
+         coalesce(string_agg(p.word, ' ' ORDER BY p.place) FILTER (WHERE g.place IS NULL), '') AS kept
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op7_substring_dedup": OP7_SQL, "op9_exact_dedup": OP9_SQL}

@@ -1,0 +1,126 @@
+import re
+from collections import defaultdict
+
+import pytest
+from helpers import awkward, awkward_rows, empty, words
+from pyspark.sql import functions as F
+
+from fettle.llm import fingerprints as fp
+from fettle.llm import queries
+
+
+def units(text):
+    parts = re.findall(r"[^\n]{120,}?[.!?](?=[ \t\n\x0b\f\r]|$)|[^\n]+", text)
+    return {p.strip(" ") for p in parts if p.strip(" ")}
+
+
+def near(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def brute(rows):
+    """doc_id to the set of (n_chars, edited, near_edited, near_next) that its rows may have."""
+    texts = defaultdict(list)
+    for doc_id, text in rows:
+        texts[doc_id].append(text or "")
+    ids = sorted(i for i in texts if i is not None)
+    out = defaultdict(set)
+    for doc_id, same in texts.items():
+        following = texts[ids[(ids.index(doc_id) + 1) % len(ids)]] if doc_id is not None else [None]
+        for text in same:
+            for after in following:
+                n = len(text) // 4
+                edited = text[: len(text) - n] + (after or "")[:n]
+                next_near = near(units(text), units(after)) if after is not None else 0.0
+                out[doc_id].add((len(text), edited, round(near(units(text), units(edited)), 9), round(next_near, 9)))
+    return out
+
+
+def check(df, rows):
+    got, want = df.collect(), brute(rows)
+    assert len(got) == len(rows)
+    prints = defaultdict(set)
+    texts = defaultdict(set)
+    for doc_id, text in rows:
+        texts[doc_id].add(text or "")
+    for r in got:
+        assert (r["n_chars"], r["edited"], round(r["near_edited"], 9), round(r["near_next"], 9)) in want[r["doc_id"]]
+        if len(texts[r["doc_id"]]) == 1:
+            prints[next(iter(texts[r["doc_id"]]))].add(r["fingerprint"])
+        prints[r["edited"]].add(r["edited_fingerprint"])
+    assert all(len(p) == 1 for p in prints.values())
+    return got
+
+
+def test_documents(spark, sf_dir):
+    rows = [(r["doc_id"], r["text"]) for r in queries.documents(spark, sf_dir).collect()]
+    got = check(fp.fingerprints(queries.documents(spark, sf_dir)), rows)
+    assert sum(r["near_edited"] > r["near_next"] for r in got) / len(got) > 0.9
+
+
+def test_fingerprints_hold_all_digests(spark):
+    """Each digest is in four cells, so the counts of a table add up to four times its size."""
+    docs = spark.createDataFrame([(i, "\n".join(f"line {j}" for j in range(i))) for i in range(30)], "doc_id long, text string")
+    for r in fp.fingerprints(docs).collect():
+        n, *cells = r["fingerprint"].split(" ")
+        assert int(n) == r["doc_id"] and sum(int(c.split(".")[1], 16) for c in cells) == 4 * r["doc_id"]
+
+
+def test_base_tables_come_apart(spark):
+    """Small differences need no larger table."""
+    rows = [(i, "\n".join(f"line {j} {j * (j < 20) + i * (j >= 20)}" for j in range(24))) for i in range(40)]
+    tried = fp.edited_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    tried = tried.withColumn("own", fp.digests(F.col("text"))).withColumn("changed", fp.digests(F.col("edited")))
+    found = fp._with_base(tried).select(fp._peel(fp._difference(0, 2), F.lit(fp.BASE_CELLS), 0).alias("d"))
+    got = [r["d"] for r in found.collect()]
+    assert got.count(8) > 38 and set(got) <= {8, None}
+
+
+def test_awkward_rows(spark):
+    check(fp.fingerprints(awkward(spark)), [(r[0], r[1]) for r in awkward_rows()])
+
+
+def test_single_and_empty(spark):
+    check(fp.fingerprints(awkward(spark).where("doc_id = 13")), [(13, words(2, 300))])
+    assert fp.fingerprints(empty(spark)).count() == 0
+    assert fp.fingerprints(awkward(spark).where("doc_id is null")).count() == 2
+
+
+@pytest.mark.parametrize("ids", [[5], list(range(10_000)), [-(2**63), -7, 0, 3, 4095, 4096, 2**31, 2**47, 2**62, 2**63 - 1]])
+def test_successors(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r["id"]: r["next"] for r in fp.successors(df).collect()}
+    assert got == {a: b for a, b in zip(ids, [*ids[1:], ids[0]])}
+
+
+def pairs(spark, cells):
+    """Sets with 0 to 40 digests of their own and some in common."""
+    rows = [(str(n), 1, "x", list(range(n + 7)), list(range(n, n + 7 + n // 2)), cells) for n in range(40)]
+    return spark.createDataFrame(rows, "key string, copy int, kind string, one array<long>, other array<long>, cells long")
+
+
+def test_larger_tables_recover_all(spark):
+    got = {int(r["key"]): r["found"] for r in fp._peel_rows(pairs(spark, 400), 1).collect()}
+    assert all(got.get(n, 0) == n + n // 2 for n in range(1, 40))
+
+
+def test_small_tables_fail_rather_than_guess(spark):
+    got = {int(r["key"]): r["found"] for r in fp._peel_rows(pairs(spark, 16), 1).collect()}
+    assert 39 not in got and all(got[n] == n + n // 2 for n in got)
+
+
+def test_table_in_a_row(spark):
+    size = F.lit(16).cast("long")
+    for cells, least in ((16, 1), (400, 39)):
+        size = F.lit(cells).cast("long")
+        changes = F.concat(fp._changes(F.col("one"), 1, size, 2), fp._changes(F.col("other"), -1, size, 2))
+        table = fp._in_use(fp._grouped(changes))
+        rows = pairs(spark, cells).select("key", fp._peel(table, size, 2).alias("d"), fp._retried(F.col("one"), F.col("other")).alias("e"))
+        got = {int(r["key"]): (r["d"], r["e"]) for r in rows.collect()}
+        assert sum(d is not None for d, _ in got.values()) >= least
+        assert all(d in (None, n + n // 2) and e == n + n // 2 for n, (d, e) in got.items())
+
+
+def test_no_python_in_the_plan(spark):
+    plan = fp.fingerprints(awkward(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

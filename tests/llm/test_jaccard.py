@@ -1,0 +1,127 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from helpers import awkward, awkward_rows, empty, words
+
+from fettle.llm import jaccard, queries
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text, k):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return frozenset([tuple(w)] if 0 < len(w) < k else [tuple(w[i : i + k]) for i in range(len(w) - k + 1)])
+
+
+def brute(rows, k=4, percent=85):
+    """(doc_id, n_shingles, component_id) of each row."""
+    sets = [shingles(t, k) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    having = defaultdict(list)
+    for i, s in enumerate(sets):
+        common = Counter(j for x in s for j in having[x])
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                parent[find(i)] = find(j)
+        for x in s:
+            having[x].append(i)
+    low = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            low[find(i)] = min(low.get(find(i), doc_id), doc_id)
+    return Counter((doc_id, len(sets[i]), low.get(find(i))) for i, (doc_id, _) in enumerate(rows))
+
+
+def result(df):
+    return Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect())
+
+
+def edits(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+def test_documents(spark, sf_dir):
+    docs = queries.documents(spark, sf_dir)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert result(jaccard.jaccard_components(docs)) == brute(rows)
+
+
+def test_awkward_rows(spark):
+    got = jaccard.jaccard_components(awkward(spark), batch_bytes=1000)
+    assert result(got) == brute([(r[0], r[1]) for r in awkward_rows()])
+
+
+@pytest.mark.parametrize("task_shingles", [2_000_000, 3_000])
+def test_large_groups_of_near_copies(spark, monkeypatch, task_shingles):
+    """Groups in which most pairs are near the threshold, in one task and in many."""
+    rng = random.Random(4)
+    rows = []
+    for g, n in enumerate((150, 40, 3)):
+        base = words(10 + g, 120, 5000)
+        rows += [(len(rows) + i, edits(rng, base, rng.randrange(9))) for i in range(n)]
+    chain = words(99, 100, 5000).split()
+    rows += [(500 + i, " ".join(chain[4 * i :] + [f"t{j}" for j in range(4 * i)])) for i in range(20)]
+    rows += [(600 + i, words(700 + i, 30, 5000)) for i in range(50)]
+    rng.shuffle(rows)
+    find = jaccard.find_links
+    monkeypatch.setattr(jaccard, "find_links", lambda nodes, percent: find(nodes, percent, task_shingles))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert result(jaccard.jaccard_components(docs, batch_bytes=20_000)) == brute(rows)
+
+
+def test_hot_group_of_copies_and_short_texts(spark):
+    rows = [(i, words(1, 40) if i % 3 == 0 else f"Short  text {i % 50}") for i in range(900)]
+    rows += [(1000 + i, "a b c d " * i) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(jaccard.jaccard_components(docs)) == brute(rows)
+
+
+def test_other_sizes(spark):
+    rng = random.Random(5)
+    base = [words(i, 60, 900) for i in range(20)]
+    rows = [(i, edits(rng, base[i % 20], i % 6)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(jaccard.jaccard_components(docs, 5, 80)) == brute(rows, 5, 80)
+
+
+def test_region_equals_all_pairs():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 10**6, (6, 100))
+    sets = []
+    for i in range(400):
+        s = base[i % 6].copy()
+        s[rng.integers(0, 100, rng.integers(0, 14))] = rng.integers(10**6, 10**9)
+        sets.append(np.unique(s))
+    region = jaccard.Region(sets, list(range(400)), 85)
+    region.join(np.arange(400))
+    want = set()
+    for i in range(400):
+        for j in range(i):
+            n = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+                want.add((i, j))
+    assert all(region.root[i] == region.root[j] for i, j in want)
+    assert all((max(a, b), min(a, b)) in want for a, b in region.links)
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 2000)], "a long, b long")
+    got = {r["node"]: r["component"] for r in jaccard.components(links).collect()}
+    assert got == {i: 0 for i in range(301)} | {1000: 1000, 2000: 1000}
+
+
+def test_empty(spark):
+    assert jaccard.jaccard_components(empty(spark)).count() == 0

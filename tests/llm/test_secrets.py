@@ -67,7 +67,7 @@ def test_entropy_and_allowed():
         "pneumonoultramicroscopicsilicovolcanoconiosis",
         "123e4567-e89b-12d3-a456-426614174000",
         "path/to/some/ordinary/file/name",
-        "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1",
+        "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz1",
         "AbstractSingletonProxyFactoryBean2",
     ):
         assert secrets.find(clean) == []
