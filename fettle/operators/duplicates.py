@@ -91,12 +91,10 @@ def duplicate_report(
     row_number: str = "row_number",
     exclude: Iterable[str] = (),
     na_tokens: Iterable[str] = NA_TOKENS,
-    positions: DataFrame | None = None,
 ) -> DataFrame:
     """Duplicate groups with the fields of their first row.
 
-    ``row_number`` is any unique column that follows source order. When it is not
-    itself the 1-based position, ``positions`` maps it (as ``key``) to the position.
+    ``row_number`` is any unique column that follows source order.
     """
     filled = null_to_empty(canonical_null(df, na_tokens))
     groups = duplicate_groups(filled, rules, row_number, exclude)
@@ -110,11 +108,6 @@ def duplicate_report(
         ],
     )
     report = groups.join(samples, "sample_row_number")
-    if positions is not None:
-        numbered = positions.select(F.col("key").alias("sample_row_number"), "position")
-        report = report.join(numbered, "sample_row_number").withColumn(
-            "sample_row_number", F.col("position")
-        )
     return report.select(
         "duplicate_type",
         "duplicate_key",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fettle.functions.nulls import strip
 from fettle.functions.rows import beside
-from fettle.functions.shapes import to_number
+from fettle.functions.shapes import exact_sum, to_number
 from fettle.functions.tokens import (
     STOP_WORDS,
     TOKEN_PATTERN,
@@ -99,12 +99,14 @@ def split_sections(
     )
 
 
-def section_score(chunk: Column, tokens: Sequence[str]) -> Column:
+def section_score(
+    chunk: Column, tokens: Sequence[str], heading_chars: int = HEADING_CHARS
+) -> Column:
     """Question words found in a chunk, plus a bonus when one is near its start."""
     if not tokens:
         return F.lit(0)
     overlap = words_found(chunk, tokens)
-    start = fold_case(F.substring(chunk, 1, HEADING_CHARS))
+    start = fold_case(F.substring(chunk, 1, heading_chars))
     near_start = F.lit(False)
     for token in tokens:
         near_start = near_start | start.contains(token)
@@ -132,12 +134,13 @@ def relevant_rows(
     k: int = 6,
     order: Sequence[Column | str] = (),
     cols: Sequence[str] | None = None,
+    words: int = QUESTION_TOKENS,
 ) -> DataFrame:
-    """The k rows that contain most of the first ten question words, cells clipped."""
+    """The k rows that contain most of the first ``words`` question words, cells clipped."""
     cols = list(cols if cols is not None else report.columns)
     cells = [F.col(f"`{c}`").cast("string") for c in cols]
     score = F.lit(0)
-    for token in question_tokens(question)[:QUESTION_TOKENS]:
+    for token in question_tokens(question)[:words]:
         score = score + any_contains(cells, token).cast("int")
     best = (
         report.withColumn("_score", score)
@@ -155,12 +158,13 @@ def budget_concat(
 ) -> DataFrame:
     """Join texts in order until a character budget is used up; the last one is clipped.
 
-    ``order`` must be a unique key. Each text costs its length plus the separator, so at
+    ``order`` must be a unique key; a null text takes no part. Each text costs its length plus the separator, so at
     most budget / 2 + 1 texts can take part: only that many keys and lengths, without the
     texts, reach the running total. The texts of the few that fit are then looked up, each
     cut to what is left, so one task never holds more than the budget in characters.
     """
     cost = len(SEPARATOR)
+    items = items.where(F.col(text).isNotNull())
     lengths = items.select(*order, F.char_length(text).alias("_size"))
     first = lengths.orderBy(*order).limit(budget // cost + 1)
     in_order = Window.orderBy(*order)
@@ -205,16 +209,16 @@ def lookup_totals(
 ) -> DataFrame:
     """Rows that contain the term and the sum of their values; without a term, zeros.
 
-    The sum is taken in decimals, so it does not depend on the order of addition.
+    Ordinary values are summed in decimals, so the order of addition does not matter.
     """
     if not term:
         return df.sparkSession.range(1).select(
             F.lit(0).cast("bigint").alias("matched_rows"), F.lit(0.0).alias("value_sum")
         )
-    value = to_number(F.col(f"`{value_col}`").cast("string")).try_cast("decimal(38,6)")
+    value = to_number(F.col(f"`{value_col}`").cast("string"))
     return _lookup(df, term, cols).agg(
         F.count(F.lit(1)).alias("matched_rows"),
-        F.coalesce(F.sum(value).cast("double"), F.lit(0.0)).alias("value_sum"),
+        exact_sum(value).alias("value_sum"),
     )
 
 

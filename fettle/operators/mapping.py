@@ -58,10 +58,17 @@ def accepted_only(mapping: DataFrame) -> DataFrame:
     return mapping.where(F.col("status") == "accepted")
 
 
-def _effective(mapping: DataFrame) -> DataFrame:
-    """Accepted pairs that change something; a label that maps to itself does not."""
-    return accepted_only(mapping).where(F.col("clean_value") != F.col("original_value")).select(
-        "original_value", "clean_value"
+def effective(mapping: DataFrame) -> DataFrame:
+    """Accepted pairs that change something; a label that maps to itself does not.
+
+    One per original value: of several accepted labels the first in the alphabet counts, so
+    that a mapping edited by hand never multiplies rows.
+    """
+    return (
+        accepted_only(mapping)
+        .groupBy("original_value")
+        .agg(F.min("clean_value").alias("clean_value"))
+        .where(F.col("clean_value") != F.col("original_value"))
     )
 
 
@@ -73,8 +80,8 @@ def changed(raw: Column, clean: Column) -> Column:
 def apply_mapping(df: DataFrame, mapping: DataFrame, target: str) -> DataFrame:
     """Add ``<target>_clean`` right after the target: the accepted value, else the original.
 
-    The mapping must have one row per original value. It may grow with the table, so it
-    is not forced into a broadcast: the optimiser broadcasts it below its size limit and
+    Rows are neither lost nor multiplied. The mapping may grow with the table, so it is not
+    forced into a broadcast: the optimiser broadcasts it below its size limit and
     otherwise joins by key, splitting a name that holds many rows.
     """
     if target not in df.columns:
@@ -90,7 +97,7 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, target: str) -> DataFrame:
     # this join, the form in which adaptive execution can split a hot name.
     original = F.col("original_value")
     same = (raw == original) & (F.octet_length(raw) == F.octet_length(original))
-    return df.join(_effective(mapping), same, "left").select(*columns)
+    return df.join(effective(mapping), same, "left").select(*columns)
 
 
 def changed_count(df: DataFrame, raw: str, clean: str) -> DataFrame:
@@ -121,7 +128,7 @@ def cleaning_summary(df: DataFrame, mapping: DataFrame, target: str) -> DataFram
     counts = df.groupBy(F.col(f"`{target}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     applied = F.when(F.col("clean_value").isNotNull(), F.col("n"))
     rows = counts.join(
-        _effective(mapping), F.col("value") == F.col("original_value"), "left"
+        effective(mapping), F.col("value") == F.col("original_value"), "left"
     ).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_processed"),
         F.coalesce(F.sum(applied), F.lit(0)).alias("corrections_applied"),

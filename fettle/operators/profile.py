@@ -121,10 +121,15 @@ def remediation_plan(df: DataFrame, policies: Sequence, default, na_tokens=NA_TO
     )
 
 
-def _column_stats(df: DataFrame, n: int, order: str, na_tokens: Iterable[str]) -> DataFrame:
-    """Per column counts over the first n rows; the sample is at most n rows wide and small."""
+def _column_stats(
+    df: DataFrame, order: str, n: int | None, na_tokens: Iterable[str]
+) -> DataFrame:
+    """Per column counts over all rows, or the first n; one pass, a row per column and task.
+
+    The medians are of text lengths, so they keep one count for each length.
+    """
     names = df.columns
-    sample = sample_rows(df, n, order)
+    sample = df if n is None else sample_rows(df, n, order)
     text = sample.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in names])
     ordinals = F.array(*[F.lit(c) for c in names])
     cells = text.unpivot([], [F.col(f"`{c}`") for c in names], "column", "raw")
@@ -173,17 +178,21 @@ def _dtype() -> Column:
     )
 
 
-def column_dtypes(df: DataFrame, order: str, n: int = 1000, na_tokens=NA_TOKENS) -> DataFrame:
-    """Detected storage type of each column, from the first n rows."""
+def column_dtypes(
+    df: DataFrame, order: str, n: int | None = None, na_tokens=NA_TOKENS
+) -> DataFrame:
+    """Detected storage type of each column, from all rows or the first n."""
     return (
-        _column_stats(df, n, order, list(na_tokens))
+        _column_stats(df, order, n, list(na_tokens))
         .orderBy("ordinal")
         .select("column", "detected_dtype")
     )
 
 
-def column_roles(df: DataFrame, order: str, n: int = 1000, na_tokens=NA_TOKENS) -> DataFrame:
-    """Role of each column (numeric, text or date), from the first n rows."""
+def column_roles(
+    df: DataFrame, order: str, n: int | None = None, na_tokens=NA_TOKENS
+) -> DataFrame:
+    """Role of each column (numeric, text or date), from all rows or the first n."""
     name = F.lower("column")
 
     def named(hints: Sequence[str]) -> Column:
@@ -209,7 +218,7 @@ def column_roles(df: DataFrame, order: str, n: int = 1000, na_tokens=NA_TOKENS)
         .otherwise("text")
     )
     return (
-        _column_stats(df, n, order, list(na_tokens))
+        _column_stats(df, order, n, list(na_tokens))
         .orderBy("ordinal")
         .select("column", role.alias("role"))
     )

@@ -13,7 +13,7 @@ from fettle.functions.nulls import NA_TOKENS, canonical_null
 from fettle.functions.rows import as_rows, beside
 from fettle.functions.shapes import date_shape, numeric_shape
 from fettle.operators.profile import missing_profile
-from fettle.plans.policies import (
+from fettle.operators.policies import (
     DEFAULT_POLICY,
     DEPENDENT_DATE,
     DEPENDENT_FILL,
@@ -26,6 +26,11 @@ from fettle.plans.policies import (
 
 REVIEW = "needs_review"
 
+# Names of actions in the audit and the log.
+SENT_TO_REVIEW = "SENT TO REVIEW"
+DROPPED_VALUE = "DROPPED VALUE"
+DROPPED_COLUMN = "DROPPED COLUMN"
+
 
 def unlisted_incomplete(df: DataFrame, policies: Sequence[Policy] = POLICIES) -> list[str]:
     """Incomplete columns that no policy lists. Runs the profile: one name per column returns."""
@@ -176,12 +181,12 @@ def _actions(name: str, p: Policy) -> list[tuple[str, Column]]:
     cell = F.col(f"`{name}`")
     missing = cell.isNull()
     if p.kind == DROP:
-        return [("DROPPED VALUE", cell.isNotNull())]
+        return [(DROPPED_VALUE, cell.isNotNull())]
     if p.kind == DEPENDENT_DATE:
         unamended = _is_unamended(p)
         return [
             (f"STATUS {p.fill}", missing & unamended),
-            ("SENT TO REVIEW", missing & ~unamended),
+            (SENT_TO_REVIEW, missing & ~unamended),
         ]
     if p.kind == STATUS:
         return [(f"STATUS {p.fill}", missing)]
@@ -194,22 +199,39 @@ def _actions(name: str, p: Policy) -> list[tuple[str, Column]]:
     return [(f"FILLED {p.fill}", missing)]
 
 
+def _steps(chosen: dict[str, Policy]) -> list[tuple[str, str, Column]]:
+    """(column, action, test) of all that is done; rows held for review are left as they came."""
+    held = _needs_review(chosen)
+    return [
+        (name, action, test if action == SENT_TO_REVIEW else test & ~held)
+        for name, p in chosen.items()
+        for action, test in _actions(name, p)
+    ]
+
+
 def remediation_audit(
     df: DataFrame,
     policies: Sequence[Policy] = POLICIES,
     unlisted: Sequence[str] = (),
     na_tokens: Iterable[str] = NA_TOKENS,
 ) -> DataFrame:
-    """Cells touched per column and action; one aggregate over one scan."""
+    """Cells touched per column and action; one aggregate over one scan.
+
+    Counts what the curated table shows, and the cells that sent a row to review. A dropped
+    column is listed whether it had values or not, with their number.
+    """
     clean = canonical_null(df, na_tokens)
     chosen = policy_by_column(df.columns, policies, unlisted)
-    steps = [(n, action, test) for n, p in chosen.items() for action, test in _actions(n, p)]
+    steps = _steps(chosen)
     totals = clean.agg(*[F.count_if(test).alias(f"_{i}") for i, (_, _, test) in enumerate(steps)])
     listed = as_rows(
         ["column", "action", "cells"],
-        [(F.lit(n), F.lit(a), F.col(f"_{i}")) for i, (n, a, _) in enumerate(steps)],
+        [
+            (F.lit(n), F.lit(DROPPED_COLUMN if a == DROPPED_VALUE else a), F.col(f"_{i}"))
+            for i, (n, a, _) in enumerate(steps)
+        ],
     )
-    return totals.select(listed).where("cells > 0")
+    return totals.select(listed).where((F.col("cells") > 0) | (F.col("action") == DROPPED_COLUMN))
 
 
 def remediation_log(
@@ -224,7 +246,6 @@ def remediation_log(
     chosen = policy_by_column(df.columns, policies, unlisted)
     entries = [
         F.when(test, F.struct(F.lit(n).alias("column"), F.lit(action).alias("action")))
-        for n, p in chosen.items()
-        for action, test in _actions(n, p)
+        for n, action, test in _steps(chosen)
     ]
     return clean.select(row_number, F.inline(F.array_compact(F.array(*entries))))

@@ -39,8 +39,10 @@ def search_report(
 ) -> DataFrame:
     """Rows of a report with the text in any column; a blank query keeps every row.
 
-    ``order`` is the order of the report; give it whenever there is a limit.
+    ``order`` is the order of the report; a limit needs one.
     """
+    if limit is not None and not order:
+        raise ValueError("a limit needs an order")
     found = filter_value(df, *where) if where else df
     if query.strip():
         found = found.where(any_contains(_text_columns(df), query))
@@ -94,9 +96,10 @@ def top_rows(
     """First n rows by a text column read as a number; text that is no number comes last."""
     if col in df.columns:
         number = to_number(F.col(f"`{col}`").cast("string"))
-        key = number.asc_nulls_last() if ascending else number.desc_nulls_last()
-        df = df.orderBy(key, *order)
-    return df.limit(n)
+        order = [number.asc_nulls_last() if ascending else number.desc_nulls_last(), *order]
+    if not order:
+        raise ValueError(f"the table has no column {col}, and a limit needs an order")
+    return df.orderBy(*order).limit(n)
 
 
 def clip_cells(df: DataFrame, n: int = 240) -> DataFrame:

@@ -7,45 +7,41 @@ from pyspark.sql import functions as F
 
 from fettle.functions.rows import as_rows
 from fettle.operators.duplicates import total_flagged
-from fettle.operators.mapping import changed, review_count
+from fettle.operators.mapping import changed, effective, review_count
 
 
 def _metric(name: str, df: DataFrame, column: str) -> DataFrame:
     return df.select(F.lit(name).alias("metric"), F.col(column).cast("bigint").alias("value"))
 
 
-def name_metrics(clean: DataFrame, target: str) -> DataFrame:
-    """Rows, distinct raw and cleaned names, and corrections, in one pass.
+def name_metrics(raw: DataFrame, mapping: DataFrame | None, target: str) -> DataFrame:
+    """Rows, distinct raw and cleaned names, and corrections.
 
-    Rows are first counted per pair of raw and cleaned name; all figures follow from
-    those pairs, so the distinct counts never expand the table.
+    Rows are counted by name first; the mapping is joined to the counts, never to the table,
+    and all figures follow from them.
     """
-    raw, cleaned = F.col(f"`{target}`"), F.col(f"`{target}_clean`")
-    pairs = clean.groupBy(raw.alias("raw"), cleaned.alias("clean")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    name = F.col(f"`{target}`")
+    counts = raw.groupBy(name.alias("raw")).agg(F.count(F.lit(1)).alias("n"))
+    if mapping is None:
+        pairs = counts.withColumn("clean", F.lit(None).cast("string"))
+    else:
+        found = counts.join(effective(mapping), F.col("raw") == F.col("original_value"), "left")
+        pairs = found.select("raw", "n", F.coalesce("clean_value", "raw").alias("clean"))
     moved = F.when(changed(F.col("raw"), F.col("clean")), F.col("n")).otherwise(0)
     return pairs.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.count_distinct("raw").alias("distinct_raw"),
+        # There is one row for each raw name.
+        F.count("raw").alias("distinct_raw"),
         F.count_distinct("clean").alias("distinct_clean"),
         F.coalesce(F.sum(moved), F.lit(0)).alias("corrections_applied"),
     )
 
 
 def final_summary(
-    raw: DataFrame,
-    clean: DataFrame | None,
-    duplicates: DataFrame,
-    mapping: DataFrame,
-    target: str,
+    raw: DataFrame, duplicates: DataFrame, mapping: DataFrame, target: str, cleaned: bool = True
 ) -> DataFrame:
     """Metric and value for the whole run; without a cleaned table its metrics are 0."""
-    names = name_metrics(
-        raw.withColumn(f"{target}_clean", F.col(f"`{target}`")) if clean is None else clean, target
-    )
-    if clean is None:
-        names = names.withColumn("distinct_clean", F.lit(0))
+    names = name_metrics(raw, mapping if cleaned else None, target)
     fields = ["rows", "distinct_raw", "distinct_clean", "corrections_applied"]
     listed = names.select(
         as_rows(

@@ -132,24 +132,26 @@ def variants_report(
     order: str = "row_number",
     families: Sequence[AliasFamily] = DEFAULT_FAMILIES,
 ) -> DataFrame:
-    """Spelling variants with suggestion, score and decision.
+    """Spelling variants with suggestion, score and decision, in no order.
 
-    All text work is done on distinct values, after the counts.
+    All text work is done on distinct values, after the counts. ``report_order`` sorts the
+    report where it is shown or written; the mapping and all counts do without.
     """
-    return (
-        scored_names(value_counts(df, target, order), families)
-        .select(
-            "original_value",
-            "normalized_value",
-            "suggested_group",
-            "similarity_score",
-            "count",
-            "decision",
-        )
-        .orderBy(decision_rank(F.col("decision")), F.desc("count"), "original_value")
+    return scored_names(value_counts(df, target, order), families).select(
+        "original_value",
+        "normalized_value",
+        "suggested_group",
+        "similarity_score",
+        "count",
+        "decision",
     )
 
 
+def report_order() -> list[Column | str]:
+    """Order of the variants report: decision, most rows first, name."""
+    return [decision_rank(F.col("decision")), F.desc("count"), "original_value"]
+
+
 def decision_counts(report: DataFrame) -> DataFrame:
     """Rows per decision, most frequent first."""
     return (

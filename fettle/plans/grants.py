@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fettle.sources.positions import with_row_number
-from fettle.sources.tables import spread
+from fettle.sources.positions import read_parquet_numbered, with_row_number
 
 # The view definition, in column order after row_number.
 COLUMNS = {
@@ -47,17 +46,16 @@ COLUMNS = {
 _PART_NAMES = 64
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str = "") -> DataFrame:
-    """One generated table; with a key, spread over all cores if one task would read it."""
-    scan = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(scan, key) if key else scan
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One generated table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Names come from part keys 0 to 63: the primary key bounds the broadcast to 64 rows.
     part = table(spark, sf_dir, "part").where(F.col("p_partkey").between(0, _PART_NAMES - 1))
     return (
-        table(spark, sf_dir, "orders", "o_orderkey")
+        read_parquet_numbered(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
         .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(F.broadcast(part), F.expr(f"p_partkey = o_orderkey % {_PART_NAMES}"))
@@ -65,27 +63,22 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view with ``row_number`` holding the order key.
+    """The view with ``row_number``, the place of the order in its table.
 
-    The key is unique and follows source order, which is all that most operators need.
-    Those that show the position itself use ``numbered_grants`` or ``positions``.
+    The scan gives the place, without a shuffle; each order has one customer, nation and
+    part, so every place is there once.
     """
     cells = [f"{sql} AS {name}" for name, sql in COLUMNS.items()]
-    return _joined(spark, sf_dir).selectExpr("o_orderkey AS row_number", *cells)
+    return _joined(spark, sf_dir).selectExpr("row_number", *cells)
 
 
 def numbered_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view with ``row_number`` holding the 1-based position in key order."""
-    keyed = grants(spark, sf_dir).withColumnRenamed("row_number", "_key")
+    """The same view numbered by the order of a key instead of the scan."""
+    cells = [f"{sql} AS {name}" for name, sql in COLUMNS.items()]
+    keyed = _joined(spark, sf_dir).drop("row_number").selectExpr("o_orderkey AS _key", *cells)
     return with_row_number(keyed, "_key").select("row_number", *COLUMNS)
 
 
-def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order key to 1-based position, over key columns only."""
-    keys = grants(spark, sf_dir).select(F.col("row_number").alias("key"))
-    return with_row_number(keys, "key", "position")
-
-
 def grants_sql() -> str:
     """The same view as one SQL statement."""
     cells = ",\n  ".join(f"{sql} AS {name}" for name, sql in COLUMNS.items())

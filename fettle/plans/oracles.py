@@ -25,9 +25,9 @@ from fettle.functions.labels import (
 )
 from fettle.functions.nulls import NA_TOKENS
 from fettle.functions.tokens import NOT_LOOKUPS, STOP_WORDS
-from fettle.operators.evidence import METRIC_PATTERNS, question_tokens
+from fettle.operators.evidence import METRIC_PATTERNS
 from fettle.plans.grants import COLUMNS, grants_sql
-from fettle.plans.policies import DEFAULT_POLICY, POLICIES
+from fettle.operators.policies import DEFAULT_POLICY, POLICIES
 from fettle.plans.registry import (
     PREVIEW_COLUMNS,
     QUESTION,
@@ -141,8 +141,7 @@ _sample_cells = " UNION ALL ".join(
     f"SELECT {i} AS ordinal, '{c}' AS col, CAST({c} AS varchar) AS raw FROM head"
     for i, c in enumerate(["row_number", *COLS])
 )
-# The key starts at 0 where the position starts at 1: lengths differ by nothing that matters.
-STATS = rf"""{GRANTS}, head AS (SELECT * FROM grants ORDER BY row_number LIMIT 1000),
+STATS = rf"""{GRANTS}, head AS (SELECT * FROM grants ORDER BY row_number HEAD_ROWS),
 cells AS (SELECT ordinal, col, {as_null('raw', False)} AS v FROM ({_sample_cells})),
 shaped AS (SELECT ordinal, col, v, nullif({strip('v')}, '') AS shown,
   regexp_matches(v, '^[+-]?[0-9]+$') AS is_int, regexp_matches(v, '{NUMBER}') AS is_num FROM cells),
@@ -154,6 +153,15 @@ stats AS (SELECT ordinal, col, count(*) AS n, count(v) AS present, count(shown)
 typed AS (SELECT *, CASE WHEN present = 0 THEN 'float64' WHEN ints = n THEN 'int64'
   WHEN nums = present THEN 'float64' ELSE 'object' END AS dtype FROM stats)"""
 
+def _roles(head: str, name: str) -> str:
+    return f"""WITH {STATS.replace("HEAD_ROWS", head)}, shown AS (SELECT *, CASE WHEN dtype = 'float64' THEN len + 2 ELSE len END AS l FROM typed)
+SELECT col AS "column", CASE WHEN shown = 0 THEN 'text'
+  WHEN {name} LIKE '%date%' AND dates >= 0.5 THEN 'date'
+  WHEN {name} NOT LIKE '%date%' AND ({name} LIKE '%start%' OR {name} LIKE '%end%') AND dates >= 0.9 AND l >= 8 THEN 'date'
+  WHEN numbers >= 0.9 AND {name} NOT LIKE '%name%' AND {name} NOT LIKE '%title%'
+    AND {name} NOT LIKE '%description%' AND l <= 20 THEN 'numeric' ELSE 'text' END AS role FROM shown"""
+
+
 # Duplicates
 
 _KEYS = {
@@ -305,7 +313,9 @@ def tokens(x: str) -> str:
     )
 
 
-_asked = question_tokens(QUESTION)
+# Words of the two questions, typed out: without stop words and repeats, in order.
+_asked = ["duplicate", "blue", "gear", "notes"]
+_report_words = ["why", "blue", "gear", "review", "accepted", "coop", "uqam", "forms", "remain"]
 _list = "[" + ", ".join(lit(t) for t in _asked) + "]"
 _near = " OR ".join(f"contains({fold('left(chunk, 250)')}, {lit(t)})" for t in _asked)
 TOP = f"""{SECTIONS}, scores AS (SELECT *, CAST(len(list_intersect({tokens('chunk')}, {_list}))
@@ -324,7 +334,7 @@ bounded AS (SELECT string_agg(substr(text, 1, CAST(remaining AS bigint)), chr(10
 def _relevance() -> str:
     cols = ["original_value", "clean_value", "status", "reason"]
     score = " + ".join(
-        f"CAST({contains(cols, t)} AS integer)" for t in question_tokens(REPORT_QUESTION)[:10]
+        f"CAST({contains(cols, t)} AS integer)" for t in _report_words
     )
     shown = ", ".join(f"left({c}, 240) AS {c}" for c in cols)
     return f"""WITH {MAPPING}, s AS (SELECT *, {score} AS score FROM mapping)
@@ -356,7 +366,7 @@ _number = f"CASE WHEN regexp_matches({strip('agreement_value')}, '{NUMBER}') THE
 
 def _totals(source: str, cols) -> str:
     return f"""SELECT count(*) AS matched_rows,
-  coalesce(CAST(sum(CAST({_number} AS decimal(38, 6))) AS double), 0.0) AS value_sum
+  coalesce(sum({_number}), 0.0) AS value_sum
 FROM {source} WHERE {contains(cols, TERM)}"""
 
 
@@ -384,9 +394,10 @@ TREATED = f"""{CLEAN}, treated AS (SELECT row_number AS key, ref_number, amendme
   foreign_currency_value,
   CASE WHEN foreign_currency_value IS NULL THEN 'NOT_APPLICABLE' END AS foreign_currency_value_status,
   {_held} AS held FROM clean)"""
-_LOG = [
-    ("amendment_date", "STATUS NOT_APPLICABLE", "amendment_date IS NULL AND amendment_number = '0'"),
-    ("amendment_date", "SENT TO REVIEW", _held),
+# What the rules say is logged: rows with an amendment without its date go to a person as they
+# came, so nothing else is done to them; all others are filled, marked or lose a column.
+_DONE = [
+    ("amendment_date", "STATUS NOT_APPLICABLE", "amendment_date IS NULL"),
     ("agreement_type", "FILLED UNKNOWN", "agreement_type IS NULL"),
     ("recipient_type", "FILLED UNKNOWN", "recipient_type IS NULL"),
     ("recipient_operating_name", "FILLED NOT_PROVIDED", "recipient_operating_name IS NULL"),
@@ -394,12 +405,30 @@ _LOG = [
     ("recipient_province", "FILLED NOT_APPLICABLE", "recipient_province IS NULL AND recipient_country <> 'CA'"),
     ("recipient_province", "FILLED UNKNOWN", "recipient_province IS NULL AND coalesce(recipient_country, 'CA') = 'CA'"),
     ("recipient_city", "FILLED UNKNOWN", "recipient_city IS NULL"),
-    ("recipient_postal_code", "FILLED UNKNOWN", "recipient_postal_code IS NULL"),
     ("agreement_end_date", "STATUS NOT_PROVIDED", "agreement_end_date IS NULL"),
     ("foreign_currency_type", "FILLED NOT_APPLICABLE", "foreign_currency_type IS NULL"),
     ("foreign_currency_value", "STATUS NOT_APPLICABLE", "foreign_currency_value IS NULL"),
     ("coverage", "DROPPED VALUE", "coverage IS NOT NULL"),
 ]
+
+
+def _log(postal: str) -> str:
+    """A row for each cell; ``postal`` is the fill of a postal code that is missing."""
+    done = [*_DONE, ("recipient_postal_code", f"FILLED {postal}", "recipient_postal_code IS NULL")]
+    parts = [
+        f"SELECT row_number AS key, '{c}' AS \"column\", '{a}' AS action FROM clean WHERE {t} AND NOT coalesce({_held}, false)"
+        for c, a, t in done
+    ]
+    parts.append(f"SELECT row_number, 'amendment_date', 'SENT TO REVIEW' FROM clean WHERE {_held}")
+    return " UNION ALL ".join(parts)
+
+
+def _audit(postal: str) -> str:
+    return f"""WITH {CLEAN}, log AS ({_log(postal)})
+SELECT "column", action, count(*) AS cells FROM log WHERE action <> 'DROPPED VALUE' GROUP BY 1, 2
+UNION ALL SELECT 'coverage', 'DROPPED COLUMN', count(*) FILTER (WHERE action = 'DROPPED VALUE') FROM log"""
+
+
 _FILLED = [
     "agreement_type",
     "recipient_type",
@@ -478,7 +507,6 @@ def _preview_side(name: str, source: str, cols, shown) -> str:
 def oracle_sql() -> dict[str, str]:
     """SQL for each registered query that SQL can state."""
     cols = ", ".join(COLS)
-    read_cols = ["recipient_type", "recipient_province", "recipient_postal_code"]
     raw_cols = [c for c in PREVIEW_COLUMNS if c != f"{TARGET}_clean"]
     raw_shown = "row_number AS key, " + ", ".join(
         f"CAST(NULL AS varchar) AS {c}" if c == f"{TARGET}_clean" else c for c in PREVIEW_COLUMNS
@@ -491,26 +519,29 @@ def oracle_sql() -> dict[str, str]:
     shapes = " UNION ALL ".join(f"SELECT '{c}' AS col, {c} AS v FROM grants" for c in shape)
     name = "lower(col)"
     words = f"SELECT doc_id, {tokens('text')} AS t FROM documents"
-    log = " UNION ALL ".join(
-        f"SELECT row_number AS key, '{c}' AS \"column\", '{a}' AS action FROM clean WHERE {test}"
-        for c, a, test in _LOG
-    )
-    numbered_key = "(row_number - 1)"  # keys run from 0 where positions run from 1
+    numbered_key = "row_number"
     return {
-        "row_numbers": f"WITH {GRANTS} SELECT row_number, ref_number, amendment_number FROM grants",
+        "row_numbers": f"WITH {GRANTS} SELECT row_number, {cols} FROM grants",
         "source_row_numbers": "SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS bigint) AS row_number, o_orderkey FROM orders",
         "sample_rows": f"WITH {GRANTS} SELECT {cols} FROM grants ORDER BY row_number LIMIT 1000",
         "dataset_overview": f'WITH {GRANTS} SELECT count(*) AS "rows", {len(COLS) + 1} AS "columns" FROM grants',
-        "text_scan": f"WITH {READ} SELECT ref_number, recipient_type, recipient_postal_code, recipient_legal_name FROM read",
+        "text_scan": f"WITH {READ} SELECT "
+        + ", ".join(f"nullif({c}, '') AS {c}" for c in COLS)
+        + " FROM read",
+        "csv_row_numbers": f"""SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS bigint) AS row_number,
+  {_ORDERS['o_orderkey']} AS o_orderkey, {_ORDERS['o_totalprice']} AS o_totalprice FROM orders""",
+        "missing_input": f"WITH {REPORT} SELECT colonne, total_lignes FROM report",
+        "target_fallback": f'WITH {READ} SELECT ref_number AS original_value, count(*) AS "count" FROM read WHERE ref_number IS NOT NULL GROUP BY 1',
+        "search_blank": f"WITH {REPORT} SELECT * FROM report",
+        "lookup_no_term": "SELECT CAST(0 AS bigint) AS matched_rows, CAST(0 AS double) AS value_sum",
         "snapshot_scan": _snapshot(
             {c: _ORDERS[c] for c in ("o_orderkey", "o_orderdate", "o_totalprice")}, "orders"
         ),
         "text_snapshot_orders": _snapshot(_ORDERS, "orders"),
         "text_snapshot_events": _snapshot(_EVENTS, "events"),
-        "canonical_nulls": f"""WITH {CLEAN} SELECT {numbered_key} AS key, recipient_type, recipient_province,
-  recipient_postal_code, amendment_date FROM clean""",
+        "canonical_nulls": f"WITH {CLEAN} SELECT {numbered_key} AS key, {cols} FROM clean",
         "blank_preserving_nulls": f"WITH {READ} SELECT {numbered_key} AS key, "
-        + ", ".join(f"coalesce({c}, '') AS {c}" for c in read_cols)
+        + ", ".join(f"coalesce({c}, '') AS {c}" for c in COLS)
         + " FROM read",
         "missing_report": f"WITH {REPORT} SELECT * FROM report",
         "missing_profile": f'WITH {MISSING} SELECT col AS "column", n AS missing_count, round(pct, 2) AS missing_percent FROM missing WHERE n > 0',
@@ -519,17 +550,18 @@ def oracle_sql() -> dict[str, str]:
         "missing_range_filter": f"WITH {REPORT} SELECT * FROM report WHERE pourcentage_manquant BETWEEN 20 AND 100",
         "top_missing": f"WITH {REPORT} SELECT colonne, pourcentage_manquant, recommandation FROM report {WORST} LIMIT 10",
         "remediation_plan": _plan(),
-        "column_roles": f"""WITH {STATS}, shown AS (SELECT *, CASE WHEN dtype = 'float64' THEN len + 2 ELSE len END AS l FROM typed)
-SELECT col AS "column", CASE WHEN shown = 0 THEN 'text'
-  WHEN {name} LIKE '%date%' AND dates >= 0.5 THEN 'date'
-  WHEN {name} NOT LIKE '%date%' AND ({name} LIKE '%start%' OR {name} LIKE '%end%') AND dates >= 0.9 AND l >= 8 THEN 'date'
-  WHEN numbers >= 0.9 AND {name} NOT LIKE '%name%' AND {name} NOT LIKE '%title%'
-    AND {name} NOT LIKE '%description%' AND l <= 20 THEN 'numeric' ELSE 'text' END AS role FROM shown""",
-        "column_dtypes": f'WITH {STATS} SELECT col AS "column", dtype AS detected_dtype FROM typed',
+        **{
+            f"column_roles{suffix}": _roles(head, name)
+            for suffix, head in (("", ""), ("_sample", "LIMIT 1000"))
+        },
+        **{
+            f"column_dtypes{suffix}": f'WITH {STATS.replace("HEAD_ROWS", head)} SELECT col AS "column", dtype AS detected_dtype FROM typed'
+            for suffix, head in (("", ""), ("_sample", "LIMIT 1000"))
+        },
         "shape_counts": f"""WITH {GRANTS}, cells AS ({shapes})
 SELECT col AS "column", count(*) FILTER (WHERE regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')) AS dates,
   count(*) FILTER (WHERE regexp_matches(v, '{NUMBER}')) AS numbers,
-  coalesce(CAST(sum(CASE WHEN regexp_matches(v, '{NUMBER}') THEN CAST(v AS decimal(38, 2)) END) AS double), 0.0) AS total
+  coalesce(sum(CASE WHEN regexp_matches(v, '{NUMBER}') THEN CAST(v AS double) END), 0.0) AS total
 FROM cells GROUP BY col""",
         "dup_exact": f"""WITH {GRANTS}, doubled AS (SELECT {numbered_key} AS row_number, {cols} FROM grants UNION ALL
   SELECT {numbered_key} + {COPY_OFFSET}, {cols} FROM grants WHERE {numbered_key} % {COPY_EVERY} = {COPY_EVERY - 1}),
@@ -541,8 +573,8 @@ clean AS ({nulled('doubled', True)}), {_groups(exact)} {_sampled('clean')}""",
         "dup_by_rule": _dup("org_city_postal")
         + " ORDER BY duplicate_count DESC, sample_row_number LIMIT 200",
         "dup_lineitem": """SELECT 'part_supplier' AS duplicate_type, 'part=' || l_partkey || '|supplier=' || l_suppkey AS duplicate_key,
-  count(*) AS duplicate_count, min(l_orderkey) AS sample_row_number
-FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1""",
+  count(*) AS duplicate_count, min(place) AS sample_row_number
+FROM (SELECT *, row_number() OVER () AS place FROM lineitem) GROUP BY l_partkey, l_suppkey HAVING count(*) > 1""",
         "dup_documents": f"""SELECT 'exact_row' AS duplicate_type, sha256(strlen(t) || ':' || t) AS duplicate_key,
   count(*) AS duplicate_count, min(doc_id) AS sample_row_number
 FROM (SELECT doc_id, coalesce({as_null('text', True)}, '') AS t FROM documents) GROUP BY t HAVING count(*) > 1""",
@@ -567,7 +599,11 @@ SELECT o AS original_value, {_ACCEPT} AS accepted, nv <> '' AND {_REVIEW} AS rev
         "variants_report": f"WITH {SCORED} SELECT * FROM variants",
         "cleaning_mapping": f"WITH {MAPPING} SELECT * FROM mapping",
         "accepted_mapping": f"WITH {MAPPING} SELECT * FROM mapping WHERE status = 'accepted'",
-        "cleaned_table": f"WITH {CLEANED} SELECT {numbered_key} AS key, {TARGET}, {TARGET}_clean, recipient_city FROM cleaned",
+        "cleaned_table": f"WITH {CLEANED} SELECT {numbered_key} AS key, {cols}, {TARGET}_clean FROM cleaned",
+        "cleaned_from_saved": f"""WITH {MAPPING}, saved AS (SELECT original_value, min(CASE decision WHEN 'review' THEN NULL
+    WHEN 'accepted' THEN suggested_group ELSE 'EDITED' END) AS label FROM variants GROUP BY 1)
+SELECT {numbered_key} AS key, {TARGET}, coalesce(label, {TARGET}) AS {TARGET}_clean
+FROM read LEFT JOIN saved ON original_value = {TARGET}""",
         "changed_cells": f"WITH {CLEANED} SELECT count(*) FILTER (WHERE {TARGET} <> {TARGET}_clean) AS changed_cells FROM cleaned",
         "cleaning_execution": f"""WITH {CLEANED}
 SELECT 'rows_processed' AS metric, count(*) AS value FROM read
@@ -598,6 +634,9 @@ found AS (SELECT *, trim(regexp_extract(question, '["'']([^"'']{{3,80}})["'']',
 SELECT conv_id, turn, CASE WHEN quoted <> '' THEN quoted WHEN reference <> '' THEN reference
   ELSE coalesce(list_filter(acr, lambda t: length(t) = list_max(list_transform(acr, lambda u: length(u))))[1], '') END AS term FROM found""",
         "lookup_totals": f"WITH {CLEANED} {_totals('cleaned', LOOKUP)}",
+        "lookup_extremes": f"""WITH {READ}, odd AS (SELECT * REPLACE (CASE row_number % 7 WHEN 0 THEN '1e33' WHEN 1 THEN '1e40'
+  WHEN 2 THEN '0.1234567890123' ELSE agreement_value END AS agreement_value) FROM read)
+{_totals('odd', [c for c in LOOKUP if not c.endswith('_clean')])}""",
         "lookup_rows": f"WITH {CLEANED} SELECT {', '.join(LOOKUP)} FROM cleaned WHERE {contains(LOOKUP, TERM)} ORDER BY row_number LIMIT 8",
         "token_sets": f"SELECT doc_id, CAST(len(t) AS integer) AS words, md5(array_to_string(list_sort(t), ' ')) AS digest FROM ({words})",
         "text_sections": f"WITH {SECTIONS} SELECT doc_id, CAST(section AS integer) AS section, part, label, md5(chunk) AS digest FROM chunks",
@@ -622,9 +661,11 @@ UNION ALL SELECT 'distinct_clean', count(DISTINCT {TARGET}_clean) FROM cleaned
 UNION ALL SELECT 'corrections_applied', count(*) FROM cleaned WHERE {TARGET} <> {TARGET}_clean
 UNION ALL SELECT 'duplicate_rows_flagged', CAST(sum(n - 1) AS bigint) FROM groups
 UNION ALL SELECT 'corrections_review', count(*) FROM mapping WHERE status = 'review'""",
-        "remediated_table": f"WITH {TREATED} SELECT * EXCLUDE (held) REPLACE (key - 1 AS key) FROM treated WHERE NOT held",
+        "remediated_table": f"WITH {TREATED} SELECT * EXCLUDE (held) FROM treated WHERE NOT held",
         "amendment_review": f"WITH {CLEAN} SELECT {numbered_key} AS key, ref_number, amendment_number, amendment_date FROM clean WHERE {_held}",
         "remediation_checks": _checks(),
-        "remediation_audit": f"""WITH {CLEAN}, log AS ({log}) SELECT "column", action, count(*) AS cells FROM log GROUP BY 1, 2""",
-        "remediation_log": f"""WITH {CLEAN}, log AS ({log}) SELECT key - 1 AS key, "column", action FROM log""",
+        "remediated_detected": f"WITH {TREATED} SELECT * EXCLUDE (held) FROM treated WHERE NOT held",
+        "remediation_audit": _audit("UNKNOWN"),
+        "remediation_shipped": _audit("NOT_PROVIDED"),
+        "remediation_log": f"WITH {CLEAN}, log AS ({_log('UNKNOWN')}) SELECT * FROM log",
     }

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from fettle.functions.alias import accept_alias, review_candidate
 from fettle.functions.nulls import canonical_null, null_to_empty
 from fettle.functions.rows import as_rows
-from fettle.functions.shapes import date_shape, numeric_shape, to_number
+from fettle.functions.shapes import date_shape, exact_sum, numeric_shape, to_number
 from fettle.functions.text import collapse_segments, compact_text, normalize_text
-from fettle.functions.tokens import lookup_term, token_set
+from fettle.functions.tokens import any_contains, lookup_term, token_set
 from fettle.operators import duplicates as dup
 from fettle.operators import evidence as ev
 from fettle.operators import mapping as mp
@@ -21,9 +21,9 @@ from fettle.operators import remediation as rm
 from fettle.operators import search as se
 from fettle.operators import summary as sm
 from fettle.operators import variants as va
-from fettle.plans.grants import COLUMNS, grants, numbered_grants, positions, table
-from fettle.plans.policies import DEFAULT_POLICY, POLICIES
-from fettle.plans.session import tune, work_path
+from fettle.plans.grants import COLUMNS, grants, numbered_grants, table
+from fettle.operators.policies import DEFAULT_POLICY, POLICIES
+from fettle.plans.session import work_path
 from fettle.plans.views import (
     documents_with_figures,
     grants_with_copies,
@@ -32,7 +32,7 @@ from fettle.plans.views import (
     sectioned_documents,
 )
 from fettle.sources import tables as src
-from fettle.sources.positions import read_parquet_numbered
+from fettle.sources.positions import read_csv_numbered, read_parquet_numbered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +63,7 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = lambda spark, sf_dir: fn(tune(spark), sf_dir.rstrip("/"))
+    _QUERIES[fn.__name__] = lambda spark, sf_dir: fn(spark, sf_dir.rstrip("/"))
     return fn
 
 
@@ -82,10 +82,21 @@ def _cleaned(read):
     return mp.apply_mapping(read, _mapping(read), TARGET)
 
 
+def _cleaned_with(rows, mapping):
+    return mp.apply_mapping(rows, mapping, TARGET)
+
+
+def _cleaned_for(read, term):
+    """The table with those clean names that contain a term; for a lookup of that term.
+
+    The few labels are searched before the join, and the raw cells are searched anyway.
+    """
+    labels = mp.effective(_mapping(read)).where(any_contains([F.col("clean_value")], term))
+    return mp.apply_mapping(read, labels.withColumn("status", F.lit("accepted")), TARGET)
+
+
 def _duplicates(spark, sf, rules=dup.DEFAULT_RULES):
-    return dup.duplicate_report(
-        grants(spark, sf), rules, exclude=["row_number"], positions=positions(spark, sf)
-    )
+    return dup.duplicate_report(grants(spark, sf), rules, exclude=["row_number"])
 
 
 def _groups(view):
@@ -93,10 +104,6 @@ def _groups(view):
     return dup.duplicate_groups(canonical_null(view).transform(null_to_empty))
 
 
-def _report_order():
-    return [va.decision_rank(F.col("decision")), F.desc("count"), "original_value"]
-
-
 def _names(spark, sf):
     return va.value_counts(read_grants(spark, sf), TARGET, "row_number")
 
@@ -107,7 +114,7 @@ def _names(spark, sf):
 @query
 def row_numbers(spark, sf):
     """Dense position of every row by a unique key."""
-    return numbered_grants(spark, sf).select("row_number", "ref_number", "amendment_number")
+    return numbered_grants(spark, sf)
 
 
 @query
@@ -136,12 +143,33 @@ def file_overview(spark, sf):
 
 @query
 def text_scan(spark, sf):
-    """Write the grants view as CSV, read three of its columns back as text."""
+    """Write the grants view as CSV, read its columns back as text."""
     path = work_path(spark, "grants-csv")
-    view = grants(spark, sf).select("row_number", *COLUMNS)
-    src.write_report(src.to_text_snapshot(view), path)
-    wanted = ["ref_number", "recipient_type", "recipient_postal_code", "recipient_legal_name"]
-    return src.read_text_table(spark, path, wanted, multi_line=False)
+    src.write_report(src.to_text_snapshot(grants(spark, sf)), path)
+    return src.read_text_table(spark, path, list(COLUMNS))
+
+
+@query
+def csv_row_numbers(spark, sf):
+    """Write orders as CSV in key order, read them back numbered by place."""
+    path = work_path(spark, "orders-csv")
+    text = src.to_text_snapshot(table(spark, sf, "orders").orderBy("o_orderkey"))
+    src.write_report(text, path)
+    return read_csv_numbered(spark, path).select("row_number", "o_orderkey", "o_totalprice")
+
+
+@query
+def missing_input(spark, sf):
+    """A report that was never written is an empty relation of its columns."""
+    found = src.read_report(spark, work_path(spark, "never-written"), "colonne string, total_lignes bigint")
+    return found.unionByName(pr.missing_report(grants(spark, sf)).select("colonne", "total_lignes"))
+
+
+@query
+def target_fallback(spark, sf):
+    """Values of the first column, as the table lacks the wanted one."""
+    view = read_grants(spark, sf).select("ref_number", "recipient_city")
+    return va.value_counts(view, src.resolve_target(view, "owner_name")).select("original_value", "count")
 
 
 @query
@@ -168,20 +196,13 @@ def text_snapshot_events(spark, sf):
 @query
 def canonical_nulls(spark, sf):
     """Null tokens and blank cells as null, for every row."""
-    return canonical_null(grants(spark, sf)).select(
-        F.col("row_number").alias("key"),
-        "recipient_type",
-        "recipient_province",
-        "recipient_postal_code",
-        "amendment_date",
-    )
+    return canonical_null(grants(spark, sf)).withColumnRenamed("row_number", "key")
 
 
 @query
 def blank_preserving_nulls(spark, sf):
     """Null tokens as null while blank cells stay, then nulls as empty text."""
-    cols = ["recipient_type", "recipient_province", "recipient_postal_code"]
-    read = canonical_null(grants(spark, sf), blanks=False).select("row_number", *cols)
+    read = canonical_null(grants(spark, sf), blanks=False)
     return null_to_empty(read).withColumnRenamed("row_number", "key")
 
 
@@ -233,6 +254,18 @@ def column_dtypes(spark, sf):
     return pr.column_dtypes(grants(spark, sf), "row_number")
 
 
+@query
+def column_roles_sample(spark, sf):
+    """Roles from the first thousand rows."""
+    return pr.column_roles(grants(spark, sf), "row_number", 1000)
+
+
+@query
+def column_dtypes_sample(spark, sf):
+    """Types from the first thousand rows."""
+    return pr.column_dtypes(grants(spark, sf), "row_number", 1000)
+
+
 @query
 def shape_counts(spark, sf):
     """Cells per column that look like a date or a number, and the sum of the numbers."""
@@ -240,11 +273,10 @@ def shape_counts(spark, sf):
     # One aggregate over the wide rows; only its single row is turned into one row per column.
     tests, rows = [], []
     for c in cols:
-        amount = to_number(F.col(c)).cast("decimal(38,2)")
         tests += [
             F.count_if(date_shape(F.col(c))).alias(f"{c}_dates"),
             F.count_if(numeric_shape(F.col(c))).alias(f"{c}_numbers"),
-            F.coalesce(F.sum(amount).cast("double"), F.lit(0.0)).alias(f"{c}_total"),
+            exact_sum(to_number(F.col(c))).alias(f"{c}_total"),
         ]
         rows.append((F.lit(c), *[F.col(f"{c}_{k}") for k in ("dates", "numbers", "total")]))
     return (
@@ -286,21 +318,22 @@ def dup_report(spark, sf):
 @query
 def dup_by_rule(spark, sf):
     """First 200 groups of one rule, in report order."""
-    return se.filter_value(_duplicates(spark, sf), "duplicate_type", "org_city_postal").limit(200)
+    found = _duplicates(spark, sf, [dup.ORG_CITY_POSTAL])
+    return se.filter_value(found, "duplicate_type", "org_city_postal").limit(200)
 
 
 @query
 def dup_lineitem(spark, sf):
     """Repeated part and supplier pairs."""
     rule = dup.KeyRule("part_supplier", (("part", "l_partkey"), ("supplier", "l_suppkey")))
-    items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    return dup.duplicate_groups(items, [rule], row_number="l_orderkey")
+    items = read_parquet_numbered(spark, f"{sf}/lineitem.parquet")
+    return dup.duplicate_groups(items.select("row_number", "l_partkey", "l_suppkey"), [rule])
 
 
 @query
 def dup_documents(spark, sf):
     """Texts that occur more than once, by whole text."""
-    docs = canonical_null(table(spark, sf, "documents", "doc_id").select("doc_id", "text")).transform(null_to_empty)
+    docs = canonical_null(table(spark, sf, "documents").select("doc_id", "text")).transform(null_to_empty)
     return dup.duplicate_groups(docs, [dup.EXACT_ROW], "doc_id", exclude=["doc_id"])
 
 
@@ -339,7 +372,7 @@ def normalize_documents(spark, sf):
     """Normal form of whole texts."""
     normal = normalize_text(F.col("text"))
     return (
-        table(spark, sf, "documents", "doc_id")
+        table(spark, sf, "documents")
         .select("doc_id", normal.alias("normal"))
         .select("doc_id", F.char_length("normal").alias("length"), F.md5("normal").alias("digest"))
     )
@@ -350,7 +383,7 @@ def compact_documents(spark, sf):
     """Compact form of whole texts."""
     compact = compact_text(F.col("text"))
     return (
-        table(spark, sf, "documents", "doc_id")
+        table(spark, sf, "documents")
         .select("doc_id", compact.alias("compact"))
         .select("doc_id", F.char_length("compact").alias("length"), F.md5("compact").alias("digest"))
     )
@@ -400,7 +433,8 @@ def fuzzy_scores(spark, sf):
 
 @query
 def variants_report(spark, sf):
-    return _variants(read_grants(spark, sf))
+    """In report order, with the place of each row in it."""
+    return _variants(read_grants(spark, sf)).orderBy(*va.report_order())
 
 
 @query
@@ -415,9 +449,28 @@ def accepted_mapping(spark, sf):
 
 @query
 def cleaned_table(spark, sf):
-    return _cleaned(read_grants(spark, sf)).select(
-        F.col("row_number").alias("key"), TARGET, f"{TARGET}_clean", "recipient_city"
+    return _cleaned(read_grants(spark, sf)).withColumnRenamed("row_number", "key")
+
+
+@query
+def cleaned_from_saved(spark, sf):
+    """Clean with a saved report that a reviewer added rows to: the first row of a name counts."""
+    read, path = read_grants(spark, sf), work_path(spark, "variants")
+    found = _variants(read)
+    # The reviewer repeats the rejected names, with another label and fewer rows.
+    edited = found.where("decision = 'rejected'").select(
+        "original_value",
+        "normalized_value",
+        F.lit("EDITED").alias("suggested_group"),
+        "similarity_score",
+        (F.col("count") - 1).alias("count"),
+        F.lit("accepted").alias("decision"),
     )
+    src.write_report(found.unionByName(edited), path)
+    saved = src.read_report(spark, path, found.schema)
+    mapping = mp.build_mapping(saved, unique=False)
+    clean = mp.apply_mapping(read, mapping, TARGET)
+    return clean.select(F.col("row_number").alias("key"), TARGET, f"{TARGET}_clean")
 
 
 @query
@@ -452,6 +505,12 @@ def search_any_column(spark, sf):
     return se.search_report(report, "Recipient", 200, order=order)
 
 
+@query
+def search_blank(spark, sf):
+    """A blank text keeps every row of a report."""
+    return se.search_report(pr.missing_report(grants(spark, sf)), "  ", None)
+
+
 @query
 def search_mapping(spark, sf):
     found = se.filter_value(_mapping(read_grants(spark, sf)), "status", "accepted")
@@ -461,7 +520,7 @@ def search_mapping(spark, sf):
 @query
 def search_variants(spark, sf):
     return se.search_report(
-        _variants(read_grants(spark, sf)), "gear", None, ("decision", "All"), order=_report_order()
+        _variants(read_grants(spark, sf)), "gear", None, ("decision", "All"), order=va.report_order()
     )
 
 
@@ -515,12 +574,34 @@ def lookup_terms(spark, sf):
 @query
 def lookup_totals(spark, sf):
     """Rows of the cleaned table that contain a term, and the sum of their values."""
-    return ev.lookup_totals(_cleaned(read_grants(spark, sf)), TERM)
+    return ev.lookup_totals(_cleaned_for(read_grants(spark, sf), TERM), TERM)
+
+
+@query
+def lookup_extremes(spark, sf):
+    """The same over values that no decimal holds, and with many digits."""
+    odd = (
+        F.when(F.col("row_number") % 7 == 0, F.lit("1e33"))
+        .when(F.col("row_number") % 7 == 1, F.lit("1e40"))
+        .when(F.col("row_number") % 7 == 2, F.lit("0.1234567890123"))
+        .otherwise(F.col("agreement_value"))
+    )
+    return ev.lookup_totals(read_grants(spark, sf).withColumn("agreement_value", odd), TERM)
+
+
+@query
+def lookup_no_term(spark, sf):
+    """Without a term nothing is matched."""
+    return ev.lookup_totals(read_grants(spark, sf), "")
 
 
 @query
 def lookup_rows(spark, sf):
-    return ev.lookup_rows(_cleaned(read_grants(spark, sf)), TERM)
+    read = read_grants(spark, sf)
+    found = ev.lookup_rows(_cleaned_for(read, TERM), TERM, ["row_number", *ev.LOOKUP_COLUMNS])
+    # The eight rows then get their clean name from the whole mapping.
+    shown = src.existing(found, ev.LOOKUP_COLUMNS)
+    return _cleaned_with(found.drop(f"{TARGET}_clean"), _mapping(read)).select(*shown)
 
 
 @query
@@ -528,7 +609,7 @@ def token_sets(spark, sf):
     """Distinct words of whole texts."""
     tokens = F.sort_array(token_set(F.col("text")))
     return (
-        table(spark, sf, "documents", "doc_id")
+        table(spark, sf, "documents")
         .select("doc_id", tokens.alias("tokens"))
         .select(
             "doc_id",
@@ -569,7 +650,7 @@ def report_summary(spark, sf):
 @query
 def budget_concat(spark, sf):
     """Texts joined in order until the character budget is used."""
-    return ev.budget_concat(table(spark, sf, "documents", "doc_id"), ["doc_id"])
+    return ev.budget_concat(table(spark, sf, "documents"), ["doc_id"])
 
 
 @query
@@ -597,9 +678,7 @@ def report_metrics(spark, sf):
 def final_summary(spark, sf):
     view = grants(spark, sf)
     read = canonical_null(view, blanks=False)
-    mapping = _mapping(read)
-    clean = mp.apply_mapping(read, mapping, TARGET)
-    return sm.final_summary(read, clean, _groups(view), mapping, TARGET)
+    return sm.final_summary(read, _groups(view), _mapping(read), TARGET)
 
 
 # Remediation
@@ -631,6 +710,20 @@ def remediation_audit(spark, sf):
     return rm.remediation_audit(grants(spark, sf), SOME_POLICIES, UNLISTED)
 
 
+@query
+def remediation_shipped(spark, sf):
+    """The audit under all policies as shipped; nothing is left to the default."""
+    return rm.remediation_audit(grants(spark, sf))
+
+
+@query
+def remediated_detected(spark, sf):
+    """The curated table with the columns that need the default found by the profile."""
+    view = grants(spark, sf)
+    treated = rm.remediate(view, SOME_POLICIES, rm.unlisted_incomplete(view, SOME_POLICIES))
+    return rm.curated_rows(treated).withColumnRenamed("row_number", "key")
+
+
 @query
 def remediation_log(spark, sf):
     """Every touched cell."""

@@ -6,16 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fettle.sources.tables import csv_reader, scan_bytes
+from fettle.sources.tables import csv_reader
 
 # Rows are numbered inside blocks of 2^20 consecutive keys, blocks inside groups of 2^22.
 # Any 64-bit key then needs at most 2^22 groups, so no window sees more than 2^22 rows.
 _BLOCK_BITS = 20
 _GROUP_BITS = 42
 
-# An offset row is far below 1 KB: this many stay under 100 MB in a broadcast.
-_BROADCAST_UNITS = 100_000
-
 
 def _before(order: list[str], partition: list[str] | None = None):
     spec = Window.partitionBy(*partition) if partition else Window.partitionBy()
@@ -32,11 +29,13 @@ def with_row_number(df: DataFrame, key: str, name: str = "row_number") -> DataFr
 
     Equal to ``row_number() over (order by key)``, but the work is split by key range:
     each block is numbered on its own and shifted by the count of all earlier rows.
-    A block has at most 2^20 rows whatever the data, because the key is unique.
+    A block has at most 2^20 rows whatever the data, because the key is unique. A row
+    without a key, or a key that comes twice, ends the job with an error.
     """
     if not isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType)):
         raise TypeError(f"row numbers need an integer key, {key} is not one")
-    block = F.shiftright(F.col(key).cast("bigint"), _BLOCK_BITS)
+    missing = F.raise_error(F.lit(f"{key} is null, but numbers the rows")).cast("bigint")
+    block = F.shiftright(F.coalesce(F.col(key).cast("bigint"), missing), _BLOCK_BITS)
     group = F.shiftright(F.col("_block"), _GROUP_BITS - _BLOCK_BITS)
 
     sizes = df.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -48,7 +47,10 @@ def with_row_number(df: DataFrame, key: str, name: str = "row_number") -> DataFr
         "_block", (F.col("_in_group") + F.col("_before_group")).alias("_offset")
     )
 
-    in_block = F.row_number().over(Window.partitionBy("_block").orderBy(key))
+    in_order = Window.partitionBy("_block").orderBy(key)
+    repeated = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string"))).cast("int")
+    again = F.lag(key).over(in_order) == F.col(key)
+    in_block = F.when(again, repeated).otherwise(F.row_number().over(in_order))
     numbered = df.withColumn("_block", block).withColumn("_in_block", in_block)
     return (
         numbered.join(offsets, "_block")
@@ -57,21 +59,15 @@ def with_row_number(df: DataFrame, key: str, name: str = "row_number") -> DataFr
     )
 
 
-def _most_splits(spark: SparkSession, scan: DataFrame) -> int:
-    """Upper bound for the number of pieces a scan is read in."""
-    size, piece = scan_bytes(scan)
-    return len(scan.inputFiles()) + size // piece + spark.sparkContext.defaultParallelism + 1
-
-
-def _shift_by_unit(rows: DataFrame, sizes: DataFrame, unit: list[str], units: int) -> DataFrame:
-    """Join the number of rows in all earlier scan units to each row.
+def _shift_by_unit(rows: DataFrame, sizes: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``_offset``: the number of rows in all earlier files or splits.
 
-    The offsets are broadcast while their number is small, else joined by unit.
+    There is a row of two numbers for each, which the optimiser broadcasts within its size
+    limit; beyond it the table is joined by unit, and large units are split at run time.
     """
-    offsets = _running_total(sizes, "_rows", "_offset", unit).drop("_rows")
-    if units <= _BROADCAST_UNITS:
-        offsets = F.broadcast(offsets)
-    return rows.join(offsets, unit)
+    totals = _running_total(sizes, "_rows", "_offset", order).drop("_rows")
+    offsets = totals.select(F.col("_unit").alias("_of"), *[c for c in totals.columns if c not in ("_unit", *order)])
+    return rows.join(offsets, F.col("_unit") == F.col("_of")).drop("_of")
 
 
 def read_parquet_numbered(spark: SparkSession, path: str, name: str = "row_number") -> DataFrame:
@@ -80,19 +76,18 @@ def read_parquet_numbered(spark: SparkSession, path: str, name: str = "row_numbe
     Needs no shuffle of the table: the reader gives each row its place in its file.
     """
     scan = spark.read.parquet(path)
-    rows = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_index"),
-    )
-    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
-    shifted = _shift_by_unit(rows, sizes, ["_file"], len(scan.inputFiles()))
+    file = F.col("_metadata.file_path")
+    rows = scan.select("*", F.xxhash64(file).alias("_unit"), F.col("_metadata.row_index").alias("_index"))
+    # The metadata of a file is constant, so counting reads no column.
+    sizes = scan.groupBy(file.alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = sizes.withColumn("_unit", F.xxhash64("_file"))
+    shifted = _shift_by_unit(rows, sizes, ["_file"])
     number = (F.col("_offset") + F.col("_index") + 1).alias(name)
     return shifted.select(number, *[F.col(f"`{c}`") for c in scan.columns])
 
 
 def read_csv_numbered(
-    spark: SparkSession, path: str, name: str = "row_number", multi_line: bool = True
+    spark: SparkSession, path: str, name: str = "row_number", multi_line: bool = False
 ) -> DataFrame:
     """CSV scan with the position of each row: files by path, then order in the file.
 
@@ -100,14 +95,12 @@ def read_csv_numbered(
     task, so its row ids are consecutive; the id of its first row places the others.
     """
     scan = csv_reader(spark, multi_line).csv(path)
-    unit = ["_file", "_start"]
-    rows = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    sizes = rows.groupBy(*unit).agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
-    shifted = _shift_by_unit(rows, sizes, unit, _most_splits(spark, scan))
+    file, begin = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    unit = F.xxhash64(file, begin).alias("_unit")
+    rows = scan.select("*", unit, F.monotonically_increasing_id().alias("_id"))
+    first = scan.select(file.alias("_file"), begin.alias("_start"), F.monotonically_increasing_id().alias("_id"))
+    sizes = first.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    sizes = sizes.withColumn("_unit", F.xxhash64("_file", "_start"))
+    shifted = _shift_by_unit(rows, sizes, ["_file", "_start"])
     number = (F.col("_offset") + F.col("_id") - F.col("_first") + 1).alias(name)
     return shifted.select(number, *[F.col(f"`{c}`") for c in scan.columns])

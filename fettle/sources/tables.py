@@ -15,11 +15,11 @@ from fettle.functions.shapes import stable_text
 _CSV = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def csv_reader(spark: SparkSession, multi_line: bool = True):
+def csv_reader(spark: SparkSession, multi_line: bool = False):
     """Reader for text tables with a header, every column as text.
 
-    ``multi_line`` allows line breaks inside quoted cells, at the price of one task per
-    file; turn it off for large files without such cells, so that they can be split.
+    Files are split over tasks. ``multi_line`` allows line breaks inside quoted cells, at
+    the price of one task per file; turn it on for files that have such cells.
     """
     return spark.read.options(**_CSV, inferSchema="false", multiLine=str(multi_line).lower())
 
@@ -29,7 +29,7 @@ def read_text_table(
     path: str | list[str],
     cols: Sequence[str] | None = None,
     na_tokens: Iterable[str] = NA_TOKENS,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a CSV table as text; null tokens become NULL, blank cells stay."""
     df = csv_reader(spark, multi_line).csv(path)
@@ -47,7 +47,7 @@ def read_report(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv"
 ) -> DataFrame:
     """Read a saved report; a report that was never written is an empty relation."""
-    reader = csv_reader(spark) if fmt == "csv" else spark.read.format(fmt)
+    reader = csv_reader(spark, multi_line=True) if fmt == "csv" else spark.read.format(fmt)
     try:
         return reader.schema(schema).load(path) if fmt != "csv" else reader.schema(schema).csv(path)
     except AnalysisException as error:
@@ -68,24 +68,6 @@ def existing(df: DataFrame, cols: Iterable[str]) -> list[str]:
     return [c for c in cols if c in df.columns]
 
 
-def scan_bytes(scan: DataFrame) -> tuple[int, int]:
-    """Bytes on disk of a file scan, and the most bytes one task reads. Runs no job."""
-    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    conf = scan.sparkSession._jsparkSession.sessionState().conf()
-    return size, int(conf.filesMaxPartitionBytes())
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a table that one task would read over all cores.
-
-    Only a table below the size of one input split is shuffled, so the cost is bounded;
-    a larger one is already read by many tasks and is left alone.
-    """
-    size, piece = scan_bytes(scan)
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if size <= piece else scan
-
-
 def sample_rows(
     df: DataFrame, n: int, order: str, cols: Sequence[str] | None = None
 ) -> DataFrame:

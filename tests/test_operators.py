@@ -1,4 +1,6 @@
 import random
+
+import pytest
 from collections import defaultdict
 
 import brute
@@ -12,7 +14,7 @@ from fettle.operators import remediation as rm
 from fettle.operators import search as se
 from fettle.operators import summary as sm
 from fettle.operators import variants as va
-from fettle.plans.policies import DEFAULT_POLICY, POLICIES
+from fettle.operators.policies import DEFAULT_POLICY, POLICIES
 
 NAMES = [
     "UQAM", "U.Q.A.M.", "UQAM|UQAM", "u q-am", "Université du Québec à Montréal",
@@ -33,7 +35,7 @@ def names_frame(spark, n=600, seed=3):
 
 def test_variants_against_brute_force(spark):
     names, df = names_frame(spark)
-    rows = va.variants_report(df, "name").collect()
+    rows = va.variants_report(df, "name").orderBy(*va.report_order()).collect()
     got = {r.original_value: (r.suggested_group, r.similarity_score, r.decision) for r in rows}
     assert got == brute.variants(names)
     assert len(rows) == len(got)
@@ -243,7 +245,7 @@ def test_summary_without_cleaned_table(spark):
     _, df = names_frame(spark)
     mapping = mp.build_mapping(va.variants_report(df, "name"))
     report = spark.createDataFrame([("a", 3)], "duplicate_type string, duplicate_count long")
-    facts = {r.metric: r.value for r in sm.final_summary(df, None, report, mapping, "name").collect()}
+    facts = {r.metric: r.value for r in sm.final_summary(df, report, mapping, "name", cleaned=False).collect()}
     assert facts["distinct_clean"] == 0 and facts["corrections_applied"] == 0
     assert facts["distinct_raw"] == df.select("name").distinct().count()
     assert facts["duplicate_rows_flagged"] == 2 and facts["columns"] == 2
@@ -278,6 +280,60 @@ def test_remediation(spark):
     log = defaultdict(int)
     for r in rm.remediation_log(df, unlisted=["other"]).collect():
         log[r.column, r.action] += 1
-    assert audit == dict(log)
-    assert audit["amendment_date", "SENT TO REVIEW"] == 1 and audit["coverage", "DROPPED VALUE"] == 1
-    assert audit["other", "FILLED UNKNOWN"] == 1
+    assert {k: n for k, n in audit.items() if k[1] != "DROPPED COLUMN"} == dict(log)
+    # The only row with a coverage and without "other" is the one held for review, untouched.
+    assert audit["amendment_date", "SENT TO REVIEW"] == 1 and audit["coverage", "DROPPED COLUMN"] == 0
+    assert ("other", "FILLED UNKNOWN") not in audit and audit["recipient_province", "FILLED NOT_APPLICABLE"] == 1
+
+
+def test_audit_agrees_with_the_curated_table(spark, sf_dir):
+    from fettle.plans.grants import grants
+
+    view = grants(spark, sf_dir)
+    curated = rm.curated_rows(rm.remediate(view))
+    audit = rm.remediation_audit(view).collect()
+    cells = defaultdict(int)
+    for r in audit:
+        if r.action.startswith(("FILLED", "STATUS")):
+            cells[r.column] += r.cells
+    for name in curated.columns:
+        if name.endswith("_was_missing"):
+            assert cells.get(name[: -len("_was_missing")], 0) == curated.where(name).count()
+        if name.endswith("_status"):
+            assert cells.get(name[: -len("_status")], 0) == curated.where(F.col(name).isNotNull()).count()
+    dropped = [r.column for r in audit if r.action == "DROPPED COLUMN"]
+    assert dropped == [c for c in view.columns if c not in curated.columns]
+
+
+def test_mapping_never_multiplies_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "a")], "row_number long, name string")
+    rows = [("a", "Y", "accepted"), ("a", "X", "accepted"), ("b", "b", "accepted"), ("b", "Z", "review")]
+    mapping = spark.createDataFrame(rows, "original_value string, clean_value string, status string")
+    clean = mp.apply_mapping(df, mapping, "name")
+    assert sorted((r.row_number, r.name_clean) for r in clean.collect()) == [(1, "X"), (2, "b"), (3, None), (4, "X")]
+
+
+def test_limits_need_an_order(spark):
+    df = spark.createDataFrame([(1, "a")], "row_number long, v string")
+    with pytest.raises(ValueError):
+        se.search_report(df, "a")
+    with pytest.raises(ValueError):
+        se.top_rows(df, "gone")
+    assert se.top_rows(df, "gone", order=["row_number"]).count() == 1
+
+
+def test_sums_lose_no_value(spark):
+    cells = ["1e33", "1e40", "0.1234567890123", "12.5", "inf", "x", None]
+    for n, want in ((4, 1e40 + 1e33 + 12.5), (5, float("inf"))):
+        rows = [(i, "term", v) for i, v in enumerate(cells[:n])]
+        df = spark.createDataFrame(rows, "row_number long, owner_org string, agreement_value string")
+        got = ev.lookup_totals(df, "term").first()
+        assert (got.matched_rows, got.value_sum) == (n, want)
+    small = spark.createDataFrame([(1, "term", "0.1234567890123")], "row_number long, owner_org string, agreement_value string")
+    assert ev.lookup_totals(small, "term").first().value_sum == 0.1234567890123
+
+
+def test_budget_ignores_null_texts(spark):
+    items = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "k long, text string")
+    got = ev.budget_concat(items, ["k"], budget=4).first()
+    assert (got.text, got["items"]) == ("a\n\nb", 2)

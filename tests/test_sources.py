@@ -16,11 +16,11 @@ def put(folder, name, text):
 
 def test_csv_scan_is_text_with_null_tokens(spark, tmp_path):
     path = put(tmp_path, "t.csv", 'a,b,c\n1,"x, ""y""\nz",NA\n 2 ,  ,\nNone,é,n/a\n')
-    df = src.read_text_table(spark, path)
+    df = src.read_text_table(spark, path, multi_line=True)
     assert [t for _, t in df.dtypes] == ["string"] * 3
     assert [tuple(r) for r in df.collect()] == [
         ("1", 'x, "y"\nz', None), (" 2 ", "  ", None), (None, "é", None)]
-    kept = src.read_text_table(spark, path, ["c"], na_tokens=())
+    kept = src.read_text_table(spark, path, ["c"], na_tokens=(), multi_line=True)
     assert [r.c for r in kept.collect()] == ["NA", None, "n/a"]
 
 
@@ -101,6 +101,13 @@ def test_csv_row_numbers_follow_splits(spark, tmp_path, multi_line):
     assert rows == [(i + 1, i) for i in range(2000)]
 
 
+@pytest.mark.parametrize("keys", [[1, 2, None], [1, 2, 2], [5, 5]])
+def test_row_numbers_refuse_bad_keys(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    with pytest.raises(Exception, match="k is (null|not unique)"):
+        with_row_number(df, "k").collect()
+
+
 def test_sample_rows_in_source_order(spark):
     df = spark.range(50).repartition(4).select("id", (F.col("id") * 2).alias("x"))
     assert [r.x for r in src.sample_rows(df, 3, "id", ["x", "gone"]).collect()] == [0, 2, 4]
