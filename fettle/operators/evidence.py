@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from fettle.functions.tokens import (
     fold_case,
     words_found,
 )
+from fettle.operators.profile import SUMMARY_COLUMNS, report_summary
 from fettle.operators.search import clip_cells
 from fettle.sources.tables import existing
 
@@ -182,18 +184,90 @@ def budget_concat(
     )
 
 
+def _item(df: DataFrame, part: int, text: Column, place: Column | None = None) -> DataFrame:
+    """Rows as evidence: part and place order them."""
+    where = F.lit(0) if place is None else place
+    return df.select(F.lit(part).alias("part"), where.cast("bigint").alias("place"), text.alias("text"))
+
+
+def figures_item(figures: DataFrame, part: int, title: str) -> DataFrame:
+    """A single row of figures as text, one line for each."""
+    lines = [F.concat(F.lit(f"{c}: "), F.col(f"`{c}`").cast("string")) for c in figures.columns]
+    return _item(figures, part, F.concat_ws("\n", F.lit(f"[{title}]"), *lines))
+
+
+def summary_item(report: DataFrame, part: int, name: str, top: int = 12) -> DataFrame:
+    """``report_summary`` as text; an empty report says so. At most ``top`` values a column."""
+    is_rows, is_columns = F.col("column") == "<rows>", F.col("column") == "<columns>"
+    counted = F.concat("value", F.lit("="), F.format_number("count", 0))
+    lines = (
+        report_summary(report, SUMMARY_COLUMNS, top)
+        .groupBy("column")
+        .agg(
+            F.max(F.when(is_rows, F.col("count"))).alias("_n"),
+            F.max(F.when(is_columns, F.col("value"))).alias("_columns"),
+            F.sort_array(F.collect_list(F.struct("rank", counted.alias("shown")))).alias("_values"),
+        )
+    )
+    listed = F.concat(F.col("column"), F.lit(" counts: "), F.array_join(F.col("_values")["shown"], ", "))
+    place = F.array_position(F.array(*[F.lit(c) for c in SUMMARY_COLUMNS]), F.col("column"))
+    whole = lines.agg(
+        F.max("_n").alias("n"),
+        F.max("_columns").alias("columns"),
+        F.sort_array(F.collect_list(F.when(place > 0, F.struct(place.alias("place"), listed.alias("line"))))).alias("lines"),
+    )
+    first = F.concat(F.lit(f"[{name}] Rows: "), F.format_number("n", 0), F.lit("; columns: "), F.col("columns"))
+    text = F.when(F.col("n") == 0, F.lit(f"[{name}] Report is missing or empty.")).otherwise(
+        F.concat_ws("\n", first, F.col("lines")["line"])
+    )
+    return _item(whole, part, text)
+
+
+def rows_item(
+    report: DataFrame, part: int, name: str, question: str, order: Sequence[str], k: int = 6
+) -> DataFrame:
+    """The k most relevant rows of a report as text; nothing if no row has a question word."""
+    cols = report.columns
+    found = relevant_rows(report, question, k, order, cols)
+    line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in cols])
+    best = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("first"), *order, line.alias("line"))))
+    text = F.concat_ws("\n", F.lit(f"[{name} relevant rows]"), F.lit(",".join(cols)), F.col("best")["line"])
+    return _item(found.agg(best.alias("best")).where(F.size("best") > 0), part, text)
+
+
+def gather_evidence(
+    question: str,
+    figures: DataFrame,
+    totals: DataFrame,
+    reports: Sequence[tuple[str, DataFrame, Sequence[str]]],
+    sections: DataFrame,
+    section_order: str,
+) -> DataFrame:
+    """All evidence for a question: part, place, text.
+
+    In this order: the figures, the lookup, then for each report its summary and relevant
+    rows, then the best sections (as ``top_sections`` gives them).
+    """
+    items = [figures_item(figures, 0, "project metrics"), figures_item(totals, 1, "dataset lookup")]
+    for n, (name, report, order) in enumerate(reports, 1):
+        items.append(summary_item(report, 2 * n, name))
+        items.append(rows_item(report, 2 * n + 1, name, question, order))
+    shown = F.concat(F.lit("["), "label", F.lit("]\n"), "chunk")
+    place = F.col(section_order) * 100 + F.col("rank")
+    items.append(_item(sections, 2 * len(reports) + 2, shown, place))
+    return reduce(DataFrame.unionByName, items)
+
+
 def evidence_bundle(
-    items: DataFrame, order: Sequence[str], sources: Sequence[str], totals: DataFrame,
-    text: str = "text",
+    items: DataFrame, sources: Sequence[str], totals: DataFrame, budget: int = BUDGET_CHARS
 ) -> DataFrame:
     """Bounded text, the names of the reports consulted and the number of rows matched.
 
-    ``totals`` is the single row of ``lookup_totals``.
+    ``items`` are those of ``gather_evidence``, ``totals`` the row of ``lookup_totals``.
     """
     matched = totals.select(F.col("matched_rows").alias("dataset_rows"))
-    return beside(budget_concat(items, order, text).select("text"), matched).select(
-        "text", F.array(*[F.lit(s) for s in sources]).alias("sources"), "dataset_rows"
-    )
+    text = budget_concat(items, ["part", "place"], budget=budget).select("text")
+    return beside(text, matched).select("text", F.array(*[F.lit(s) for s in sources]).alias("sources"), "dataset_rows")
 
 
 def _lookup(df: DataFrame, term: str, cols: Sequence[str]) -> DataFrame:

@@ -19,7 +19,7 @@ from fettle.functions.shapes import (
     float_text,
     numeric_shape,
 )
-from fettle.sources.tables import sample_rows
+from fettle.sources.tables import existing, sample_rows
 
 # Limits for column roles.
 DATE_NAME_RATE = 0.5
@@ -238,3 +238,25 @@ def value_profile(df: DataFrame, cols: Sequence[str], top: int = 12) -> DataFram
     )
     rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("count"), "value"))
     return counts.withColumn("rank", rank).where(F.col("rank") <= top)
+
+
+# The columns of a report whose values are counted.
+SUMMARY_COLUMNS = ("decision", "status", "duplicate_type", "recommandation")
+
+
+def report_summary(
+    report: DataFrame, cols: Sequence[str] = SUMMARY_COLUMNS, top: int = 12
+) -> DataFrame:
+    """Rows, column list and most frequent values of a report: column, value, count, rank.
+
+    The first two are shown as columns ``<rows>`` and ``<columns>``; wanted columns that the
+    report lacks are left out.
+    """
+    listed = [
+        (F.lit("<rows>"), F.lit(None).cast("string"), F.col("_n"), F.lit(1)),
+        (F.lit("<columns>"), F.lit(", ".join(report.columns)), F.lit(len(report.columns)).cast("bigint"), F.lit(1)),
+    ]
+    size = report.agg(F.count(F.lit(1)).alias("_n"))
+    size = size.select(as_rows(["column", "value", "count", "rank"], listed))
+    shown = existing(report, cols)
+    return size.unionByName(value_profile(report, shown, top)) if shown else size

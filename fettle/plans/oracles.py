@@ -342,6 +342,77 @@ SELECT {shown}, CAST(score AS integer) AS score FROM s WHERE score > 0
 ORDER BY score DESC, original_value LIMIT 6"""
 
 
+def _reports() -> dict[str, tuple[str, list[str], list[str]]]:
+    """Rows of each report, its columns and its order."""
+    shown = [f"sample_{c}" for c in _SHOWN]
+    variants = "original_value normalized_value suggested_group similarity_score count decision"
+    return {
+        "missing_values": (
+            f"WITH {REPORT} SELECT * FROM report",
+            "colonne valeurs_manquantes total_lignes pourcentage_manquant recommandation".split(),
+            ["colonne"],
+        ),
+        "duplicates": (
+            _dup(*_KEYS),
+            ["duplicate_type", "duplicate_key", "duplicate_count", "sample_row_number", *shown],
+            ["duplicate_type", "sample_row_number"],
+        ),
+        "organization_variants": (f"WITH {SCORED} SELECT * FROM variants", variants.split(), ["original_value"]),
+        "entity_cleaning_mapping": (
+            f"WITH {MAPPING} SELECT * FROM mapping",
+            "original_value clean_value status reason".split(),
+            ["original_value"],
+        ),
+    }
+
+
+_COUNTED = ["decision", "status", "duplicate_type", "recommandation"]
+
+
+def _summary(name: str) -> str:
+    rows, cols, _ = _REPORTS[name]
+    cells = " UNION ALL ".join(f"SELECT '{c}' AS col, {c} AS v FROM r" for c in _COUNTED if c in cols)
+    return f"""WITH r AS ({rows}), counted AS (SELECT col, coalesce(v, '<missing>') AS v, count(*) AS n FROM ({cells}) GROUP BY 1, 2)
+SELECT '<rows>' AS "column", CAST(NULL AS varchar) AS value, count(*) AS "count", 1 AS rank FROM r
+UNION ALL SELECT '<columns>', '{", ".join(cols)}', {len(cols)}, 1
+UNION ALL SELECT * FROM (SELECT col, v, n, CAST(row_number() OVER (PARTITION BY col ORDER BY n DESC, v) AS integer) AS k
+  FROM counted) WHERE k <= 12"""
+
+
+def _bundle() -> str:
+    """Items in order, then as much of them as fits."""
+    ctes, items = [], []
+    for n, (name, (rows, cols, order)) in enumerate(_REPORTS.items(), 1):
+        score = " + ".join(f"CAST({contains([chr(34) + c + chr(34) for c in cols], t)} AS integer)" for t in _report_words)
+        line = " || ',' || ".join(f"left(coalesce(CAST(\"{c}\" AS varchar), ''), 240)" for c in cols)
+        ctes.append(f"r{n} AS ({rows}), s{n} AS ({_summary(name)})")
+        ctes.append(f"m{n} AS (SELECT *, {score} AS hits FROM r{n} QUALIFY hits > 0 AND row_number() OVER (ORDER BY hits DESC, {', '.join(order)}) <= 6)")
+        lines = " UNION ALL ".join(
+            f"""SELECT {k} AS k, '{c} counts: ' || string_agg(value || '=' || format('{{:,}}', "count"), ', ' ORDER BY rank) AS line
+  FROM s{n} WHERE "column" = '{c}' HAVING count(*) > 0"""
+            for k, c in enumerate(_COUNTED)
+            if c in cols
+        )
+        items.append(f"""SELECT {2 * n} AS part, 0 AS place, (SELECT '[{name}] Rows: ' || format('{{:,}}', "count") FROM s{n} WHERE "column" = '<rows>')
+  || '; columns: {", ".join(cols)}' || chr(10) || (SELECT string_agg(line, chr(10) ORDER BY k) FROM ({lines})) AS text""")
+        keys = ", ".join(order)
+        items.append(f"""SELECT {2 * n + 1}, 0, '[{name} relevant rows]' || chr(10) || '{",".join(cols)}' || chr(10)
+  || string_agg({line}, chr(10) ORDER BY hits DESC, {keys}) FROM m{n} HAVING count(*) > 0""")
+    raw_lookup = [c for c in LOOKUP if not c.endswith("_clean")]
+    near = " OR ".join(f"contains({fold('left(chunk, 250)')}, {lit(t)})" for t in _report_words)
+    asked = "[" + ", ".join(lit(t) for t in _report_words) + "]"
+    return f"""WITH {', '.join(ctes)}, {SECTIONS}, totals AS (WITH {READ} {_totals('read', raw_lookup)}),
+scores AS (SELECT *, CAST(len(list_intersect({tokens('chunk')}, {asked})) + CASE WHEN {near} THEN 2 ELSE 0 END AS integer) AS score FROM chunks),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, section, part) AS rank FROM scores QUALIFY rank <= 2),
+items AS (
+  SELECT 0 AS part, 0 AS place, '[project metrics]' || chr(10) || 'rows: ' || (SELECT count(*) FROM orders) || chr(10) || 'columns: {len(COLS) + 1}' AS text
+  UNION ALL SELECT 1, 0, '[dataset lookup]' || chr(10) || 'matched_rows: ' || matched_rows FROM totals
+  UNION ALL {' UNION ALL '.join(items)}
+  UNION ALL SELECT 10, doc_id * 100 + rank, '[' || label || ']' || chr(10) || chunk FROM best),
+{_budget('items', 'part, place')}
+SELECT text, '{",".join([*_REPORTS, "documents"])}' AS sources, (SELECT matched_rows FROM totals) AS dataset_rows FROM bounded"""
+
+
 def _metrics() -> str:
     found = ", ".join(
         f"CAST(coalesce(nullif(replace(regexp_extract(content, {lit(p)}, 1), ',', ''), ''), '0') AS bigint) AS {n}"
@@ -370,6 +441,8 @@ def _totals(source: str, cols) -> str:
 FROM {source} WHERE {contains(cols, TERM)}"""
 
 
+_REPORTS = _reports()
+
 # Remediation
 
 _province = """CASE WHEN recipient_province IS NOT NULL THEN recipient_province
@@ -642,15 +715,16 @@ SELECT conv_id, turn, CASE WHEN quoted <> '' THEN quoted WHEN reference <> '' TH
         "text_sections": f"WITH {SECTIONS} SELECT doc_id, CAST(section AS integer) AS section, part, label, md5(chunk) AS digest FROM chunks",
         "top_sections": f"WITH {TOP} SELECT doc_id, rank, score, label, md5(chunk) AS digest FROM best",
         "row_relevance": _relevance(),
-        "report_summary": f"""WITH {SCORED}, cells AS (SELECT 'decision' AS col, decision AS v FROM variants
+        "report_summary": " UNION ALL ".join(
+            f"SELECT \"column\", value, \"count\", rank, '{n}' AS report FROM ({_summary(n)})" for n in _REPORTS
+        ),
+        "value_profile": f"""WITH {SCORED}, cells AS (SELECT 'decision' AS col, decision AS v FROM variants
   UNION ALL SELECT 'suggested_group', suggested_group FROM variants),
 counted AS (SELECT col, coalesce(v, '<missing>') AS v, count(*) AS n FROM cells GROUP BY 1, 2)
 SELECT col AS "column", v AS value, n AS "count", CAST(row_number() OVER (PARTITION BY col ORDER BY n DESC, v) AS integer) AS rank
 FROM counted QUALIFY rank <= 12""",
         "budget_concat": f"WITH {_budget('documents', 'doc_id')} SELECT text, items FROM bounded",
-        "evidence_bundle": f"""WITH {READ}, {TOP}, items AS (SELECT doc_id, rank, '[' || label || ']' || chr(10) || chunk AS text FROM best),
-{_budget('items', 'doc_id, rank')}, totals AS ({_totals('read', [c for c in LOOKUP if not c.endswith('_clean')])})
-SELECT text, 'documents' AS sources, (SELECT matched_rows FROM totals) AS dataset_rows FROM bounded""",
+        "evidence_bundle": _bundle(),
         "report_metrics": _metrics(),
         "final_summary": f"""WITH {CLEANED}, nulls AS ({nulled('grants', True)}),
 {_groups(' UNION ALL '.join(_key_rows(r, 'nulls') for r in _KEYS))}

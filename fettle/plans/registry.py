@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +100,17 @@ def _duplicates(spark, sf, rules=dup.DEFAULT_RULES):
     return dup.duplicate_report(grants(spark, sf), rules, exclude=["row_number"])
 
 
+def _reports(spark, sf):
+    """Name, rows and order of the four reports."""
+    found = _variants(read_grants(spark, sf))
+    return [
+        ("missing_values", pr.missing_report(grants(spark, sf)), ["colonne"]),
+        ("duplicates", _duplicates(spark, sf), ["duplicate_type", "sample_row_number"]),
+        ("organization_variants", found, ["original_value"]),
+        ("entity_cleaning_mapping", mp.build_mapping(found), ["original_value"]),
+    ]
+
+
 def _groups(view):
     """Duplicate groups without samples: all that the summaries need."""
     return dup.duplicate_groups(canonical_null(view).transform(null_to_empty))
@@ -643,7 +655,14 @@ def row_relevance(spark, sf):
 
 @query
 def report_summary(spark, sf):
-    """Most frequent values of the variants report columns."""
+    """Rows, columns and most frequent values of the four reports."""
+    found = [pr.report_summary(r).withColumn("report", F.lit(n)) for n, r, _ in _reports(spark, sf)]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def value_profile(spark, sf):
+    """Most frequent values of two columns of the variants report."""
     return pr.value_profile(_variants(read_grants(spark, sf)), ["decision", "suggested_group"], 12)
 
 
@@ -655,13 +674,16 @@ def budget_concat(spark, sf):
 
 @query
 def evidence_bundle(spark, sf):
-    """Bounded text with its sources and the number of matching table rows."""
+    """Bounded text over all reports and texts, its sources, and the number of matching rows."""
     sections = ev.split_sections(sectioned_documents(spark, sf), ["doc_id"], "content", "doc_id")
-    best = ev.top_sections(sections, ["doc_id"], QUESTION, 2)
-    items = best.withColumn("text", F.concat(F.lit("["), "label", F.lit("]\n"), "chunk"))
-    bundle = ev.evidence_bundle(
-        items, ["doc_id", "rank"], ["documents"], ev.lookup_totals(read_grants(spark, sf), TERM)
-    )
+    best = ev.top_sections(sections, ["doc_id"], REPORT_QUESTION, 2)
+    totals = ev.lookup_totals(read_grants(spark, sf), TERM)
+    reports = _reports(spark, sf)
+    figures = src.dataset_overview(grants(spark, sf))
+    items = ev.gather_evidence(REPORT_QUESTION, figures, totals.select("matched_rows"), reports, best, "doc_id")
+    # Every report is made once, for the lengths and the texts that fit.
+    items = src.write_snapshot(items, work_path(spark, "evidence"))
+    bundle = ev.evidence_bundle(items, [*[n for n, _, _ in reports], "documents"], totals)
     return bundle.withColumn("sources", F.array_join("sources", ","))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -54,10 +54,14 @@ def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+    """A new path in the shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only where it is unset, and only in a local session, as in tests, one is made for the
+    session, below the warehouse.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="fettle-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -7,7 +7,7 @@ import pytest
 from fettle.plans.registry import queries
 
 QUERIES = queries()
-WIDE = [n for n in QUERIES if n not in ("text_scan", "snapshot_scan")]
+WIDE = [n for n in QUERIES if n not in ("text_scan", "snapshot_scan", "evidence_bundle")]
 
 
 def physical(df) -> str:
