@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fettle.llm.common import stored
+
 TABLES = 4
 BASE_CELLS = 48
 # Rounds of the fixed table, and of one subtable each of larger ones.
@@ -158,19 +160,23 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     dealt by key. The next document is a row of the next larger doc_id (after the largest:
     the smallest). Rows without an id have none: nothing is put in place of what goes.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"), "doc_id", "text")
-    ids = rows.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.length("text")).alias("n"))
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    rows = docs.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    sizes = docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
+    ids = sizes.agg(F.max(F.coalesce(F.length("text"), F.lit(0))).alias("n"))
     order = successors(ids.select("id")).join(ids.select(F.col("id").alias("_id"), "n"), F.col("id") == F.col("_id"))
     order = order.select(
         F.col("next").cast("string").alias("_next"),
         F.col("id").cast("string").alias("_prev"),
         F.floor(F.col("n") / 4).cast("int").alias("_most"),
     )
-    # Equal rows are told apart by their place among those of one key.
+    order = stored(order, "order")
+    # Both uses of the rows below read the same columns in the same way, so that all that is
+    # made of them shares one shuffle of the texts. Equal rows are told apart
+    # by their place among those of one key.
     same = Window.partitionBy("key").orderBy(F.xxhash64("text"))
     rows = rows.withColumn("copy", F.row_number().over(same))
-    ahead = rows.where("copy = 1").join(order, F.col("key") == F.col("_next"))
+    ahead = rows.where(F.abs("copy") == 1).join(order, F.col("key") == F.col("_next"))
     ahead = ahead.select("_prev", F.expr("left(text, _most)").alias("_head"), digests(F.col("text")).alias("following"))
     both = rows.join(ahead, F.col("key") == F.col("_prev"), "left")
     size = F.length("text")
@@ -179,7 +185,7 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     return both.select(
         "key",
         "copy",
-        "doc_id",
+        F.expr("try_cast(key as bigint)").alias("doc_id"),
         size.cast("long").alias("n_chars"),
         "text",
         F.concat(F.substring("text", F.lit(1), size - quarter), head).alias("edited"),
