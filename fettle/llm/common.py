@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,21 @@ from fettle.plans.session import work_path
 RANK_BLOCKS = 1024
 
 
+_KEPT: dict[str, Any] = {}
+
+
+def worker_cache(name: str, make: Callable[[], Any]) -> Any:
+    """An object that later tasks of a worker process find again.
+
+    A worker holds one at a time: the next operator's takes the place of the last one's, so
+    that the stages of a pipeline do not add up in memory.
+    """
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 

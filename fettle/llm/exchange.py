@@ -16,19 +16,19 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fettle.llm.common import stored
+from fettle.llm.common import stored, worker_cache
 
 # Bytes of text in a batch (a longer text is a batch alone) and, on average, in a bucket.
 BATCH_BYTES = 4_000_000
 BUCKET_BYTES = 8_000_000
-CACHED_WORDS = 500_000
+# Words whose hashes a worker keeps.
+CACHED_WORDS = 200_000
 
 BATCHES = "batch long, ids array<long>, sizes array<int>, bytes long, texts binary"
 
@@ -86,14 +86,11 @@ class _Hashes(dict):
         return value
 
 
-_KNOWN = _Hashes()
-
-
 def word_hashes(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in a row, and the end of each document among them."""
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
     flat = np.empty(int(ends[-1]) if len(ends) else 0, np.uint64)
-    at, get = 0, _KNOWN.__getitem__
+    at, get = 0, worker_cache("hashes", _Hashes).__getitem__
     for words in texts:
         flat[at : at + len(words)] = np.fromiter(map(get, words), np.uint64, len(words))
         at += len(words)
@@ -131,7 +128,7 @@ def rolling(words: np.ndarray, length: int) -> np.ndarray:
 
 def starts(ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Places where a window of ``length`` words begins, and the first place of their document."""
-    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    begins = np.concatenate([[0], ends]).astype(np.int64)[:-1]
     counts = np.maximum(ends - begins - length + 1, 0)
     first = np.repeat(begins, counts)
     within = np.arange(len(first)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -203,9 +200,9 @@ def ask(
                     ["batch", "bucket", "keys", "notes"],
                 )
 
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.cumsum(_unpacked(k, kind), dtype=kind) for k in rows["keys"]]
-        notes = np.concatenate([_unpacked(n, np.uint32) for n in rows["notes"]])
+    def count(rows: pa.Table) -> pa.Table:
+        keys = [np.cumsum(_unpacked(k, kind), dtype=kind) for k in rows["keys"].to_pylist()]
+        notes = np.concatenate([_unpacked(n, np.uint32) for n in rows["notes"].to_pylist()])
         sizes = [len(k) for k in keys]
         flat = np.concatenate(keys)
         order = np.argsort(flat, kind="stable")
@@ -216,12 +213,11 @@ def ask(
         replies[order] = np.repeat(said, np.diff(np.append(first, len(flat)))).astype(np.uint8)
         pack = zstandard.ZstdCompressor(level=1)
         parts = np.split(replies, np.cumsum(sizes)[:-1])
-        return pd.DataFrame(
-            {"batch": rows["batch"], "bucket": rows["bucket"], "reply": [pack.compress(p.tobytes()) for p in parts]}
-        )
+        answers = pa.array([pack.compress(p.tobytes()) for p in parts], pa.binary())
+        return rows.select(["batch", "bucket"]).append_column("reply", answers)
 
     dealt = asking.mapInArrow(deal, "batch long, bucket int, keys binary, notes binary")
-    replies = dealt.groupBy("bucket").applyInPandas(count, "batch long, bucket int, reply binary")
+    replies = dealt.groupBy("bucket").applyInArrow(count, "batch long, bucket int, reply binary")
     return stored(replies, "replies")
 
 

@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -241,14 +240,16 @@ def find_links(nodes: DataFrame, percent: int, task_shingles: int = TASK_SHINGLE
     tasks = _tasks(stored(known, "known"), percent, task_shingles)
     filled = tasks.join(nodes.select("node", "shingles"), "node")
 
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node", ignore_index=True)
-        region = Region([np.asarray(s) for s in rows["shingles"]], rows["label"].tolist(), percent)
-        region.join(np.arange(len(rows)))
+    def join(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node").combine_chunks()
+        sets = [s.values.to_numpy() for s in rows["shingles"]]
+        region = Region(sets, rows["label"].to_pylist(), percent)
+        region.join(np.arange(len(sets)))
         ids = rows["node"].to_numpy()
-        return pd.DataFrame({"a": [ids[x] for x, _ in region.links], "b": [ids[y] for _, y in region.links]}, dtype="int64")
+        ends = np.array(region.links, np.int64).reshape(-1, 2)
+        return pa.table({"a": ids[ends[:, 0]], "b": ids[ends[:, 1]]})
 
-    inside = filled.groupBy("pivot", "ring", "i", "j").applyInPandas(join, "a long, b long")
+    inside = filled.groupBy("pivot", "ring", "i", "j").applyInArrow(join, "a long, b long")
     return near.where("linked").select("a", "b").unionByName(inside)
 
 

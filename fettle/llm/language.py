@@ -9,10 +9,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fettle.llm.common import worker_cache
 
 LEVEL = 6
 # Texts are encoded in blocks of this many bytes, each from the dictionary alone: else a
@@ -27,7 +31,7 @@ LEAST_LEAD = 0.005
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
-FOUND = "lang_pred string, score double, accepted boolean"
+FOUND = T.StructType().add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
 
 
 def sample_dictionaries(
@@ -79,7 +83,8 @@ class Encoders:
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float = LEAST_LEAD) -> DataFrame:
-    """Adds lang_pred, score and accepted to each row, from its whole text alone.
+    """Adds lang_pred, score and accepted to each row (in place of any of that name), from its
+    whole text alone.
 
     The score is the lead of the smallest encoding over the second smallest, as a part of
     the second; a document with a lead under ``least_lead`` is not accepted. Without a
@@ -87,6 +92,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float
     accepted. With a single dictionary the second size is that of the text itself. Ties go
     to the first language by name. Repeated rows stay as they are.
     """
+    docs = docs.drop(*FOUND.names)
     names, kept = list(dictionaries), docs.columns
     place = kept.index("text")
 
@@ -100,7 +106,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float
         return names[order[0]], lead, lead >= least_lead
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = Encoders(dictionaries)
+        encoders = worker_cache(f"encoders {crc32(repr(dictionaries).encode())}", lambda: Encoders(dictionaries))
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -109,8 +115,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float
                 added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], [*kept, "lang_pred", "score", "accepted"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, {FOUND}")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *FOUND.fields]))
 
 
 def held_out(doc_id):

@@ -31,6 +31,9 @@ def test_awkward_rows(spark):
     for few in ({}, {"en": learnt["en"]}):
         assert language.identify(awkward(spark), few).count() == len(awkward_rows())
     assert language.sample_dictionaries(empty(spark)) == {}
+    clash = awkward(spark).withColumnRenamed("lang", "score").withColumnRenamed("source", "lang_pred")
+    out = language.identify(clash, learnt)
+    assert out.columns.count("score") == 1 and dict(out.dtypes)["score"] == "double" and "_block" in out.columns
 
 
 def test_narrow_leads_are_rejected(spark):
