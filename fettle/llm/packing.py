@@ -13,14 +13,16 @@ from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from string import punctuation
+from unicodedata import is_normalized
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fettle.llm.common import stored, with_rank
+from fettle.llm.common import stored, with_rank, worker_cache
 
 CAPACITY = 2048
 END_ID = 1
@@ -44,12 +46,22 @@ def cuts(total: int, capacity: int = CAPACITY, slack: int = SLACK) -> list[int]:
     return pieces
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves; the others, in order, for the letters from 256 on.
+    """
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordIds(dict):
     """Ids of white-space separated words as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are
-    those of its words in a row. Only words not met before are tokenized: all new words of
-    a batch in one text, kept apart by a digit, which is always a token of its own.
+    those of its words in a row. A run of letters goes straight to the vocabulary's merges,
+    and marks after it are known by then; all other words are tokenized as texts.
     """
 
     def __init__(self, path: str):
@@ -57,47 +69,49 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.between = self.tokenizer.encode("0", add_special_tokens=False).ids
-        self.plain = len(self.between) == 1
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.letters_of = _byte_letters()
+        self.marks = {"": b""}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def run(self, letters: str) -> bytes:
+        """Ids of lower-case letters alone."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.letters_of)
+        return b"".join([self.bytes_of[t.id] for t in self.tokenizer.model.tokenize(letters)])
+
     def learn(self, words: set[str]) -> None:
-        if len(self) + len(words) > CACHED_WORDS:
-            self.clear()
-        parts: dict[str, tuple[str, ...]] = {}
         for word in words:
-            low = word.lower() if word.isascii() else word
-            # A run of letters and the mark after it are tokenized apart.
-            parts[word] = (low[:-1], low[-1]) if low[-1] in ".,!" and low[:-1].lower().isalpha() else (low,)
-        new = {p for ps in parts.values() for p in ps} - self.keys()
-        simple = sorted(p for p in new if self.plain and "0" not in p)
-        for at in range(0, len(simple), 2000):
-            chunk = simple[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" 0 ".join(chunk), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(ids == self.between[0])
-            raw, begin = ids.tobytes(), 0
-            for part, end in zip(chunk, [*ends.tolist(), len(ids)], strict=True):
-                self[part] = raw[4 * begin : 4 * end]
-                begin = end + 1
-        for part in new.difference(simple):
-            self[part] = self.whole(part)
-        for word, ps in parts.items():
-            if word not in self:
-                self[word] = b"".join([self[p] for p in ps])
+            low = word.lower()
+            stem = low.rstrip(punctuation)
+            # Python's lower case differs from the tokenizer's, letter by letter, in a final sigma.
+            plain = stem.isascii() or is_normalized("NFC", word) and is_normalized("NFC", low) and "\u03a3" not in word
+            if not (plain and stem.isalpha()):
+                self[word] = self.whole(word)
+                continue
+            ids = self.get(stem)
+            if ids is None:
+                ids = self[stem] = self.run(stem)
+            mark = low[len(stem) :]
+            if mark not in self.marks:
+                if len(self.marks) > CACHED_WORDS:
+                    self.marks = {"": b""}
+                self.marks[mark] = self.whole(mark)
+            self[word] = ids + self.marks[mark]
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         # Special tokens match across word ends; four control marks split Python's words only.
-        odd = [("<|" in t or not t.isprintable() and any(c in t for c in "\x1c\x1d\x1e\x1f")) for t in texts]
+        odd = ["<|" in t or any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
         words = set().union(*split)
-        if not words <= self.keys():
-            before = words - self.keys()
-            if len(self) + len(before) > CACHED_WORDS:
-                before = words
-            self.learn(before)
+        new = words - self.keys()
+        if len(self) + len(new) > CACHED_WORDS:
+            self.clear()
+            new = words
+        self.learn(new)
         get = self.__getitem__
         return [
             self.whole(t) if o else b"".join(map(get, ws))
@@ -105,14 +119,9 @@ class WordIds(dict):
         ]
 
 
-_KNOWN: dict[str, WordIds] = {}
-
-
 def _word_ids(path: str) -> WordIds:
-    """One per worker process, so that later tasks find the words of earlier ones."""
-    if path not in _KNOWN:
-        _KNOWN[path] = WordIds(path)
-    return _KNOWN[path]
+    """Later tasks of a worker find the words of earlier ones."""
+    return worker_cache(f"words {path}", lambda: WordIds(path))
 
 
 def cut_documents(
@@ -165,7 +174,8 @@ def best_fit(lengths: list[int], capacity: int) -> list[tuple[int, int, int]]:
 
 
 def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to pieces (doc_id, start, length and any other columns).
+    """Add sequence_id and offset to pieces (doc_id, start, length and any other columns),
+    in place of any of that name.
 
     A full bin of class k has k pieces; offsets have no gaps. What is left over of each
     class, less than one bin of it, is at most ``capacity`` bins together whatever the size
@@ -173,8 +183,11 @@ def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Equal rows are interchangeable and each gets its own place.
     """
     klass = F.floor(F.lit(capacity) / F.col("length")).cast("long")
-    rows = stored(pieces, "pieces").withColumn("_class", klass)
     order = ["doc_id", "start", "length"]
+    pieces = pieces.drop("sequence_id", "offset")
+    # Columns travel as one, so that none is taken for a column of the steps below.
+    whole = F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("_row")
+    rows = stored(pieces.select(whole, *order), "pieces").withColumn("_class", klass)
     totals = rows.groupBy("_class").agg(F.count(F.lit(1)).alias("_total"))
     totals = totals.select(F.col("_class").alias("_k"), "_total")  # a row for each class, capacity at most
     ranked = with_rank(rows, "_class", order, "_rank").join(F.broadcast(totals), F.col("_class") == F.col("_k"))
@@ -187,18 +200,15 @@ def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .withColumn("sequence_id", F.shiftleft(F.col("_class"), 40) + F.col("_bin"))
         .withColumn("offset", F.coalesce(F.sum("length").over(in_bin), F.lit(0)))
     )
-    names = [c for c in pieces.columns]
-    kept = [*names, "sequence_id", "offset"]
-    rest = ranked.where("not _full").select(*names)
-
-    def place(left: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values(order, kind="stable", ignore_index=True)
-        where = best_fit(left["length"].tolist(), capacity)
-        left["sequence_id"], left["offset"] = 0, 0
-        index, number, offset = (list(x) for x in zip(*where))
-        left.loc[index, "sequence_id"], left.loc[index, "offset"] = number, offset
-        return left
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
-    packed = rest.groupBy().applyInPandas(place, f"{schema}, sequence_id long, offset long")
+    kept = ["_row.*", "sequence_id", "offset"]
+    rest = ranked.where("not _full").select("_row", *order)
+
+    def place(left: pa.Table) -> pa.Table:
+        left = left.sort_by([(c, "ascending") for c in order])
+        where = sorted(best_fit(left["length"].to_pylist(), capacity))
+        left = left.append_column("sequence_id", pa.array([b for _, b, _ in where], pa.int64()))
+        return left.append_column("offset", pa.array([o for _, _, o in where], pa.int64()))
+
+    schema = T.StructType([*rest.schema.fields]).add("sequence_id", "long").add("offset", "long")
+    packed = rest.groupBy().applyInArrow(place, schema)
     return full.select(*kept).unionByName(packed.select(*kept))
