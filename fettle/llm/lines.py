@@ -42,7 +42,7 @@ def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, least: int
 def drop_boilerplate(
     pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least: int = LEAST_PAGES
 ) -> DataFrame:
-    """All columns with the text that is left, and n_lines, n_dropped.
+    """All columns with the text that is left, and n_lines, n_dropped (in place of any such).
 
     A line goes when more than ``ratio`` of the host's pages, and ``least`` pages at least,
     contain it. A null text stays null with no lines; a null host is a host of its own; each
@@ -51,15 +51,19 @@ def drop_boilerplate(
     # Written first: its size is then known when the join is planned, and where it is small
     # the pages need no shuffle.
     found = stored(boilerplate(pages, host, text, ratio, least).withColumnRenamed("_host", "_site"), "boilerplate")
-    joined = pages.join(found, F.col(host).eqNullSafe(F.col("_site")), "left").drop("_site")
-    lines = F.split(text, "\n")
+    pages = pages.drop("n_lines", "n_dropped")
+    # Columns travel as one, so that none is taken for a column of the steps below.
+    whole = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row")
+    rows = pages.select(whole, F.col(host).alias("_host"), F.col(text).alias("_text"))
+    joined = rows.join(found, F.col("_host").eqNullSafe(F.col("_site")), "left")
+    lines = F.split("_text", "\n")
     kept = F.when(F.col("_drop").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.array_contains(F.col("_drop"), _digest(F.trim(x))))
     )
     n_lines = F.coalesce(F.size(lines), F.lit(0))
     kept_n = F.coalesce(F.size("_kept"), F.lit(0))
-    left = F.array_join("_kept", "\n").alias(text)
-    columns = [left if c == text else F.col(f"`{c}`") for c in pages.columns]
+    left = F.array_join("_kept", "\n")
+    columns = [(left if c == text else F.col("_row").getField(c)).alias(c) for c in pages.columns]
     return joined.withColumn("_kept", kept).select(
         *columns, n_lines.alias("n_lines"), (n_lines - kept_n).alias("n_dropped")
     )

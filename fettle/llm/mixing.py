@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from fettle.llm.common import stored, with_rank
 
 FRAME = 4096
+PLACES = ["slot", "epoch", "release", "deadline"]
 TEMPERATURE = 0.7
 
 
@@ -73,13 +74,16 @@ def mix(
 
     The schedule runs until every document had a slot. Sources that end earlier start over,
     in a later epoch, so the result has every document at least once and holds the weights
-    all the way. Adds slot, epoch, release and deadline to all columns; an empty table gives
-    an empty result, and repeated rows are documents of their own.
+    all the way. Adds slot, epoch, release and deadline to all columns, in place of any of
+    that name; an empty table gives an empty result, and repeated rows are documents of
+    their own.
     """
     spark = docs.sparkSession
-    columns = [c for c in docs.columns]
-    named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
-    rows = docs.withColumn("_source", named).withColumn("_order", F.xxhash64(*columns))
+    docs = docs.drop(*PLACES)
+    named = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
+    # Columns travel as one, so that none is taken for a column of the steps below.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("_row"), named.alias("_source"), F.xxhash64(whole).alias("_order"))
     counts = stored(rows.groupBy("_source").agg(F.count(F.lit(1)).alias("_n")), "sources")
     if weights is not None:
         listed = [f"={k}" for k in weights]
@@ -95,8 +99,7 @@ def mix(
         .collect()
     }
     if not sizes:
-        extra = "cast(null as bigint)"
-        return docs.limit(0).select(*columns, *[F.expr(extra).alias(c) for c in ("slot", "epoch", "release", "deadline")])
+        return docs.limit(0).select("*", *[F.lit(None).cast("long").alias(c) for c in PLACES])
     if weights is None:
         target = {k: n**temperature for k, n in sizes.items()}
     else:
@@ -118,7 +121,7 @@ def mix(
     facts = spark.createDataFrame([(k, s, sizes[k]) for k, s in shares.items()], "_of string, _share long, _size long")
     known = [k for k in shares if k != "*"]
     grouped = rows.withColumn("_group", F.when(F.col("_source").isin(known), F.col("_source")).otherwise("*"))
-    ranked = with_rank(grouped, "_group", ["doc_id", "_order"], "_rank")
+    ranked = with_rank(grouped, "_group", ["_order", "_row.doc_id"], "_rank")
     ranked = ranked.join(F.broadcast(facts), F.col("_group") == F.col("_of"))
     # No more blocks of a source can come before the last slot than whole frames hold.
     most = F.lit(-(-until // length)) * F.col("_share")
@@ -132,7 +135,7 @@ def mix(
         (F.col("_group") == F.col("_name")) & (F.col("_in_frame") == F.col("_at")),
     )
     return placed.select(
-        *columns,
+        "_row.*",
         (frames + F.col("_slot")).alias("slot"),
         "epoch",
         (frames + F.col("_release")).alias("release"),

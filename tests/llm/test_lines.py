@@ -34,6 +34,10 @@ def test_awkward_rows(spark):
     out = lines.drop_boilerplate(awkward(spark))
     assert out.columns == [*awkward(spark).columns, "n_lines", "n_dropped"]
     assert result(out) == brute([(r[0], r[1], r[3]) for r in awkward_rows()])
+    assert {(r["_block"], r["sequence_id"]) for r in out.collect()} == {("x", "y"), (None, None)}
+    clash = awkward(spark).selectExpr("doc_id", "text", "source", "text as _host", "source as _text", "1 as n_lines", "`_block` as _row")
+    again = lines.drop_boilerplate(clash)
+    assert result(again) == result(out) and again.columns[-2:] == ["n_lines", "n_dropped"]
 
 
 def test_hosts_are_apart(spark):
