@@ -91,8 +91,9 @@ def duplicate_report(
     row_number: str = "row_number",
     exclude: Iterable[str] = (),
     na_tokens: Iterable[str] = NA_TOKENS,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Duplicate groups with the fields of their first row.
+    """Duplicate groups with the fields of their first row, by rule and size if ``ordered``.
 
     ``row_number`` is any unique column that follows source order.
     """
@@ -108,13 +109,15 @@ def duplicate_report(
         ],
     )
     report = groups.join(samples, "sample_row_number")
-    return report.select(
+    report = report.select(
         "duplicate_type",
         "duplicate_key",
         "duplicate_count",
         "sample_row_number",
         *[f"sample_{c}" for c in sample_cols],
-    ).orderBy("duplicate_type", F.desc("duplicate_count"), "sample_row_number")
+    )
+    by_size = ["duplicate_type", F.desc("duplicate_count"), "sample_row_number"]
+    return report.orderBy(*by_size) if ordered else report
 
 
 def _extra_rows():

@@ -59,19 +59,19 @@ def missing_counts(df: DataFrame, na_tokens: Iterable[str] = NA_TOKENS) -> DataF
     )
 
 
-def missing_report(df: DataFrame, na_tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
+def missing_report(
+    df: DataFrame, na_tokens: Iterable[str] = NA_TOKENS, ordered: bool = True
+) -> DataFrame:
     """Missing values and a recommendation for every column, worst first."""
-    return (
-        missing_counts(df, na_tokens)
-        .select(
-            F.col("column").alias("colonne"),
-            F.col("missing_count").alias("valeurs_manquantes"),
-            F.col("total").alias("total_lignes"),
-            F.round("percent", 2).alias("pourcentage_manquant"),
-            recommend(F.col("percent")).alias("recommandation"),
-        )
-        .orderBy(F.desc("pourcentage_manquant"), F.desc("valeurs_manquantes"), "colonne")
+    report = missing_counts(df, na_tokens).select(
+        F.col("column").alias("colonne"),
+        F.col("missing_count").alias("valeurs_manquantes"),
+        F.col("total").alias("total_lignes"),
+        F.round("percent", 2).alias("pourcentage_manquant"),
+        recommend(F.col("percent")).alias("recommandation"),
     )
+    worst = [F.desc("pourcentage_manquant"), F.desc("valeurs_manquantes"), "colonne"]
+    return report.orderBy(*worst) if ordered else report
 
 
 def _incomplete(df: DataFrame, na_tokens: Iterable[str]) -> DataFrame:

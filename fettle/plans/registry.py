@@ -96,16 +96,16 @@ def _cleaned_for(read, term):
     return mp.apply_mapping(read, labels.withColumn("status", F.lit("accepted")), TARGET)
 
 
-def _duplicates(spark, sf, rules=dup.DEFAULT_RULES):
-    return dup.duplicate_report(grants(spark, sf), rules, exclude=["row_number"])
+def _duplicates(spark, sf, rules=dup.DEFAULT_RULES, ordered=True):
+    return dup.duplicate_report(grants(spark, sf), rules, exclude=["row_number"], ordered=ordered)
 
 
 def _reports(spark, sf):
     """Name, rows and order of the four reports."""
     found = _variants(read_grants(spark, sf))
     return [
-        ("missing_values", pr.missing_report(grants(spark, sf)), ["colonne"]),
-        ("duplicates", _duplicates(spark, sf), ["duplicate_type", "sample_row_number"]),
+        ("missing_values", pr.missing_report(grants(spark, sf), ordered=False), ["colonne"]),
+        ("duplicates", _duplicates(spark, sf, ordered=False), ["duplicate_type", "sample_row_number"]),
         ("organization_variants", found, ["original_value"]),
         ("entity_cleaning_mapping", mp.build_mapping(found), ["original_value"]),
     ]

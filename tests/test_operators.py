@@ -227,9 +227,26 @@ def test_evidence_bundle_and_lookup(spark):
     assert tuple(ev.lookup_totals(table, "").first()) == (0, 0.0)
     assert [r.agreement_value for r in ev.lookup_rows(table, "uqam", n=1).collect()] == ["10.5"]
     assert ev.lookup_rows(table, "").count() == 0
-    items = spark.createDataFrame([(1, "a"), (2, "b")], "i int, text string")
-    bundle = ev.evidence_bundle(items, ["i"], ["one", "two"], totals).first()
-    assert tuple(bundle) == ("a\n\nb", ["one", "two"], 2)
+    items = spark.createDataFrame([(1, 0, "a"), (0, 5, "b")], "part int, place long, text string")
+    bundle = ev.evidence_bundle(items, ["one", "two"], totals).first()
+    assert tuple(bundle) == ("b\n\na", ["one", "two"], 2)
+
+
+def test_evidence_from_reports(spark):
+    report = spark.createDataFrame([("x", "accepted"), ("blue y", "review"), ("blue z", "review")], "name string, status string")
+    empty = report.limit(0)
+    figures = spark.createDataFrame([(3, 2)], "rows long, columns long")
+    sections = spark.createDataFrame([(1, 1, "doc section 1", "text")], "doc int, rank int, label string, chunk string")
+    items = ev.gather_evidence(
+        "blue?", figures, figures.select("rows"), [("full", report, ["name"]), ("none", empty, ["name"])], sections, "doc")
+    assert [r.text for r in items.orderBy("part", "place").collect()] == [
+        "[project metrics]\nrows: 3\ncolumns: 2",
+        "[dataset lookup]\nrows: 3",
+        "[full] Rows: 3; columns: name, status\nstatus counts: review=2, accepted=1",
+        "[full relevant rows]\nname,status\nblue y,review\nblue z,review",
+        "[none] Report is missing or empty.",
+        "[doc section 1]\ntext",
+    ]
 
 
 def test_metrics_from_text(spark):
