@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fettle.llm import jaccard, language, lines, mixing, queries
-from fettle.llm.common import stored
+from fettle.llm.common import dropped_after, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_WORDS = 5
@@ -37,8 +37,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of several rows with one doc_id and one text the first stays. Rows without a doc_id stay.
     """
-    groups = jaccard.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
-    others = stored(groups.where("component_id <> doc_id").select("doc_id").distinct(), "others")
+    with dropped_after(spark):
+        groups = jaccard.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
+        others = groups.where("component_id <> doc_id").select("doc_id").distinct()
+        others = stored(others, "others", keep=True)
     left = docs.select(*COLUMNS).join(others, "doc_id", "left_anti")
     copy = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars"))
     first = left.withColumn("_copy", copy).where("_copy = 1 or doc_id is null")
@@ -76,5 +78,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from documents to packed pieces."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with dropped_after(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fettle.plans.session import work_path
@@ -30,13 +31,33 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     return _KEPT[name]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+# Paths of the tables that are dropped when the steps around them are done.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def dropped_after(spark: SparkSession) -> Iterator[None]:
+    """Drops the tables that the steps inside store, but for those stored with ``keep``.
+
+    For steps whose result is itself stored, or otherwise used up, inside.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, _SCOPES.pop()):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps before, and
     values that a second run could change (row ids) are fixed from here on.
     """
     path = work_path(df.sparkSession, name)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,4 +1,5 @@
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import corpus_pipeline as cp
 import pytest
@@ -63,6 +64,14 @@ def test_packing_holds_all(steps):
     assert test_packing.check(steps[5].collect(), texts) > 0.97
 
 
+def test_steps_leave_no_tables(spark, sf_dir):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    out = STAGE["near_duplicates"](spark, queries.documents(spark, sf_dir), sf_dir)
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["others"]
+    assert out.count()
+
+
 def test_run(spark, sf_dir, steps):
     assert cp.run(spark, sf_dir).count() == steps[5].count()
 
