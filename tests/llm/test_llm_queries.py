@@ -1,0 +1,44 @@
+import re
+
+import compare
+import pytest
+
+import __spark_entry__ as entry
+from fettle.llm import queries
+
+SQL = queries.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, sf_dir, name):
+    con = compare.connect(sf_dir)
+    assert compare.compare(spark, con, sf_dir, name, queries.queries()[name], SQL[name]) == ""
+
+
+def test_all_are_registered():
+    found = entry.queries()
+    numbers = sorted(int(m[1]) for n in found if (m := re.match(r"op(\d+)_", n)))
+    assert numbers == list(range(1, 11)) and "pipeline" in found
+
+
+def test_results_carry_the_columns_asked_for(spark, sf_dir):
+    wanted = {
+        "op1_harmonic_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+        "op4_html_extraction": "page_id url text n_chars",
+        "op5_language_id": "doc_id held_out lang_pred score",
+        "op6_iblt_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+        "op7_substring_dedup": "doc_id n_words n_removed kept_sha256",
+        "op8_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
+        "op9_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+        "op10_jaccard_join": "doc_id n_shingles component_id",
+    }
+    kinds = {
+        "bigint": "doc_id start length ids_crc32 doc_tokens sequence_id offset page_id n_chars n_words n_removed "
+        "n_assign n_access n_hex keep_id group_size n_shingles component_id".split(),
+        "boolean": ["held_out", "kept"],
+        "double": ["score", "near_edited", "near_next"],
+    }
+    for name, columns in wanted.items():
+        found = dict(queries.queries()[name](spark, sf_dir).dtypes)
+        for c in columns.split():
+            assert found[c] == next((k for k, names in kinds.items() if c in names), "string"), (name, c)
