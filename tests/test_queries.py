@@ -2,9 +2,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from fettle.plans import oracles, registry
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 def test_every_oracle_has_a_query():
     assert set(SQL) <= set(QUERIES)
     assert sorted(set(QUERIES) - set(SQL)) == ["file_overview"]
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
