@@ -27,8 +27,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; n_chars is that of the rest."""
-    left = lines.drop_boilerplate(docs.select(*COLUMNS))
+    """Documents without the boilerplate lines of their source; n_chars is that of the rest.
+
+    Copies of a text count once here: the next stage has to find one of them whole.
+    """
+    left = lines.drop_boilerplate(docs.select(*COLUMNS), copies_once=True)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

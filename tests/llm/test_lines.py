@@ -49,6 +49,16 @@ def test_hosts_are_apart(spark):
     assert out[0, "own 0\n", 4, 2] == 1 and out[100, "menu\nown 0", 2, 0] == 1 and out[200, "shared", 1, 0] == 1
 
 
+def test_copies_count_once(spark):
+    """A text that is a third of its source stays; a line of many different texts goes."""
+    rows = [(i, "first of a copy\nsecond of a copy", "a") for i in range(30)]
+    rows += [(100 + i, f"menu\nown {i}" if i % 2 else f"own {i}", "a") for i in range(60)]
+    rows += [(200 + i, "only text", "b") for i in range(3)] + [(300 + i, None, "b") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r["text"] for r in lines.drop_boilerplate(docs, copies_once=True).collect()}
+    assert out == {i: t.replace("menu\n", "") if t else None for i, t, _ in rows}
+
+
 def test_empty(spark):
     assert lines.drop_boilerplate(empty(spark)).count() == 0
 

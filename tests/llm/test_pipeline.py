@@ -42,6 +42,17 @@ def test_lines_equal_brute_force(steps):
     assert Counter((i, t) for i, t, _ in rows_of(steps[2])) == want
 
 
+def test_a_hot_copy_keeps_its_text(spark, sf_dir):
+    """A third of a source is one text: one row of it is left, with all its lines."""
+    rows = [(i, "\n".join(f"line {k} of one text for all" for k in range(9)), "en", "s", 0) for i in range(20)]
+    rows += [(100 + i, f"text {i} has a line\nand another {i * i}", "en", "s", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("line_dedup", "near_duplicates"):
+        docs = stored(STAGE[name](spark, docs, sf_dir), name)
+    assert [r["text"] for r in docs.where("doc_id < 100").collect()] == [rows[0][1]]
+    assert docs.where("text = ''").count() == 0
+
+
 def test_near_duplicates_equal_brute_force(steps):
     before = [(i, t) for i, t, _ in rows_of(steps[2])]
     want = {i for i, _, c in test_jaccard.brute(before, 5, 80) if i == c}
