@@ -5,41 +5,90 @@ slot floor(j / w) and is due before slot ceil((j + 1) / w); of the released bloc
 due first takes the slot. As the weights add up to one, every block meets its window, and
 at each slot every source is less than one block away from its target.
 
-Weights are whole shares of a frame of fixed length. At the end of a frame every source has
-exactly its share, so each frame repeats the first: one frame is worked out, by number of
-slots, and all documents find their slot by arithmetic and one join.
+Weights are whole numbers of 2 ** -40, so they differ from the targets by less than a block
+in 10 ** 12 slots. Slots are worked out in frames that do not wait for each other: which
+blocks are done before a frame follows from its first slot alone (``started``), so the
+windows run on over the ends of frames and no error adds up.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fettle.llm.common import stored, with_rank
 
 FRAME = 4096
+UNITS = 1 << 40
 PLACES = ["slot", "epoch", "release", "deadline"]
 TEMPERATURE = 0.7
 
 
-def frame_schedule(shares: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, slot, release, deadline) of one frame; its length is the sum of shares."""
-    frame = sum(shares.values())
-    waiting = [(0, name, 0) for name, share in sorted(shares.items()) if share]
+def started(shares: dict[str, int], at: int) -> dict[str, int]:
+    """Blocks of each source that are done before slot ``at``; their sum is ``at``.
+
+    A source has done floor or ceil of its target. Some blocks have windows on both sides of
+    ``at``. Of these the ones due first are done, as long as the slots before, from their
+    release on, have room for them beside the blocks that are due by ``at``. A schedule that
+    meets all windows exists on both sides: any set with room will do before, and after it
+    no set leaves fewer blocks that are due early.
+    """
+    whole = sum(shares.values())
+    done = {k: at * s // whole for k, s in shares.items()}
+    open_ = [(-(-(done[k] + 1) * whole // s), k, done[k] * whole // s) for k, s in shares.items() if at * s % whole]
+    if not open_:
+        return done
+    first = min(release for _, _, release in open_)
+    due = np.zeros(at - first, np.int64)  # blocks due by ``at``, by release
+    for name, share in shares.items():
+        for block in range(-(-first * share // whole), done[name]):
+            due[block * whole // share - first] += 1
+    room = np.arange(at - first, 0, -1) - np.cumsum(due[::-1])[::-1]
+    left = at - sum(done.values())
+    for _, name, release in sorted(open_):
+        before = room[: release - first + 1]
+        if left and before.min() > 0:
+            before -= 1
+            left -= 1
+            done[name] += 1
+    return done
+
+
+def frame_schedule(
+    shares: dict[str, int], start: int = 0, end: int | None = None
+) -> list[tuple[str, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of the slots from ``start`` to ``end``.
+
+    A source's weight is its part of all shares. Without ``end`` the schedule goes on for as
+    many slots as there are shares.
+    """
+    whole = sum(shares.values())
+    end = start + whole if end is None else end
+    done, until = started(shares, start), started(shares, end)
+    share_of = {name: share for name, share in shares.items() if done[name] < until[name]}
+
+    def released(name: str, block: int) -> int:
+        return block * whole // share_of[name]
+
+    waiting = [(max(start, released(name, done[name])), name, done[name]) for name in share_of]
+    heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
     out = []
-    for slot in range(frame):
+    for slot in range(start, end):
         while waiting and waiting[0][0] <= slot:
             _, name, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(block + 1) * frame // shares[name]), name, block))
-        due, name, block = heapq.heappop(ready)
-        release = block * frame // shares[name]
-        out.append((name, block, slot, release, due))
-        if block + 1 < shares[name]:
+            # What is done by the end has to be done inside.
+            heapq.heappush(ready, (min(end, -(-(block + 1) * whole // share_of[name])), name, block))
+        _, name, block = heapq.heappop(ready)
+        out.append((name, block, slot, released(name, block), -(-(block + 1) * whole // share_of[name])))
+        if block + 1 < until[name]:
             # A block also waits for the one before it.
-            heapq.heappush(waiting, (max(slot + 1, (block + 1) * frame // shares[name]), name, block + 1))
+            heapq.heappush(waiting, (max(slot + 1, released(name, block + 1)), name, block + 1))
     return out
 
 
@@ -70,7 +119,7 @@ def mix(
     ``weights`` maps sources to target weights; without it a source of n documents weighs
     n ** temperature. Sources that are not in it, or too small for half a slot of a frame,
     and those without any name in it, are pooled as one with their weight summed. Null is a
-    source like any other.
+    source like any other. A given weight of less than one slot of a frame counts as one.
 
     The schedule runs until every document had a slot. Sources that end earlier start over,
     in a later epoch, so the result has every document at least once and holds the weights
@@ -106,38 +155,34 @@ def mix(
         target = {f"={k}": w for k, w in weights.items() if w > 0 and f"={k}" in sizes}
         if "*" in sizes:
             target["*"] = max(1.0 - sum(weights.values()), min(weights.values(), default=1.0))
-    shares = whole_shares({k: target[k] for k in sizes if k in target}, max(frame, len(sizes)))
-    plan = frame_schedule(shares)
-    length = sum(shares.values())
-    slots = {(name, block): slot for name, block, slot, _, _ in plan}
-    last = {k: (sizes[k] - 1) // s * length + slots[k, (sizes[k] - 1) % s] for k, s in shares.items()}
-    until = max(last.values()) + 1
-
-    # One row for each slot of a frame: bounded by the frame, whatever the size of the input.
-    table = spark.createDataFrame(
-        [(n, b, s, r, d, shares[n], sizes[n]) for n, b, s, r, d in plan],
-        "_name string, _at long, _slot long, _release long, _due long, _share long, _size long",
-    )
-    facts = spark.createDataFrame([(k, s, sizes[k]) for k, s in shares.items()], "_of string, _share long, _size long")
+    target = {k: target[k] for k in sizes if k in target}
+    if weights is not None:
+        least = sum(target.values()) / frame
+        target = {k: max(least, w) for k, w in target.items()}
+    shares = whole_shares(target, UNITS)
+    frame = max(frame, len(shares))
+    # The block that ends last is in a frame between the last release and the last deadline.
+    last = {k: sizes[k] - 1 for k in shares}
+    low = max(last[k] * UNITS // s for k, s in shares.items()) // frame
+    high = max(-(-(last[k] + 1) * UNITS // s) for k, s in shares.items())
+    plan = frame_schedule(shares, low * frame, -(-high // frame) * frame)
+    until = 1 + max(slot for name, block, slot, _, _ in plan if block == last[name])
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                part = frame_schedule(shares, number * frame, (number + 1) * frame)
+                names, blocks, at, release, due = (list(c) for c in zip(*part, strict=True))
+                epochs, places = zip(*[divmod(b, sizes[n]) for n, b in zip(names, blocks, strict=True)], strict=True)
+                columns = [pa.array(names, pa.string())]
+                columns += [pa.array(c, pa.int64()) for c in (places, at, epochs, release, due)]
+                yield pa.RecordBatch.from_arrays(columns, ["_name", "_place", *PLACES])
+
+    schema = "_name string, _place long, slot long, epoch long, release long, deadline long"
+    table = spark.range(-(-until // frame)).mapInArrow(slots, schema).where(F.col("slot") < until)
     known = [k for k in shares if k != "*"]
     grouped = rows.withColumn("_group", F.when(F.col("_source").isin(known), F.col("_source")).otherwise("*"))
     ranked = with_rank(grouped, "_group", ["_order", "_row.doc_id"], "_rank")
-    ranked = ranked.join(F.broadcast(facts), F.col("_group") == F.col("_of"))
-    # No more blocks of a source can come before the last slot than whole frames hold.
-    most = F.lit(-(-until // length)) * F.col("_share")
-    epochs = F.sequence(F.lit(0).cast("long"), F.floor((most - 1 - F.col("_rank")) / F.col("_size")).cast("long"))
-    repeated = ranked.withColumn("epoch", F.explode(epochs))
-    block = F.col("epoch") * F.col("_size") + F.col("_rank")
-    repeated = repeated.withColumn("_block", block).withColumn("_in_frame", F.pmod(block, F.col("_share")))
-    frames = F.floor(F.col("_block") / F.col("_share")).cast("long") * length
-    placed = repeated.join(
-        F.broadcast(table.drop("_share", "_size")),
-        (F.col("_group") == F.col("_name")) & (F.col("_in_frame") == F.col("_at")),
-    )
-    return placed.select(
-        "_row.*",
-        (frames + F.col("_slot")).alias("slot"),
-        "epoch",
-        (frames + F.col("_release")).alias("release"),
-        (frames + F.col("_due")).alias("deadline"),
-    ).where(F.col("slot") < until)
+    # A document has a row of the table for each epoch; a small source's are split at run time.
+    placed = ranked.join(table, (F.col("_group") == F.col("_name")) & (F.col("_rank") == F.col("_place")))
+    return placed.select("_row.*", *PLACES)

@@ -18,6 +18,33 @@ def test_frame_meets_all_windows():
         assert all(abs(done[k] - Fraction(shares[k] * (slot + 1), 100)) < 1 for k in shares)
 
 
+def test_frames_hold_the_real_weights():
+    """Less than one block from the target over many frames, though 20 does not divide 4096."""
+    sizes = {f"s{i}": 1000 for i in range(18)} | {"odd": 317, "small": 3}
+    total = sum(n**0.7 for n in sizes.values())
+    shares = mixing.whole_shares({k: n**0.7 for k, n in sizes.items()}, mixing.UNITS)
+    done = Counter()
+    for frame in range(0, 60):
+        assert mixing.started(shares, frame * 4096) == {k: done[k] for k in shares}
+        for name, block, slot, release, due in mixing.frame_schedule(shares, frame * 4096, (frame + 1) * 4096):
+            assert release <= slot < due and done[name] == block
+            done[name] += 1
+        assert all(abs(done[k] - (slot + 1) * n**0.7 / total) < 1 for k, n in sizes.items())
+    last = 2_500_000 * 4096  # ten thousand million slots on
+    far = mixing.started(shares, last)
+    assert sum(far.values()) == last and all(abs(far[k] - last * n**0.7 / total) < 1.01 for k, n in sizes.items())
+
+
+def test_rows_hold_the_real_weights(spark):
+    """Over eight frames of 64 slots, sources worth 1.3 to 34 slots of a frame."""
+    rows = [(i, f"s{min(i % 40, 7)}") for i in range(400)] + [(400 + i, "tiny") for i in range(2)]
+    sizes = Counter(s for _, s in rows)
+    total = sum(n**0.7 for n in sizes.values())
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), frame=64).collect()
+    assert len(out) > 8 * 64
+    check(out, 402, {k: n**0.7 / total for k, n in sizes.items()})
+
+
 def test_shares_add_up():
     shares = mixing.whole_shares({"a": 0.5, "b": 0.3, "c": 0.2, "d": 1e-9}, 64)
     assert sum(shares.values()) == 64 and min(shares.values()) == 1
