@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fettle.llm.common import stored, with_rank
@@ -27,6 +27,8 @@ FRAME = 4096
 UNITS = 1 << 40
 PLACES = ["slot", "epoch", "release", "deadline"]
 TEMPERATURE = 0.7
+# The blocks of a pool are ranked in this many parts of its time at most.
+POOL_PARTS = 8192
 
 
 def started(shares: dict[str, int], at: int) -> dict[str, int]:
@@ -108,6 +110,44 @@ def whole_shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int
     return shares
 
 
+class Pool:
+    """The order of blocks inside a pool of any number of sources.
+
+    ``sources`` has _source, _n and _weight, the weights adding up to one. Block j of a source
+    is due at (j + phase) / weight of the pool's time, one unit for each block of the pool;
+    blocks follow each other by that, so each source keeps its share of every prefix. The
+    phase, from 0 to 1 by the hash of the source, keeps equal sources apart. At any time the
+    pool is less than a block for each of its sources away from its time.
+    """
+
+    def __init__(self, sources: DataFrame):
+        phase = F.pmod(F.xxhash64(F.lit("phase"), "_source"), F.lit(1 << 20)) / (1 << 20)
+        self.sources = sources.withColumn("_phase", phase)
+        ends = self.sources.agg(F.max((F.col("_n") - 1 + F.col("_phase")) / F.col("_weight")), F.count(F.lit(1)))
+        end, self.count = ends.first()
+        # Blocks until every document had one; rounding must not leave the last one out.
+        self.needed = self.sources.agg(F.sum(self._blocks(end * (1 + 1e-12) + 1e-6))).first()[0]
+
+    def _blocks(self, time: float):
+        """Blocks of a source that are due up to a time."""
+        return F.floor(F.lit(float(time)) * F.col("_weight") - F.col("_phase") + 1).cast("long")
+
+    def places(self, blocks: int) -> DataFrame:
+        """_of, _nth, _at: the sources and blocks at the places from 0 to ``blocks`` and some more."""
+        time = blocks + self.count + 1
+        rows = self.sources.withColumn("_made", self._blocks(time)).where("_made > 0")
+        rows = rows.withColumn("_nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_made") - 1)))
+        rows = rows.withColumn("_due", (F.col("_nth") + F.col("_phase")) / F.col("_weight"))
+        rows = rows.withColumn("_part", F.floor(F.col("_due") / max(1024, -(-time // POOL_PARTS))).cast("long"))
+        rows = rows.select(F.col("_source").alias("_of"), "_n", "_nth", "_due", "_part")
+        sizes = rows.groupBy(F.col("_part").alias("_in")).agg(F.count(F.lit(1)).alias("_rows"))
+        before = Window.orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)  # over POOL_PARTS rows
+        starts = sizes.select("_in", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        inside = F.row_number().over(Window.partitionBy("_part").orderBy("_due", "_of", "_nth")) - 1
+        ranked = rows.withColumn("_inside", inside).join(F.broadcast(starts), F.col("_part") == F.col("_in"))
+        return ranked.select("_of", "_n", "_nth", (F.col("_start") + F.col("_inside")).alias("_at"))
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -118,8 +158,10 @@ def mix(
 
     ``weights`` maps sources to target weights; without it a source of n documents weighs
     n ** temperature. Sources that are not in it, or too small for half a slot of a frame,
-    and those without any name in it, are pooled as one with their weight summed. Null is a
-    source like any other. A given weight of less than one slot of a frame counts as one.
+    and those without any name in it, are pooled as one with their weights summed; inside
+    the pool each keeps its share (``Pool``), by size where weights are given. A row of the
+    pool has the release and deadline of the pool's block. Null is a source like any other.
+    A given weight of less than one slot of a frame counts as one.
 
     The schedule runs until every document had a slot. Sources that end earlier start over,
     in a later epoch, so the result has every document at least once and holds the weights
@@ -135,22 +177,21 @@ def mix(
     rows = docs.select(whole.alias("_row"), named.alias("_source"), F.xxhash64(whole).alias("_order"))
     counts = stored(rows.groupBy("_source").agg(F.count(F.lit(1)).alias("_n")), "sources")
     if weights is not None:
-        listed = [f"={k}" for k in weights]
+        listed = [f"={k}" for k, w in weights.items() if w > 0]
         pool = ~F.col("_source").isin(listed)
     else:
         # At most 2 * frame sources have a share this large, so that many rows at most are read here.
         pool = F.col("_n") * (2 * frame) < F.lit(counts.agg(F.sum("_n")).first()[0] or 0)
-    named_counts = counts.withColumn("_pool", pool)
-    sizes = {
-        r["_group"]: r["_n"]
-        for r in named_counts.groupBy(F.when(F.col("_pool"), "*").otherwise(F.col("_source")).alias("_group"))
-        .agg(F.sum("_n").alias("_n"))
-        .collect()
-    }
+    own = F.pow("_n", F.lit(float(temperature if weights is None else 1)))
+    counts = counts.withColumn("_pool", pool).withColumn("_weight", own)
+    group = F.when(F.col("_pool"), "*").otherwise(F.col("_source")).alias("_group")
+    groups = counts.groupBy(group).agg(F.sum("_n").alias("_n"), F.sum("_weight").alias("_weight")).collect()
+    sizes = {r["_group"]: r["_n"] for r in groups}
+    summed = {r["_group"]: r["_weight"] for r in groups}
     if not sizes:
         return docs.limit(0).select("*", *[F.lit(None).cast("long").alias(c) for c in PLACES])
     if weights is None:
-        target = {k: n**temperature for k, n in sizes.items()}
+        target = summed
     else:
         target = {f"={k}": w for k, w in weights.items() if w > 0 and f"={k}" in sizes}
         if "*" in sizes:
@@ -163,6 +204,10 @@ def mix(
     frame = max(frame, len(shares))
     # The block that ends last is in a frame between the last release and the last deadline.
     last = {k: sizes[k] - 1 for k in shares}
+    if "*" in shares:
+        inner = counts.where("_pool").withColumn("_weight", F.col("_weight") / summed["*"])
+        pooled = Pool(inner.select("_source", "_n", "_weight"))
+        last["*"] = pooled.needed - 1
     low = max(last[k] * UNITS // s for k, s in shares.items()) // frame
     high = max(-(-(last[k] + 1) * UNITS // s) for k, s in shares.items())
     plan = frame_schedule(shares, low * frame, -(-high // frame) * frame)
@@ -173,16 +218,23 @@ def mix(
             for number in batch.column(0).to_pylist():
                 part = frame_schedule(shares, number * frame, (number + 1) * frame)
                 names, blocks, at, release, due = (list(c) for c in zip(*part, strict=True))
-                epochs, places = zip(*[divmod(b, sizes[n]) for n, b in zip(names, blocks, strict=True)], strict=True)
                 columns = [pa.array(names, pa.string())]
-                columns += [pa.array(c, pa.int64()) for c in (places, at, epochs, release, due)]
-                yield pa.RecordBatch.from_arrays(columns, ["_name", "_place", *PLACES])
+                columns += [pa.array(c, pa.int64()) for c in (blocks, at, release, due)]
+                yield pa.RecordBatch.from_arrays(columns, ["_name", "_block", "slot", "release", "deadline"])
 
-    schema = "_name string, _place long, slot long, epoch long, release long, deadline long"
+    schema = "_name string, _block long, slot long, release long, deadline long"
     table = spark.range(-(-until // frame)).mapInArrow(slots, schema).where(F.col("slot") < until)
-    known = [k for k in shares if k != "*"]
-    grouped = rows.withColumn("_group", F.when(F.col("_source").isin(known), F.col("_source")).otherwise("*"))
-    ranked = with_rank(grouped, "_group", ["_order", "_row.doc_id"], "_rank")
+    windows = ["slot", "release", "deadline"]
+    facts = spark.createDataFrame([(k, sizes[k]) for k in shares if k != "*"], "_of string, _n long")
+    blocks = table.join(F.broadcast(facts), F.col("_name") == F.col("_of"))
+    blocks = blocks.select("_of", "_n", F.col("_block").alias("_nth"), *windows)
+    if "*" in shares:
+        places = pooled.places(-(-until * shares["*"] // UNITS))
+        inside = table.where("_name = '*'").join(places, F.col("_block") == F.col("_at"))
+        blocks = blocks.unionByName(inside.select("_of", "_n", "_nth", *windows))
+    epoch = F.expr("_nth div _n").alias("epoch")
+    blocks = blocks.select("_of", F.expr("_nth % _n").alias("_place"), epoch, *windows)
+    ranked = with_rank(rows, "_source", ["_order", "_row.doc_id"], "_rank")
     # A document has a row of the table for each epoch; a small source's are split at run time.
-    placed = ranked.join(table, (F.col("_group") == F.col("_name")) & (F.col("_rank") == F.col("_place")))
+    placed = ranked.join(blocks, (F.col("_source") == F.col("_of")) & (F.col("_rank") == F.col("_place")))
     return placed.select("_row.*", *PLACES)

@@ -90,6 +90,31 @@ def test_unlisted_sources_are_pooled(spark):
     assert sorted(r["slot"] for r in out) == list(range(len(out)))
 
 
+def test_long_tail_keeps_its_weight(spark):
+    """2,000 sources of 1 to 3 documents beside one of 3,000: the tail holds sum of n ** 0.7."""
+    rows = [(i, "big") for i in range(3000)]
+    rows += [(10_000 + 10 * i + j, f"t{i}") for i in range(2000) for j in range(1 + i % 3)]
+    sizes = Counter(s for _, s in rows)
+    total = sum(n**0.7 for n in sizes.values())
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    out = sorted(mixing.mix(docs, frame=256).collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in out] == list(range(len(out))) and {r["doc_id"] for r in out} == {i for i, _ in rows}
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in out)
+    big = 0
+    for t, r in enumerate(out, 1):
+        big += r["source"] == "big"
+        assert abs(big - t * 3000**0.7 / total) < 1
+    # Inside the pool too: each source, and each size of source, in every part of the mix.
+    for end in (len(out) // 3, len(out) // 2, len(out)):
+        done = Counter(r["source"] for r in out[:end])
+        assert all(abs(done[s] - end * n**0.7 / total) < 2 for s, n in sizes.items() if s != "big")
+        for n in (1, 2, 3):
+            alike = [s for s in sizes if sizes[s] == n]
+            want = end * n**0.7 / total * len(alike)
+            assert abs(sum(done[s] for s in alike) - want) < 0.05 * want
+    assert max(Counter((r["doc_id"], r["epoch"]) for r in out).values()) == 1
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     out = mixing.mix(docs)
