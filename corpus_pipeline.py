@@ -9,11 +9,13 @@ say; a document without a letter has no language and goes in the first stage.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fettle.llm import jaccard, language, lines, mixing, queries
 from fettle.llm.common import dropped_after, stored
+from fettle.sources.positions import number_scan, with_row_number
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_WORDS = 5
@@ -61,8 +63,27 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2048 tokens."""
-    return queries.packed_pieces(docs)
+    """Pieces of the documents in sequences of 2048 tokens.
+
+    The pieces of a length class fill its sequences in the order of the documents, which is
+    that of the mix: files by name, rows as stored. Rows that come from no file are taken as
+    they come.
+    """
+    if _in_files(docs):
+        placed = number_scan(docs.select("doc_id", "text"), "place")
+    else:
+        placed = stored(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_id")), "placed")
+        placed = with_row_number(placed, "_id", "place").drop("_id")
+    return queries.packed_pieces(placed.withColumn("place", F.col("place") - 1), "place")
+
+
+def _in_files(docs: DataFrame) -> bool:
+    """Whether the rows are as read from files, so that they have a place in one."""
+    try:
+        docs.select("_metadata.row_index").schema
+    except AnalysisException:
+        return False
+    return True
 
 
 STAGES = [

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fettle.plans.session import work_path
@@ -62,14 +62,16 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_rank(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+def with_rank(df: DataFrame, group: str, order: list[str], name: str, blocks: Column | None = None) -> DataFrame:
     """Add a gapless 0-based rank inside each group, whatever the size of the group.
 
     Rows of a group are dealt over blocks by a hash, ranked inside each block and moved
     by the number of rows in the blocks before. Rows that are equal in all of ``order``
-    get different ranks. The input is read twice.
+    get different ranks. The input is read twice. With ``blocks``, numbers that never fall
+    along ``order``, these are the blocks, and ranks follow ``order`` over the whole group.
     """
-    blocks = F.pmod(F.xxhash64(*order), F.lit(RANK_BLOCKS)).cast("int")
+    if blocks is None:
+        blocks = F.pmod(F.xxhash64(*order), F.lit(RANK_BLOCKS)).cast("int")
     rows = df.withColumn("_block", blocks)
     sizes = rows.groupBy(group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

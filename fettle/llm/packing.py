@@ -30,6 +30,8 @@ END_ID = 1
 SLACK = 32
 # Words whose ids a worker keeps; beyond it the worker starts afresh.
 CACHED_WORDS = 1_000_000
+# Documents that follow each other whose pieces of one class are ranked together.
+PLACE_BLOCK = 4096
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
@@ -125,35 +127,44 @@ def _word_ids(path: str) -> WordIds:
 
 
 def cut_documents(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, slack: int = SLACK, end_id: int = END_ID
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    slack: int = SLACK,
+    end_id: int = END_ID,
+    place: str | None = None,
 ) -> DataFrame:
-    """Pieces of all documents: doc_id, start, length, doc_tokens, ids.
+    """Pieces of all documents: doc_id, start, length, doc_tokens, ids, and the long ``place``.
 
     ``ids`` are the piece's token ids as little-endian 32-bit words; ``end_id`` closes each
     document. A null or empty text is a document of the closing id alone. Repeated rows are
-    documents of their own. Columns other than doc_id and text are not read.
+    documents of their own. Columns other than doc_id, text and ``place`` are not read.
     """
 
+    own = [place] if place else []
+    names = ["doc_id", "start", "length", "doc_tokens", "ids", *own]
+    kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * len(own)
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, close = _word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                out: list[list] = [[], [], [], [], []]
-                for doc_id, raw in zip(part.column(0).to_pylist(), known.texts(texts), strict=True):
+                out: list[list] = [[] for _ in names]
+                places = [(p,) for p in part.column(2).to_pylist()] if place else [()] * len(texts)
+                for doc_id, raw, at_place in zip(part.column(0).to_pylist(), known.texts(texts), places, strict=True):
                     raw += close
                     total, start = len(raw) // 4, 0
                     for size in cuts(total, capacity, slack):
-                        row = (doc_id, start, size, total, raw[4 * start : 4 * (start + size)])
+                        row = (doc_id, start, size, total, raw[4 * start : 4 * (start + size)], *at_place)
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
                         start += size
-                kinds = [pa.int64()] * 4 + [pa.binary()]
-                names = ["doc_id", "start", "length", "doc_tokens", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
+    schema = PIECES + "".join(f", `{c}` long" for c in own)
+    return docs.select(F.col("doc_id").cast("long"), "text", *own).mapInArrow(pieces, schema)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[tuple[int, int, int]]:
@@ -173,7 +184,7 @@ def best_fit(lengths: list[int], capacity: int) -> list[tuple[int, int, int]]:
     return placed
 
 
-def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY, place: str | None = None) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, start, length and any other columns),
     in place of any of that name.
 
@@ -181,16 +192,24 @@ def harmonic_pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     class, less than one bin of it, is at most ``capacity`` bins together whatever the size
     of the input; one task packs it by best fit. An empty table gives an empty result.
     Equal rows are interchangeable and each gets its own place.
+
+    ``place`` names a column with the place of a document among all, from 0 and without large
+    gaps. The pieces of a class then fill its bins in that order, so sequences by id, inside
+    a class, follow it. Without it they come in an order by hash.
     """
     klass = F.floor(F.lit(capacity) / F.col("length")).cast("long")
     order = ["doc_id", "start", "length"]
+    extra, blocks = [], None
+    if place:
+        extra, order = [F.col(place).alias("_place")], ["_place", "start", "doc_id", "length"]
+        blocks = F.expr(f"_place div {PLACE_BLOCK}")
     pieces = pieces.drop("sequence_id", "offset")
     # Columns travel as one, so that none is taken for a column of the steps below.
     whole = F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("_row")
-    rows = stored(pieces.select(whole, *order), "pieces").withColumn("_class", klass)
+    rows = stored(pieces.select(whole, "doc_id", "start", "length", *extra), "pieces").withColumn("_class", klass)
     totals = rows.groupBy("_class").agg(F.count(F.lit(1)).alias("_total"))
     totals = totals.select(F.col("_class").alias("_k"), "_total")  # a row for each class, capacity at most
-    ranked = with_rank(rows, "_class", order, "_rank").join(F.broadcast(totals), F.col("_class") == F.col("_k"))
+    ranked = with_rank(rows, "_class", order, "_rank", blocks).join(F.broadcast(totals), F.col("_class") == F.col("_k"))
     ranked = ranked.withColumn("_bin", F.floor(F.col("_rank") / F.col("_class")).cast("long"))
     ranked = stored(ranked.withColumn("_full", (F.col("_bin") + 1) * F.col("_class") <= F.col("_total")), "ranked")
 

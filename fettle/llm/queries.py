@@ -24,10 +24,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-def packed_pieces(docs: DataFrame) -> DataFrame:
+def packed_pieces(docs: DataFrame, place: str | None = None) -> DataFrame:
     """Pieces with their place; of the ids only the checksum goes through the shuffles."""
-    pieces = packing.cut_documents(docs, tokenizer_path())
-    return packing.harmonic_pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    pieces = packing.cut_documents(docs, tokenizer_path(), place=place)
+    packed = packing.harmonic_pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), place=place)
+    return packed.drop(place) if place else packed
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,11 @@ def read_parquet_numbered(spark: SparkSession, path: str, name: str = "row_numbe
 
     Needs no shuffle of the table: the reader gives each row its place in its file.
     """
-    scan = spark.read.parquet(path)
+    return number_scan(spark.read.parquet(path), name)
+
+
+def number_scan(scan: DataFrame, name: str = "row_number") -> DataFrame:
+    """The same for a Parquet scan at hand."""
     file = F.col("_metadata.file_path")
     rows = scan.select("*", F.xxhash64(file).alias("_unit"), F.col("_metadata.row_index").alias("_index"))
     # The metadata of a file is constant, so counting reads no column.

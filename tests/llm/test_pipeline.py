@@ -75,6 +75,28 @@ def test_packing_holds_all(steps):
     assert test_packing.check(steps[5].collect(), texts) > 0.97
 
 
+def test_sequences_follow_the_mix(spark, sf_dir):
+    """By sequence id each source keeps its share, and no sequence has a document twice."""
+    text = " ".join(["alpha"] * 600)
+    rows = [(i, f"{text} {i}", "en", "big" if i % 10 else "small", 0) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = stored(STAGE["mix_sources"](spark, docs, sf_dir), "mixed")
+    packed = STAGE["pack"](spark, mixed, sf_dir).where("start = 0").collect()
+    assert "place" not in packed[0].asDict()
+    source = {i: s for i, _, _, s, _ in rows}
+    packed.sort(key=lambda r: (r["sequence_id"], r["offset"]))
+    packed = [r for r in packed if r["sequence_id"] >> 40]  # without the remainders
+    small = [i for i, r in enumerate(packed, 1) if source[r["doc_id"]] == "small"]
+    share = 150**0.7 / (150**0.7 + 1350**0.7)
+    assert len(packed) > 1500 and all(abs(n - at * share) < 3 for n, at in enumerate(small, 1))
+    last = {}
+    for at in small:
+        doc_id = packed[at - 1]["doc_id"]
+        assert at - last.get(doc_id, -9999) > 500
+        last[doc_id] = at
+    assert len(last) < len(small)
+
+
 def test_steps_leave_no_tables(spark, sf_dir):
     folder = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(folder.iterdir())
