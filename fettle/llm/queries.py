@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fettle.llm import exact, fingerprints, html, jaccard, language, lines, mixing, packing, secrets, substrings
+from fettle.llm import (
+    exact,
+    fingerprints,
+    html,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    negatives,
+    packing,
+    secrets,
+    substrings,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,6 +113,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh label is wrong on purpose."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return negatives.hard_negatives(negatives.whole_vectors(vectors, label))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_harmonic_packing,
@@ -113,6 +132,7 @@ def queries() -> dict[str, Query]:
         op8_secret_scan,
         op9_exact_dedup,
         op10_jaccard_join,
+        op11_hard_negatives,
     ]
     return {f.__name__: f for f in found}
 
@@ -177,5 +197,33 @@ FROM words w LEFT JOIN kept k USING (doc_id)
 """
 
 
+OP11_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER best::INT AS rank, n.vec_id AS negative_id, positive_score,
+       n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+  AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op7_substring_dedup": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+    return {
+        "op11_hard_negatives": OP11_SQL,
+        "op2_line_dedup": OP2_SQL,
+        "op7_substring_dedup": OP7_SQL,
+        "op9_exact_dedup": OP9_SQL,
+    }

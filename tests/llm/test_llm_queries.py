@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 def test_all_are_registered():
     found = entry.queries()
     numbers = sorted(int(m[1]) for n in found if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and "pipeline" in found
+    assert numbers == list(range(1, 12)) and "pipeline" in found
 
 
 def test_results_carry_the_columns_asked_for(spark, sf_dir):
@@ -31,10 +31,13 @@ def test_results_carry_the_columns_asked_for(spark, sf_dir):
         "op8_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
         "op9_exact_dedup": "doc_id keep_id group_size kept text_sha256",
         "op10_jaccard_join": "doc_id n_shingles component_id",
+        "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
     }
     kinds = {
         "bigint": "doc_id start length ids_crc32 doc_tokens sequence_id offset page_id n_chars n_words n_removed "
-        "n_assign n_access n_hex keep_id group_size n_shingles component_id".split(),
+        "n_assign n_access n_hex keep_id group_size n_shingles component_id "
+        "anchor_id positive_id negative_id positive_score negative_score".split(),
+        "int": ["rank"],
         "boolean": ["held_out", "kept"],
         "double": ["score", "near_edited", "near_next"],
     }
