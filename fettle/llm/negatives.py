@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -172,7 +173,7 @@ def _joined(chunks: list[bytes], width: int = 0) -> tuple[pa.Table, np.ndarray]:
         out[at : at + len(p), : p.shape[1]] = p
         at += len(p)
     side = pa.concat_tables(sides)
-    order = pa.compute.sort_indices(side, [("id", "ascending"), ("row", "ascending")], null_placement="at_end")
+    order = pc.sort_indices(side, [("id", "ascending"), ("row", "ascending")], null_placement="at_end")
     return side.take(order), out[order.to_numpy()]
 
 
@@ -201,13 +202,15 @@ def _met(anchors: DataFrame, rows: DataFrame, blocks: int, stripes: int, score:
     own = lambda n: F.pmod(F.xxhash64("chunk"), F.lit(n)).cast("int")
     left = anchors.select(own(blocks).alias("block"), every(stripes).alias("stripe"), "packed")
     right = rows.select(every(blocks).alias("block"), own(stripes).alias("stripe"), "packed")
+    # A stated number, as the work of a task is not in proportion to its bytes.
+    key = ["block", "stripe"]
+    left, right = (df.repartition(blocks * stripes, *key) for df in (left, right))
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         if not len(a) or not len(b):
             return pa.table([pa.array([], pa.int64())] * 5, ["anchor", "positive_score", "score", "id", "row"])
         return score(a["packed"].to_pylist(), b["packed"].to_pylist())
 
-    key = ["block", "stripe"]
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, FOUND)
 
 
