@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fettle.llm import (
+    alignment,
     exact,
     fingerprints,
     html,
@@ -24,6 +25,7 @@ from fettle.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +122,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(negatives.whole_vectors(vectors, label))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of a byte-level and a piece vocabulary lie over every document."""
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in (BYTES, PIECES)]
+    return alignment.align_tokens(documents(spark, sf_dir), *paths)
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_harmonic_packing,
@@ -133,6 +143,7 @@ def queries() -> dict[str, Query]:
         op9_exact_dedup,
         op10_jaccard_join,
         op11_hard_negatives,
+        op12_token_alignment,
     ]
     return {f.__name__: f for f in found}
 
