@@ -20,6 +20,7 @@ from fettle.llm import (
     packing,
     secrets,
     substrings,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +131,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokens(documents(spark, sf_dir), *paths)
 
 
+def op13_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as records of archives, read back through their index."""
+    return warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_harmonic_packing,
@@ -144,6 +150,7 @@ def queries() -> dict[str, Query]:
         op10_jaccard_join,
         op11_hard_negatives,
         op12_token_alignment,
+        op13_warc_archives,
     ]
     return {f.__name__: f for f in found}
 
@@ -231,9 +238,21 @@ QUALIFY row_number() OVER best <= 5
 """
 
 
+OP13_SQL = """
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN strlen(html) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM rows
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op11_hard_negatives": OP11_SQL,
+        "op13_warc_archives": OP13_SQL,
         "op2_line_dedup": OP2_SQL,
         "op7_substring_dedup": OP7_SQL,
         "op9_exact_dedup": OP9_SQL,

@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 def test_all_are_registered():
     found = entry.queries()
     numbers = sorted(int(m[1]) for n in found if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 13)) and "pipeline" in found
+    assert numbers == list(range(1, 14)) and "pipeline" in found
 
 
 def test_results_carry_the_columns_asked_for(spark, sf_dir):
@@ -32,12 +32,14 @@ def test_results_carry_the_columns_asked_for(spark, sf_dir):
         "op9_exact_dedup": "doc_id keep_id group_size kept text_sha256",
         "op10_jaccard_join": "doc_id n_shingles component_id",
         "op12_token_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+        "op13_warc_archives": "page_id payload_bytes payload_digest record_type refers_to",
         "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
     }
     kinds = {
         "bigint": "doc_id start length ids_crc32 doc_tokens sequence_id offset page_id n_chars n_words n_removed "
         "n_assign n_access n_hex keep_id group_size n_shingles component_id "
-        "anchor_id positive_id negative_id positive_score negative_score n_a n_b n_groups n_links n_best count_sum".split(),
+        "anchor_id positive_id negative_id positive_score negative_score n_a n_b n_groups n_links n_best count_sum "
+        "payload_bytes refers_to".split(),
         "int": ["rank"],
         "boolean": ["held_out", "kept"],
         "double": ["score", "near_edited", "near_next"],
