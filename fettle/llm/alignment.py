@@ -28,8 +28,8 @@ from fettle.llm.common import stored, worker_cache
 
 # Bytes of text aligned at a time, and of a batch, whose pairs are counted together. A longer
 # text is taken alone.
-ALIGN_BYTES = 1_000_000
-BATCH_BYTES = 16_000_000
+ALIGN_BYTES = 500_000
+BATCH_BYTES = 8_000_000
 
 BATCHES = (
     "batch long, docs array<struct<doc_id: long, n_a: long, n_b: long, n_groups: long, n_links: long, "
