@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fettle.sources.tables import csv_reader
+from fettle.sources.records import csv_reader, read_csv_table
 
 # Rows are numbered inside blocks of 2^20 consecutive keys, blocks inside groups of 2^22.
 # Any 64-bit key then needs at most 2^22 groups, so no window sees more than 2^22 rows.
@@ -95,10 +95,13 @@ def read_csv_numbered(
 ) -> DataFrame:
     """CSV scan with the position of each row: files by path, then order in the file.
 
-    Meant for ingest, once, followed by a snapshot. A split is read front to back by one
-    task, so its row ids are consecutive; the id of its first row places the others.
+    Meant for ingest, once, followed by a snapshot. Cells may hold line breaks; files are
+    split over tasks all the same. ``multi_line`` reads each file in one task instead: its row
+    ids are then consecutive, and the id of its first row places the others.
     """
-    scan = csv_reader(spark, multi_line).csv(path)
+    if not multi_line:
+        return read_csv_table(spark, path, name)
+    scan = csv_reader(spark, True).csv(path)
     file, begin = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     unit = F.xxhash64(file, begin).alias("_unit")
     rows = scan.select("*", unit, F.monotonically_increasing_id().alias("_id"))

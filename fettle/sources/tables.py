@@ -11,17 +11,7 @@ from pyspark.sql import types as T
 
 from fettle.functions.nulls import NA_TOKENS, canonical_null
 from fettle.functions.shapes import stable_text
-
-_CSV = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
-
-
-def csv_reader(spark: SparkSession, multi_line: bool = False):
-    """Reader for text tables with a header, every column as text.
-
-    Files are split over tasks. ``multi_line`` allows line breaks inside quoted cells, at
-    the price of one task per file; turn it on for files that have such cells.
-    """
-    return spark.read.options(**_CSV, inferSchema="false", multiLine=str(multi_line).lower())
+from fettle.sources.records import CSV_OPTIONS, csv_reader, read_csv_table
 
 
 def read_text_table(
@@ -31,8 +21,12 @@ def read_text_table(
     na_tokens: Iterable[str] = NA_TOKENS,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Read a CSV table as text; null tokens become NULL, blank cells stay."""
-    df = csv_reader(spark, multi_line).csv(path)
+    """Read a CSV table as text; null tokens become NULL, blank cells stay.
+
+    Cells may hold line breaks; files are split over tasks all the same. ``multi_line`` reads
+    each file in one task instead, which saves a shuffle where files are many and small.
+    """
+    df = csv_reader(spark, True).csv(path) if multi_line else read_csv_table(spark, path, "_nth").drop("_nth")
     if cols is not None:
         df = df.select(*[F.col(f"`{c}`") for c in cols])
     return canonical_null(df, na_tokens, blanks=False)
@@ -47,9 +41,11 @@ def read_report(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv"
 ) -> DataFrame:
     """Read a saved report; a report that was never written is an empty relation."""
-    reader = csv_reader(spark, multi_line=True) if fmt == "csv" else spark.read.format(fmt)
     try:
-        return reader.schema(schema).load(path) if fmt != "csv" else reader.schema(schema).csv(path)
+        if fmt != "csv":
+            return spark.read.format(fmt).schema(schema).load(path)
+        kinds = schema if isinstance(schema, T.StructType) else empty(spark, schema).schema
+        return read_csv_table(spark, path, "_nth", kinds).drop("_nth")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return empty(spark, schema)
@@ -125,6 +121,6 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     if fmt == "csv":
         # Leading and trailing blanks of a cell are data here.
         writer = writer.options(
-            **_CSV, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+            **CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
         )
     writer.format(fmt).save(path)

@@ -1,16 +1,20 @@
+import csv
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from fettle.plans.session import work_path
+from fettle.sources import records
 from fettle.sources import tables as src
 from fettle.sources.positions import read_csv_numbered, read_parquet_numbered, with_row_number
+from fettle.sources.records import ends_inside
 
 
 def put(folder, name, text):
     path = folder / name
-    path.write_text(text, encoding="utf-8")
+    path.write_text(text, encoding="utf-8", newline="")
     return str(path)
 
 
@@ -93,8 +97,8 @@ def test_csv_row_numbers_follow_splits(spark, tmp_path, multi_line):
     try:
         df = read_csv_numbered(spark, str(folder), multi_line=multi_line)
         rows = sorted((r.row_number, int(r.n)) for r in df.collect())
-        if not multi_line:
-            assert df.rdd.getNumPartitions() > 1
+        if not multi_line:  # several tasks read each file
+            assert records._lines(spark, str(folder)).select("_unit").distinct().count() > 4
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -117,3 +121,136 @@ def test_work_path_uses_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = work_path(spark, "a"), work_path(spark, "a")
     assert one.startswith(root) and one != two
+
+
+def csv_rows(folder):
+    """All records of a folder's files by Python's reader, null for empty cells."""
+    rows = []
+    for path in sorted(folder.glob("*.csv")):
+        with open(path, newline="", encoding="utf-8") as file:
+            rows += [[c or None for c in r] for r in csv.reader(file) if r][1:]
+    return rows
+
+
+def odd_files(folder, seed=1, n=300):
+    """Cells with quotes, doubled quotes, commas and line breaks; stray quotes; both line ends."""
+    rng = random.Random(seed)
+    folder.mkdir()
+    for k, end in enumerate(["\n", "\r\n", "\n"]):
+        out = [f'id,a,"b\nc",d{end}']
+        for i in range(n):
+            cells = []
+            for _ in range(3):
+                text = "".join(rng.choice(["a", " ", "é", ",", "\n", "\r\n", '"', '""', "x" * 20]) for _ in range(rng.randrange(7)))
+                quoted = any(c in text for c in ',\n\r"') or rng.random() < 0.1
+                cells.append('"' + text.replace('"', '""') + '"' if quoted else text)
+            if i % 20 == 0:
+                cells = ['5" pipe', 'x"y"z', "plain"]
+            if i % 31 == 0:
+                out.append(end)
+            out.append(",".join([f"{k}-{i}", *cells]) + (end if i < n - 1 or k < 2 else ""))
+        put(folder, f"f{k}.csv", "".join(out))
+
+
+@pytest.fixture
+def small_splits(spark):
+    def set_to(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield set_to
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("size", ["128m", "2000", "150"])
+def test_records_with_line_breaks(spark, tmp_path, small_splits, size):
+    """The same records and numbers wherever the borders of the splits fall."""
+    odd_files(tmp_path / "t")
+    small_splits(size)
+    path = str(tmp_path / "t")
+    found = read_csv_numbered(spark, path)
+    assert found.columns == ["row_number", "id", "a", "b\nc", "d"]
+    rows = sorted((tuple(r) for r in found.collect()), key=lambda r: r[0])
+    want = csv_rows(tmp_path / "t")
+    assert [r[0] for r in rows] == list(range(1, len(want) + 1))
+    assert [[c or None for c in r[1:]] for r in rows] == want
+    text = src.read_text_table(spark, path, ["id", "d"], na_tokens=())
+    assert sorted(tuple(r) for r in text.select("id").collect()) == sorted((r[0],) for r in want)
+    if size == "150":
+        assert spark.read.text(path).rdd.getNumPartitions() > 100
+
+
+def test_records_equal_the_reader_of_whole_files(spark, tmp_path, small_splits):
+    """Where all line ends are alike, Spark's reader of one task a file is another version."""
+    (tmp_path / "t").mkdir()
+    cells = ["plain", '"a\nb"', '"say ""hi""\n\n"', '"\n"', '""', "", '",,\n,"', "é"]
+    lines = ["n,a,b\n"] + [f"{i},{cells[i % 8]},{cells[i * 3 % 7]}\n" for i in range(400)]
+    put(tmp_path / "t", "a.csv", "".join(lines))
+    path = str(tmp_path / "t")
+    want = sorted((tuple(r) for r in src.read_text_table(spark, path, multi_line=True).collect()), key=lambda r: int(r[0]))
+    for size in ("128m", "60"):
+        small_splits(size)
+        got = sorted((tuple(r) for r in src.read_text_table(spark, path).collect()), key=lambda r: int(r[0]))
+        assert got == want
+    numbered = sorted(tuple(r) for r in read_csv_numbered(spark, path, multi_line=True).select("row_number", "n").collect())
+    small_splits("60")
+    assert numbered == sorted(tuple(r) for r in read_csv_numbered(spark, path).select("row_number", "n").collect())
+
+
+def test_a_cell_over_many_splits(spark, tmp_path, small_splits):
+    (tmp_path / "t").mkdir()
+    cell = "".join(f"line {i}, of many\n" for i in range(200))
+    put(tmp_path / "t", "a.csv", f'n,t\n1,"{cell}"\n2,"{cell}x"\n3,last\n')
+    put(tmp_path / "t", "b.csv", "n,t\n")
+    put(tmp_path / "t", "c.csv", 'n,"t\nt"\n4,"""\n"""')
+    put(tmp_path / "t", "d.csv", "")
+    small_splits("200")
+    rows = sorted(tuple(r) for r in read_csv_numbered(spark, str(tmp_path / "t")).collect())
+    assert rows == [(1, "1", cell), (2, "2", cell + "x"), (3, "3", "last"), (4, "4", '"\n"')]
+
+
+def test_an_open_quote_is_an_error(spark, tmp_path, small_splits):
+    path = put(tmp_path, "t.csv", 'n,t\n1,"never closed\n2,x\n3,y\n')
+    with pytest.raises(Exception, match="a quote is not closed in .*t.csv"):
+        src.read_text_table(spark, path).collect()
+
+
+@pytest.mark.parametrize(
+    "line, outside, inside",
+    [
+        ("a,b", False, True),
+        ('"a,b', True, False),
+        ('a"b', False, False),
+        ('a,"b', True, False),
+        ('"a"', False, False),
+        ('"a""', True, False),
+        ('"', True, False),
+        ('""', False, True),
+        ('","', False, True),
+        ('x","', True, True),
+        ('x,"', True, False),
+        ('x" y,"', True, True),
+        ("", False, True),
+    ],
+)
+def test_what_a_line_does(spark, line, outside, inside):
+    row = spark.createDataFrame([(line,)], "v string").select(
+        ends_inside(F.col("v"), False).alias("o"), ends_inside(F.col("v"), True).alias("i")
+    ).first()
+    assert (row.o, row.i) == (outside, inside)
+
+
+def test_header(spark, tmp_path):
+    (tmp_path / "a folder").mkdir()
+    put(tmp_path / "a folder", "a.csv", "")
+    put(tmp_path / "a folder", "b.csv", '\r\nn,"t\r\n""x""",,N\r\n1,2,3,4\r\n')
+    put(tmp_path / "a folder", "c.csv", "other,x\n5,6\n")
+    path = str(tmp_path / "a folder")
+    assert records.header(spark, path) == ["n0", 't\r\n"x"', "_c2", "N3"]
+    rows = [tuple(r) for r in read_csv_numbered(spark, path).orderBy("row_number").collect()]
+    assert rows == [(1, "1", "2", "3", "4"), (2, "5", "6", None, None)]
+    put(tmp_path / "a folder", "a.csv", '"' + "many\n" * 200 + '",b\n1,2\n')
+    assert records.header(spark, path) == ["many\n" * 200, "b"]
+    with pytest.raises(ValueError, match="no header"):
+        read_csv_numbered(spark, put(tmp_path, "none.csv", "\n\n"))
