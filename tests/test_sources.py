@@ -50,7 +50,9 @@ def test_snapshot_is_reused_until_forced(spark, tmp_path):
     assert src.write_snapshot(one, path).count() == 3
     assert src.write_snapshot(two, path).count() == 3
     assert src.write_snapshot(two, path, force=True).count() == 5
-    os.remove(os.path.join(path, "_SUCCESS"))  # as a lost job leaves it
+    os.remove(os.path.join(path, "_SUCCESS"))  # some stores write none
+    assert src.write_snapshot(one, path).count() == 5
+    os.rename(os.path.join(path, "_manifest"), str(tmp_path / "gone"))  # as a lost job leaves it
     assert src.write_snapshot(one, path).count() == 3
 
 
@@ -254,3 +256,91 @@ def test_header(spark, tmp_path):
     assert records.header(spark, path) == ["many\n" * 200, "b"]
     with pytest.raises(ValueError, match="no header"):
         read_csv_numbered(spark, put(tmp_path, "none.csv", "\n\n"))
+
+
+def written(folder):
+    return sorted((p.name, p.stat().st_mtime_ns) for p in folder.glob("*.parquet"))
+
+
+def test_snapshot_follows_its_input(spark, tmp_path):
+    """Written anew when an input file or the schema changes, else used again."""
+    source, path = str(tmp_path / "the source"), str(tmp_path / "snapshot")
+    spark.range(10).repartition(2).write.parquet(source)
+
+    def snapshot(**kwargs):
+        table = spark.read.parquet(source).select((F.col("id") * 2).alias("x"), *kwargs.pop("more", []))
+        return sorted(r.x for r in src.write_snapshot(table, path, **kwargs).collect())
+
+    assert snapshot() == list(range(0, 20, 2))
+    first = written(tmp_path / "snapshot")
+    assert first and snapshot() == list(range(0, 20, 2)) and written(tmp_path / "snapshot") == first
+    spark.range(10, 12).write.mode("append").parquet(source)
+    assert snapshot() == list(range(0, 24, 2))
+    second = written(tmp_path / "snapshot")
+    assert second != first
+    snapshot(more=[F.lit(1).alias("y")])
+    third = written(tmp_path / "snapshot")
+    assert third != second and spark.read.parquet(path).columns == ["x", "y"]
+    snapshot(more=[F.lit(1).alias("y")], force=True)
+    assert written(tmp_path / "snapshot") != third
+
+
+def test_snapshot_half_written_is_written_again(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    spark.range(3).write.parquet(path)  # committed by Spark, but without a manifest
+    assert src.write_snapshot(spark.range(5), path).count() == 5
+    assert src.write_snapshot(spark.range(9), path).count() == 5  # no input files: as it is
+    # Cut off between the two renames of a replacement.
+    (tmp_path / "snapshot").rename(tmp_path / ".snapshot.old")
+    assert src.write_snapshot(spark.range(9), path).count() == 5
+
+
+def test_snapshot_made_from_itself(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    src.write_snapshot(spark.range(5), path)
+    more = spark.read.parquet(path).select((F.col("id") + 1).alias("id"))
+    assert sorted(r.id for r in src.write_snapshot(more, path, force=True).collect()) == [1, 2, 3, 4, 5]
+
+
+def fail(c):
+    return F.when(c > 2, F.raise_error(F.lit("broken on purpose"))).otherwise(c)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_report_is_replaced_whole_or_not(spark, tmp_path, fmt):
+    path = str(tmp_path / "report")
+    kind = "id long"
+    src.write_report(spark.range(3), path, fmt)
+    with pytest.raises(Exception, match="broken on purpose"):
+        src.write_report(spark.range(5).select(fail(F.col("id")).alias("id")), path, fmt)
+
+    def ids():
+        return sorted(r.id for r in src.read_report(spark, path, kind, fmt).collect())
+
+    assert ids() == [0, 1, 2]
+    src.write_report(src.read_report(spark, path, kind, fmt).select((F.col("id") + 7).alias("id")), path, fmt)
+    assert ids() == [7, 8, 9]
+    assert [p.name for p in tmp_path.iterdir()] == ["report"]
+
+
+def test_report_in_parts(spark, tmp_path):
+    """All parts of a run, or none of them."""
+    path = str(tmp_path / "report")
+    with src.report_parts(spark, path) as add:
+        for k in range(3):
+            add(spark.range(k * 10, k * 10 + 2).withColumn("t", F.lit("a\nb")))
+    rows = sorted(tuple(r) for r in src.read_report(spark, path, "id long, t string").collect())
+    assert rows == [(i, "a\nb") for i in (0, 1, 10, 11, 20, 21)]
+    with pytest.raises(RuntimeError, match="stopped"), src.report_parts(spark, path) as add:
+        add(spark.range(1).withColumn("t", F.lit("x")))
+        raise RuntimeError("stopped")
+    assert src.read_report(spark, path, "id long, t string").count() == 6
+
+
+def test_files_overview_counts_files_without_rows(spark, tmp_path):
+    path = str(tmp_path / "some table")
+    spark.range(100).repartition(3).write.parquet(path)
+    spark.range(0).write.mode("append").parquet(path)
+    files = list((tmp_path / "some table").glob("*.parquet"))
+    row = src.files_overview(spark.read.parquet(path)).first().asDict()
+    assert row == {"bytes": sum(f.stat().st_size for f in files), "files": 4, "rows": 100, "columns": 1}
