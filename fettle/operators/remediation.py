@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fettle.functions.nulls import NA_TOKENS, canonical_null
 from fettle.functions.rows import as_rows, beside
 from fettle.functions.shapes import date_shape, numeric_shape
-from fettle.operators.profile import missing_profile
+from fettle.operators.profile import missing_cell, missing_profile
 from fettle.operators.policies import (
     DEFAULT_POLICY,
     DEPENDENT_DATE,
@@ -30,6 +30,14 @@ REVIEW = "needs_review"
 SENT_TO_REVIEW = "SENT TO REVIEW"
 DROPPED_VALUE = "DROPPED VALUE"
 DROPPED_COLUMN = "DROPPED COLUMN"
+# Of what should not be.
+WRONG_VALUE = "UNEXPECTED VALUE"
+NO_COLUMN = "MISSING COLUMN"
+EXTRA_COLUMN = "EXTRA COLUMN"
+NOT_DROPPED = "NOT DROPPED"
+LOST_ROW = "LOST ROW"
+ADDED_ROW = "ADDED ROW"
+REPEATED_ROW = "REPEATED ROW"
 
 
 def unlisted_incomplete(df: DataFrame, policies: Sequence[Policy] = POLICIES) -> list[str]:
@@ -118,6 +126,50 @@ def review_rows(
     return clean.where(_needs_review(policy_by_column(df.columns, policies)))
 
 
+def _profiles(
+    before: DataFrame, treated: DataFrame, chosen: dict[str, Policy], na_tokens: Iterable[str]
+) -> tuple[list[Column], list[Column], list[tuple[str, Column, Column, Column]]]:
+    """Missing values of rows not held for review, by column of the table before.
+
+    Aggregates over the clean table before and over the treated rows, then for each column its
+    name and, of their results, the number before, after and as it should be: none where cells
+    are filled, a dropped column has none, and all others keep theirs.
+    """
+    held, kinds = _needs_review(chosen), {f.name: f.dataType for f in treated.schema.fields}
+    first, then, listed = [], [], []
+    for i, name in enumerate(before.columns):
+        first.append(F.count_if(F.col(f"`{name}`").isNull() & ~held).alias(f"_was_{i}"))
+        dropped = name in chosen and chosen[name].kind == DROP
+        filled = name in chosen and chosen[name].kind in (FILL, DEPENDENT_FILL)
+        after = F.lit(0).cast("bigint")
+        if name in kinds:
+            missing = missing_cell(F.col(f"`{name}`"), kinds[name], na_tokens)
+            then.append(F.count_if(missing & ~F.col(REVIEW)).alias(f"_is_{i}"))
+            after = F.col(f"_is_{i}")
+        expected = F.lit(0).cast("bigint") if dropped or filled else F.col(f"_was_{i}")
+        listed.append((name, F.col(f"_was_{i}"), after, expected))
+    return first, then, listed
+
+
+def remediation_profile(
+    before: DataFrame,
+    treated: DataFrame,
+    policies: Sequence[Policy] = POLICIES,
+    unlisted: Sequence[str] = (),
+    na_tokens: Iterable[str] = NA_TOKENS,
+) -> DataFrame:
+    """The missing-value profile before and after treatment, side by side, in table order.
+
+    Per column the missing cells of the rows not held for review before, after, and as they
+    should be. One aggregate over each table.
+    """
+    chosen = policy_by_column(before.columns, policies, unlisted)
+    first, then, listed = _profiles(before, treated, chosen, na_tokens)
+    both = beside(canonical_null(before, na_tokens).agg(*first), treated.agg(*then) if then else treated.agg(F.count(F.lit(1)).alias("_n")))
+    rows = [(F.lit(name), *figures) for name, *figures in listed]
+    return both.select(as_rows(["column", "before", "after", "expected"], rows))
+
+
 def remediation_checks(
     before: DataFrame,
     treated: DataFrame,
@@ -125,10 +177,12 @@ def remediation_checks(
     unlisted: Sequence[str] = (),
     numeric: Sequence[str] = ("agreement_value", "foreign_currency_value", "amendment_number"),
     dates: Sequence[str] = ("amendment_date", "agreement_start_date", "agreement_end_date"),
+    na_tokens: Iterable[str] = NA_TOKENS,
 ) -> DataFrame:
-    """Failures per check: rows kept, cells filled, types kept, dependencies respected.
+    """Failures per check: rows kept, cells filled, types kept, dependencies respected, and the
+    missing values of each column as they should be now.
 
-    Two aggregates: the row count before, and all other checks in one pass after.
+    Two aggregates: one over the table before, and one over the treated rows.
     """
     chosen = policy_by_column(before.columns, policies, unlisted)
     review, names = F.col(REVIEW), set(treated.columns)
@@ -161,15 +215,19 @@ def remediation_checks(
             cell = F.col(f"`{name}`").cast("string")
             checks[f"type:{name}"] = failures(cell.isNotNull() & ~date_shape(cell))
 
+    missing_before, missing_after, profile = _profiles(before, treated, chosen, na_tokens)
     totals = treated.agg(
         F.count_if(~review).alias("_curated"),
         F.count_if(review).alias("_review"),
+        *missing_after,
         *[c.cast("bigint").alias(f"_{i}") for i, c in enumerate(checks.values())],
     )
     listed = [
         (F.lit(name), F.coalesce(F.col(f"_{i}"), F.lit(0))) for i, name in enumerate(checks)
     ]
-    kept = beside(totals, before.agg(F.count(F.lit(1)).alias("_before")))
+    listed += [(F.lit(f"profile:{name}"), F.abs(after - expected)) for name, _, after, expected in profile]
+    clean = canonical_null(before, na_tokens)
+    kept = beside(totals, clean.agg(F.count(F.lit(1)).alias("_before"), *missing_before))
     lost = F.abs(F.col("_before") - F.col("_curated") - F.col("_review"))
     return kept.select(
         as_rows(["check", "failures"], [(F.lit("row_conservation"), lost), *listed])
@@ -209,29 +267,110 @@ def _steps(chosen: dict[str, Policy]) -> list[tuple[str, str, Column]]:
     ]
 
 
-def remediation_audit(
+def planned_changes(
     df: DataFrame,
     policies: Sequence[Policy] = POLICIES,
     unlisted: Sequence[str] = (),
     na_tokens: Iterable[str] = NA_TOKENS,
 ) -> DataFrame:
-    """Cells touched per column and action; one aggregate over one scan.
+    """Cells that the policy touches per column and action; one aggregate over one scan.
 
-    Counts what the curated table shows, and the cells that sent a row to review. A dropped
-    column is listed whether it had values or not, with their number.
+    Counts what the curated table should show, and the cells that send a row to review. A
+    dropped column is listed whether it had values or not, with their number.
     """
     clean = canonical_null(df, na_tokens)
-    chosen = policy_by_column(df.columns, policies, unlisted)
-    steps = _steps(chosen)
+    steps = _steps(policy_by_column(df.columns, policies, unlisted))
     totals = clean.agg(*[F.count_if(test).alias(f"_{i}") for i, (_, _, test) in enumerate(steps)])
-    listed = as_rows(
-        ["column", "action", "cells"],
-        [
-            (F.lit(n), F.lit(DROPPED_COLUMN if a == DROPPED_VALUE else a), F.col(f"_{i}"))
-            for i, (n, a, _) in enumerate(steps)
-        ],
+    return totals.select(_listed(steps)).where(_SHOWN)
+
+
+_SHOWN = "cells > 0 or action = 'DROPPED COLUMN'"
+
+
+def _listed(steps: list[tuple[str, str, Column]], more: Sequence[tuple[Column, Column, Column]] = ()) -> Column:
+    """Rows (column, action, cells) from the counts of all steps."""
+    rows = [
+        (F.lit(n), F.lit(DROPPED_COLUMN if a == DROPPED_VALUE else a), F.col(f"_{i}"))
+        for i, (n, a, _) in enumerate(steps)
+    ]
+    return as_rows(["column", "action", "cells"], [*rows, *more])
+
+
+def _result_column(name: str, action: str) -> str:
+    """The treated column that shows an action."""
+    if action == SENT_TO_REVIEW:
+        return REVIEW
+    return f"{name}_status" if action.startswith("STATUS ") else name
+
+
+def remediation_audit(
+    before: DataFrame,
+    after: DataFrame | None = None,
+    policies: Sequence[Policy] = POLICIES,
+    unlisted: Sequence[str] = (),
+    row_number: str = "row_number",
+    na_tokens: Iterable[str] = NA_TOKENS,
+) -> DataFrame:
+    """What was done to each cell, from the table before and the treated table after.
+
+    Rows are matched by number, and every cell that the policy gives is compared with the one
+    that is there. Counted per column and action are the treatments that the treated table
+    shows, and as actions of their own cells with another value than they should have, columns
+    that lack, that are too many or were not dropped, and, with no column, rows that were lost,
+    added, or are there again. Without ``after`` the treatments are those the policy plans.
+
+    Row numbers are unique before. After, one may come often: its rows are streamed past the
+    one row before, a join that is split where a number holds many rows; rows lost are found by
+    an anti join of the numbers alone.
+    """
+    if after is None:
+        return planned_changes(before, policies, unlisted, na_tokens)
+    clean = canonical_null(before, na_tokens)
+    chosen = policy_by_column(before.columns, policies, unlisted)
+    steps = _steps(chosen)
+    treated = [c for name in before.columns for c in _treated(name, chosen.get(name))]
+    names = [*clean.select(*treated).columns, REVIEW]
+    wanted = zip(names, [*treated, _needs_review(chosen)], strict=True)
+    was = clean.select("*", *[c.alias(f"_want_{n}") for n, c in wanted])
+    there = after.select(F.col(f"`{row_number}`").alias("_number"), *[F.col(f"`{n}`").alias(f"_is_{n}") for n in after.columns])
+    met = there.join(was, F.col("_number") == F.col(f"`{row_number}`"), "left")
+    known = F.col(f"`{row_number}`").isNotNull()
+
+    def right(name: str) -> Column:
+        if name not in after.columns:
+            return F.lit(False)
+        return F.col(f"`_is_{name}`").cast("string").eqNullSafe(F.col(f"`_want_{name}`").cast("string"))
+
+    # A dropped column has no cell to compare: it is looked for among the columns.
+    shown = [known & (test if a == DROPPED_VALUE else test & right(_result_column(n, a))) for n, a, test in steps]
+    shared = [n for n in names if n in after.columns]
+    extra = [n for n in after.columns if n not in names]
+    totals = met.agg(
+        *[F.count_if(F.coalesce(t, F.lit(False))).alias(f"_{i}") for i, t in enumerate(shown)],
+        *[F.count_if(known & ~right(n)).alias(f"_wrong_{i}") for i, n in enumerate(shared)],
+        *[F.count_if(F.col(f"`_is_{n}`").isNotNull()).alias(f"_extra_{i}") for i, n in enumerate(extra)],
+        F.count_if(known).alias("_met"),
+        F.count_if(~known).alias("_added"),
+    )
+    numbers = before.select(F.col(f"`{row_number}`").alias("_was"))
+    missed = numbers.join(there.select("_number"), F.col("_was") == F.col("_number"), "left_anti")
+    figures = beside(
+        beside(totals, missed.agg(F.count(F.lit(1)).alias("_lost"))), numbers.agg(F.count(F.lit(1)).alias("_all"))
     )
-    return totals.select(listed).where((F.col("cells") > 0) | (F.col("action") == DROPPED_COLUMN))
+    whole = F.lit(None).cast("string")
+    more = [(F.lit(n), F.lit(WRONG_VALUE), F.col(f"_wrong_{i}")) for i, n in enumerate(shared)]
+    more += [(F.lit(n), F.lit(NO_COLUMN), F.col("_met")) for n in names if n not in after.columns]
+    more += [
+        (F.lit(n), F.lit(NOT_DROPPED if n in before.columns else EXTRA_COLUMN), F.col(f"_extra_{i}"))
+        for i, n in enumerate(extra)
+    ]
+    more += [
+        (whole, F.lit(LOST_ROW), F.col("_lost")),
+        (whole, F.lit(ADDED_ROW), F.col("_added")),
+        (whole, F.lit(REPEATED_ROW), F.col("_met") - (F.col("_all") - F.col("_lost"))),
+    ]
+    kept = [f"(`column` = '{n}' and action = '{DROPPED_COLUMN}')" for n in extra]
+    return figures.select(_listed(steps, more)).where(_SHOWN).where(f"not ({' or '.join(['false', *kept])})")
 
 
 def remediation_log(

@@ -534,9 +534,48 @@ def _checks() -> str:
         "SELECT 'row_conservation', abs((SELECT count(*) FROM grants) - count(*)) FROM treated"
     )
     rows.append("SELECT 'dropped:coverage', 0")
+    rows += [f"SELECT 'profile:{c}', 0" for c in ["row_number", *COLS]]
     return f"WITH {TREATED} {' UNION ALL '.join(rows)}"
 
 
+def _profile() -> str:
+    """Filled and dropped columns lack nothing afterwards, the others what they lacked."""
+    rows = []
+    for c in ["row_number", *COLS]:
+        n = f"count(*) FILTER (WHERE {c} IS NULL AND NOT coalesce({_held}, false))"
+        left = "0" if c in [*_FILLED, "coverage"] else n
+        rows.append(f"SELECT '{c}' AS \"column\", {n} AS before, {left} AS after, {left} AS expected FROM clean")
+    return f"WITH {CLEAN} {' UNION ALL '.join(rows)}"
+
+
+def _faults() -> str:
+    """Of the actions only those on rows that were not lost count, once more where a row is repeated."""
+    again = "(CASE WHEN key % 89 = 3 THEN 2 ELSE 1 END)"
+    kept = "key % 101 <> 7"
+    cells = {
+        "recipient_city": "key % 83 = 1",
+        "recipient_country": "recipient_country_was_missing",
+        "agreement_value": "key % 79 = 0 AND agreement_value IS NOT NULL",
+    }
+    wrong = [
+        f"SELECT '{c}' AS \"column\", 'UNEXPECTED VALUE' AS action, coalesce(sum({again}) FILTER (WHERE {kept} AND {t}), 0) AS cells FROM treated"
+        for c, t in cells.items()
+    ]
+    done = f"""SELECT "column", action, sum({again}) AS cells FROM log WHERE {kept} AND action NOT IN ('DROPPED VALUE', 'STATUS NOT_APPLICABLE')
+      AND "column" <> 'recipient_country' AND NOT ("column" = 'recipient_city' AND key % 83 = 1) GROUP BY 1, 2
+    UNION ALL SELECT "column", action, sum({again}) FROM log WHERE {kept} AND "column" = 'amendment_date' AND action = 'STATUS NOT_APPLICABLE' GROUP BY 1, 2
+    UNION ALL SELECT 'coverage', 'DROPPED COLUMN', coalesce(sum({again}) FILTER (WHERE {kept} AND action = 'DROPPED VALUE'), 0) FROM log"""
+    added = "count(*) FILTER (WHERE key % 97 = 5)"
+    return f"""WITH {TREATED}, log AS ({_log('UNKNOWN')}), left_over AS (SELECT * FROM treated WHERE {kept}), found AS ({done}
+    UNION ALL {' UNION ALL '.join(wrong)}
+    UNION ALL SELECT 'foreign_currency_value_status', 'MISSING COLUMN', sum({again}) FROM left_over
+    UNION ALL SELECT 'remark', 'EXTRA COLUMN', coalesce(sum({again} + CASE WHEN key % 97 = 5 THEN 1 ELSE 0 END) FILTER (WHERE key % 71 = 0), 0) FROM left_over
+    UNION ALL SELECT NULL, 'LOST ROW', (SELECT count(*) FROM treated) - count(*) FROM left_over
+    UNION ALL SELECT NULL, 'ADDED ROW', {added} FROM left_over
+    UNION ALL SELECT NULL, 'REPEATED ROW', count(*) FILTER (WHERE key % 89 = 3) FROM left_over)
+SELECT "column", action, CAST(cells AS bigint) AS cells FROM found WHERE cells > 0 OR action = 'DROPPED COLUMN'"""
+
+
 def _snapshot(cells: dict[str, str], source: str) -> str:
     shown = ", ".join(f"coalesce({sql}, '') AS {name}" for name, sql in cells.items())
     return f"SELECT {shown} FROM {source}"
@@ -739,7 +778,10 @@ UNION ALL SELECT 'corrections_review', count(*) FROM mapping WHERE status = 'rev
         "amendment_review": f"WITH {CLEAN} SELECT {numbered_key} AS key, ref_number, amendment_number, amendment_date FROM clean WHERE {_held}",
         "remediation_checks": _checks(),
         "remediated_detected": f"WITH {TREATED} SELECT * EXCLUDE (held) FROM treated WHERE NOT held",
+        "remediation_profile": _profile(),
         "remediation_audit": _audit("UNKNOWN"),
+        "remediation_planned": _audit("UNKNOWN"),
+        "remediation_faults": _faults(),
         "remediation_shipped": _audit("NOT_PROVIDED"),
         "remediation_log": f"WITH {CLEAN}, log AS ({_log('UNKNOWN')}) SELECT * FROM log",
     }

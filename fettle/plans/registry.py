@@ -26,6 +26,7 @@ from fettle.plans.grants import COLUMNS, grants, numbered_grants, table
 from fettle.operators.policies import DEFAULT_POLICY, POLICIES
 from fettle.plans.session import work_path
 from fettle.plans.views import (
+    COPY_OFFSET,
     documents_with_figures,
     grants_with_copies,
     questions,
@@ -727,15 +728,54 @@ def remediation_checks(spark, sf):
     return rm.remediation_checks(view, treated, SOME_POLICIES, UNLISTED)
 
 
+@query
+def remediation_profile(spark, sf):
+    """Missing values per column before and after treatment."""
+    view = grants(spark, sf)
+    return rm.remediation_profile(view, rm.remediate(view, SOME_POLICIES, UNLISTED), SOME_POLICIES, UNLISTED)
+
+
 @query
 def remediation_audit(spark, sf):
-    return rm.remediation_audit(grants(spark, sf), SOME_POLICIES, UNLISTED)
+    """What the treated table shows, cell by cell."""
+    view = grants(spark, sf)
+    return rm.remediation_audit(view, rm.remediate(view, SOME_POLICIES, UNLISTED), SOME_POLICIES, UNLISTED)
 
 
 @query
 def remediation_shipped(spark, sf):
     """The audit under all policies as shipped; nothing is left to the default."""
-    return rm.remediation_audit(grants(spark, sf))
+    view = grants(spark, sf)
+    return rm.remediation_audit(view, rm.remediate(view))
+
+
+@query
+def remediation_planned(spark, sf):
+    """What the policy says will be done, from the table before alone."""
+    return rm.planned_changes(grants(spark, sf), SOME_POLICIES, UNLISTED)
+
+
+def faulty(treated):
+    """A treated table with rows lost, added and repeated, wrong and unfilled cells."""
+    n = F.col("row_number")
+    kept = treated.where(n % 101 != 7)
+    wrong = kept.withColumns(
+        {
+            "recipient_city": F.when(n % 83 == 1, "ELSEWHERE").otherwise(F.col("recipient_city")),
+            "recipient_country": F.when(~F.col("recipient_country_was_missing"), F.col("recipient_country")),
+            "agreement_value": F.when(n % 79 == 0, F.lit(None)).otherwise(F.col("agreement_value")),
+            "remark": F.when(n % 71 == 0, "by hand"),
+        }
+    ).drop("foreign_currency_value_status")
+    added = wrong.where(n % 97 == 5).withColumn("row_number", n + COPY_OFFSET)
+    return wrong.unionByName(added).unionByName(wrong.where(n % 89 == 3))
+
+
+@query
+def remediation_faults(spark, sf):
+    """The audit of a table that was treated badly."""
+    view = grants(spark, sf)
+    return rm.remediation_audit(view, faulty(rm.remediate(view, SOME_POLICIES, UNLISTED)), SOME_POLICIES, UNLISTED)
 
 
 @query

@@ -303,6 +303,69 @@ def test_remediation(spark):
     assert ("other", "FILLED UNKNOWN") not in audit and audit["recipient_province", "FILLED NOT_APPLICABLE"] == 1
 
 
+def test_profile_after_treatment(spark, sf_dir):
+    """A row for each column; a column that was not filled, and one that lost cells, fail."""
+    from fettle.plans.grants import grants
+
+    view = grants(spark, sf_dir)
+    treated = rm.remediate(view)
+    profile = {r.column: r for r in rm.remediation_profile(view, treated).collect()}
+    assert list(profile) == view.columns and all(r.after == r.expected for r in profile.values())
+    assert profile["recipient_country"].before > 0 and profile["recipient_country"].after == 0
+    assert profile["agreement_end_date"].after == profile["agreement_end_date"].before > 0
+    broken = treated.withColumns(
+        {
+            "recipient_country": F.when(~F.col("recipient_country_was_missing"), F.col("recipient_country")),
+            "recipient_postal_code": F.when(F.col("recipient_postal_code_was_missing"), "n/a").otherwise(F.col("recipient_postal_code")),
+            "agreement_end_date": F.coalesce("agreement_end_date", F.lit("2020-01-01")),
+        }
+    )
+    checks = {r.check: r.failures for r in rm.remediation_checks(view, broken).collect()}
+    failed = {k.split(":")[1] for k, n in checks.items() if n and k.startswith("profile:")}
+    assert failed == {"recipient_country", "recipient_postal_code", "agreement_end_date"}
+    assert {f"profile:{c}" for c in view.columns} <= set(checks)
+    # Null tokens count as missing, which a test for null alone does not see.
+    assert checks["populated:recipient_postal_code"] == 0
+
+
+def test_audit_finds_faults(spark):
+    """One wrong cell, one row lost, one added and one repeated, a column gone, kept and too many."""
+    schema = "row_number long, amendment_number string, recipient_country string, coverage string, other string"
+    df = spark.createDataFrame([(i, "0", None if i % 2 else "CA", "x", "o") for i in range(1, 9)], schema)
+    treated = rm.remediate(df)
+    good = {(r.column, r.action): r.cells for r in rm.remediation_audit(df, treated).collect()}
+    assert good == {("recipient_country", "FILLED UNKNOWN"): 4, ("coverage", "DROPPED COLUMN"): 8}
+    wrong = treated.withColumn("recipient_country", F.when(F.col("row_number") == 3, "US").otherwise(F.col("recipient_country")))
+    odd = wrong.where("row_number <> 5").withColumn("coverage", F.lit("x")).withColumn("more", F.lit(1))
+    odd = odd.unionByName(odd.where("row_number = 2").withColumn("row_number", F.lit(99).cast("long")))
+    odd = odd.unionByName(odd.where("row_number = 4")).drop("recipient_country_was_missing")
+    found = {(r.column, r.action): r.cells for r in rm.remediation_audit(df, odd).collect()}
+    assert found == {
+        ("recipient_country", "FILLED UNKNOWN"): 2,
+        ("recipient_country", "UNEXPECTED VALUE"): 1,
+        ("recipient_country_was_missing", "MISSING COLUMN"): 8,
+        ("coverage", "NOT DROPPED"): 9,
+        ("more", "EXTRA COLUMN"): 9,
+        (None, "LOST ROW"): 1,
+        (None, "ADDED ROW"): 1,
+        (None, "REPEATED ROW"): 1,
+    }
+    none = {(r.column, r.action): r.cells for r in rm.remediation_audit(df, treated.where("false")).collect()}
+    assert none == {("coverage", "DROPPED COLUMN"): 0, (None, "LOST ROW"): 8}
+
+
+def test_audit_of_a_row_that_is_there_many_times(spark):
+    """A third of the treated rows repeat one row: the join may be split, and all are counted."""
+    df = spark.range(1, 20_001).select(F.col("id").alias("row_number"), F.lit("0").alias("amendment_number"), F.lit(None).cast("string").alias("recipient_country"))
+    treated = rm.remediate(df)
+    hot = treated.where("row_number = 7").withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(10_000)))).drop("_n")
+    audit = rm.remediation_audit(df, treated.unionByName(hot))
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and "LeftOuter" in plan
+    found = {(r.column, r.action): r.cells for r in audit.collect()}
+    assert found == {("recipient_country", "FILLED UNKNOWN"): 30_000, (None, "REPEATED ROW"): 10_000}
+
+
 def test_audit_agrees_with_the_curated_table(spark, sf_dir):
     from fettle.plans.grants import grants
 
