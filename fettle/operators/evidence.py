@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +20,7 @@ from fettle.functions.tokens import (
     words_found,
 )
 from fettle.operators.profile import SUMMARY_COLUMNS, report_summary
-from fettle.operators.search import clip_cells
+from fettle.operators.search import clip_cells, first_rows
 from fettle.sources.tables import existing
 
 # Sizes of the evidence.
@@ -184,6 +184,34 @@ def budget_concat(
     )
 
 
+def enough_documents(
+    docs: DataFrame,
+    key: str,
+    items: Callable[[DataFrame], DataFrame],
+    budget: int = BUDGET_CHARS,
+    first: int = 32,
+    growth: int = 4,
+) -> DataFrame:
+    """The first documents by key whose items use up a character budget, or all of them.
+
+    ``items`` makes the column ``text`` from some of the documents. Ever larger blocks are
+    tried, each made of the keys up to one that is found by the keys alone; a table stored in
+    their order is read no further. An item costs its length and the separator, so blocks
+    end before there are budget / 2 documents with items.
+    """
+    n = first
+    while True:
+        # The largest of the n smallest keys comes to the driver, with their number.
+        found = docs.select(key).orderBy(key).limit(n).agg(F.max(key), F.count(key)).first()
+        if found[1] < n:
+            return docs
+        block = docs.where(F.col(key) <= found[0])
+        used = items(block).agg(F.sum(F.char_length("text") + len(SEPARATOR))).first()[0]
+        if (used or 0) >= budget:
+            return block
+        n *= growth
+
+
 def _item(df: DataFrame, part: int, text: Column, place: Column | None = None) -> DataFrame:
     """Rows as evidence: part and place order them."""
     where = F.lit(0) if place is None else place
@@ -235,6 +263,11 @@ def rows_item(
     return _item(found.agg(best.alias("best")).where(F.size("best") > 0), part, text)
 
 
+def section_text() -> Column:
+    """A section as it is quoted."""
+    return F.concat(F.lit("["), "label", F.lit("]\n"), "chunk")
+
+
 def gather_evidence(
     question: str,
     figures: DataFrame,
@@ -252,9 +285,8 @@ def gather_evidence(
     for n, (name, report, order) in enumerate(reports, 1):
         items.append(summary_item(report, 2 * n, name))
         items.append(rows_item(report, 2 * n + 1, name, question, order))
-    shown = F.concat(F.lit("["), "label", F.lit("]\n"), "chunk")
     place = F.col(section_order) * 100 + F.col("rank")
-    items.append(_item(sections, 2 * len(reports) + 2, shown, place))
+    items.append(_item(sections, 2 * len(reports) + 2, section_text(), place))
     return reduce(DataFrame.unionByName, items)
 
 
@@ -270,9 +302,8 @@ def evidence_bundle(
     return beside(text, matched).select("text", F.array(*[F.lit(s) for s in sources]).alias("sources"), "dataset_rows")
 
 
-def _lookup(df: DataFrame, term: str, cols: Sequence[str]) -> DataFrame:
-    cells = [F.col(f"`{c}`").cast("string") for c in existing(df, cols)]
-    return df.where(any_contains(cells, term))
+def _has_term(df: DataFrame, term: str, cols: Sequence[str]) -> Column:
+    return any_contains([F.col(f"`{c}`").cast("string") for c in existing(df, cols)], term)
 
 
 def lookup_totals(
@@ -290,7 +321,7 @@ def lookup_totals(
             F.lit(0).cast("bigint").alias("matched_rows"), F.lit(0.0).alias("value_sum")
         )
     value = to_number(F.col(f"`{value_col}`").cast("string"))
-    return _lookup(df, term, cols).agg(
+    return df.where(_has_term(df, term, cols)).agg(
         F.count(F.lit(1)).alias("matched_rows"),
         exact_sum(value).alias("value_sum"),
     )
@@ -302,12 +333,17 @@ def lookup_rows(
     cols: Sequence[str] = LOOKUP_COLUMNS,
     n: int = 8,
     order: str = "row_number",
+    numbered: bool = False,
 ) -> DataFrame:
-    """The first rows, in source order, that contain the term; without a term, none."""
+    """The first rows, in source order, that contain the term; without a term, none.
+
+    ``numbered`` says that the table is stored in that order: then no more of it is read, from
+    the start, than holds n such rows.
+    """
     shown = existing(df, cols)
     if not term:
         return df.select(*shown).limit(0)
-    return _lookup(df, term, cols).orderBy(order).limit(n).select(*shown)
+    return first_rows(df, _has_term(df, term, cols), order, n, numbered).select(*shown)
 
 
 def extract_metrics(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -121,50 +121,95 @@ def remediation_plan(df: DataFrame, policies: Sequence, default, na_tokens=NA_TO
     )
 
 
+# What is known of a cell is one number: a bit for each of these, then the lengths of its text,
+# of it as a whole number and as a floating one.
+_BITS = ("present", "integers", "numbers", "booleans", "shown", "dates", "shapes")
+_LENGTHS = {"text_length": (7, 30), "integer_length": (37, 8), "float_length": (45, 16)}
+
+
+def _may_be_number(c: Column) -> Column:
+    """False only if text cannot be a number, also without noise: by its first character."""
+    return (c < ":") | c.startswith("i") | c.startswith("I")
+
+
+def _cell_facts(cells: DataFrame, na_tokens: Iterable[str]) -> DataFrame:
+    """(ordinal, fact) of cells (ordinal, raw), each worked out once in a few steps.
+
+    Patterns are for the few cells whose first character allows for them.
+    """
+
+    def bit(test: Column, name: str) -> Column:
+        return F.when(test, 1 << _BITS.index(name)).otherwise(0)
+
+    value, bare, shown, number = F.col("value"), F.col("bare"), F.col("shown"), F.col("number")
+    cells = cells.select("ordinal", F.when(~is_na_token(F.col("raw"), na_tokens), F.col("raw")).alias("value"))
+    cells = cells.select("*", strip(value).alias("trimmed"), F.btrim(value, F.lit(" \t\r\n\x0b\x0c")).alias("bare"))
+    cells = cells.select(
+        "ordinal",
+        "value",
+        "bare",
+        F.when(F.col("trimmed") != "", F.col("trimmed")).alias("shown"),
+        (_may_be_number(bare) & bare.rlike(NUMBER_PATTERN)).alias("number"),
+    )
+    cells = cells.select("*", F.when(number & bare.rlike(INTEGER_PATTERN), bare.try_cast("bigint")).alias("integer"))
+    cells = cells.select("*", F.char_length(F.col("integer").cast("string")).alias("digits"))
+    shaped = _may_be_number(shown) & (number & (bare == shown) | numeric_shape(shown))
+    bits = {
+        "present": value.isNotNull(),
+        "integers": F.col("integer").isNotNull(),
+        "numbers": number,
+        "booleans": value.isin(*BOOLEAN_WORDS),
+        "shown": shown.isNotNull(),
+        "dates": shown.between("0", ":") & date_shape(shown),
+        "shapes": shaped,
+    }
+    lengths = {
+        "text_length": F.char_length(shown),
+        "integer_length": F.col("digits"),
+        # Below 10^15 a whole number is shown with a point and a zero after it.
+        "float_length": F.when(F.abs("integer") < 10**15, F.col("digits") + 2).when(
+            number, F.char_length(float_text(bare.try_cast("double")))
+        ),
+    }
+    fact = F.lit(0).cast("bigint")
+    for name, test in bits.items():
+        fact = fact + bit(test, name)
+    for name, length in lengths.items():
+        fact = fact + F.shiftleft(F.coalesce(length, F.lit(0)).cast("bigint"), _LENGTHS[name][0])
+    return cells.select("ordinal", fact.alias("fact"))
+
+
 def _column_stats(
     df: DataFrame, order: str, n: int | None, na_tokens: Iterable[str]
 ) -> DataFrame:
-    """Per column counts over all rows, or the first n; one pass, a row per column and task.
+    """A row of counts per column over all rows, or the first n.
 
-    The medians are of text lengths, so they keep one count for each length.
+    Cells are worked out to one number, and equal ones are counted in each task before the
+    shuffle: a histogram of lengths and shapes per column, which merges, and from which all
+    counts and medians follow.
     """
     names = df.columns
-    sample = df if n is None else sample_rows(df, n, order)
-    text = sample.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in names])
-    ordinals = F.array(*[F.lit(c) for c in names])
-    cells = text.unpivot([], [F.col(f"`{c}`") for c in names], "column", "raw")
-
-    value = F.when(~is_na_token(F.col("raw"), na_tokens), F.col("raw"))
-    trimmed = strip(F.col("value"))
-    bare = F.btrim(F.col("value"), F.lit(" \t\r\n\x0b\x0c"))
-    number = F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
-    integer = F.when(bare.rlike(INTEGER_PATTERN), bare.try_cast("bigint"))
-    cells = (
-        cells.select("column", value.alias("value"))
-        .withColumn("integer", integer)
-        .withColumn("number", number)
-        .withColumn("shown", F.when(trimmed != "", trimmed))
-    )
-    return (
-        cells.groupBy("column")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count("value").alias("present"),
-            F.count("integer").alias("integers"),
-            F.count("number").alias("numbers"),
-            F.count_if(F.col("value").isin(*BOOLEAN_WORDS)).alias("booleans"),
-            F.count("shown").alias("shown"),
-            F.avg(date_shape(F.col("shown")).cast("int")).alias("date_rate"),
-            F.avg(
-                F.when(F.col("shown").isNotNull(), numeric_shape(F.col("shown")).cast("int"))
-            ).alias("number_rate"),
-            F.median(F.char_length("shown")).alias("text_length"),
-            F.median(F.char_length(F.col("integer").cast("string"))).alias("integer_length"),
-            F.median(F.char_length(float_text(F.col("number")))).alias("float_length"),
-        )
-        .withColumn("ordinal", F.array_position(ordinals, F.col("column")))
-        .withColumn("detected_dtype", _dtype())
-    )
+    rows = df if n is None else sample_rows(df, n, order)
+    text = F.array(*[F.col(f"`{c}`").cast("string") for c in names])
+    cells = rows.select(F.posexplode(text).alias("ordinal", "raw"))
+    counts = _cell_facts(cells, na_tokens).groupBy("ordinal", "fact").agg(F.count(F.lit(1)).alias("n"))
+    times, fact = F.col("n"), F.col("fact")
+
+    def count(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(fact.bitwiseAND(1 << _BITS.index(name)) != 0, times)), F.lit(0)).alias(name)
+
+    def median(name: str) -> Column:
+        """Of the lengths above zero; an empty text is not shown."""
+        at, size = _LENGTHS[name]
+        length = F.shiftright(fact, at).bitwiseAND((1 << size) - 1)
+        return F.percentile(F.when(length > 0, length), 0.5, times).alias(name)
+
+    totals = counts.groupBy("ordinal").agg(F.sum("n").alias("rows"), *map(count, _BITS), *map(median, _LENGTHS))
+    # A table without rows still has its columns.
+    listed = df.sparkSession.createDataFrame(list(enumerate(names)), "ordinal int, column string")
+    found = listed.join(totals, "ordinal", "left").na.fill(0, ["rows", *_BITS])
+    rate = {r: F.when(F.col("shown") > 0, F.col(n) / F.col("shown")) for r, n in (("date_rate", "dates"), ("number_rate", "shapes"))}
+    return found.withColumns({**rate, "detected_dtype": _dtype()})
 
 
 def _dtype() -> Column:

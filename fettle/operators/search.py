@@ -51,22 +51,59 @@ def search_report(
     return found if limit is None else found.limit(limit)
 
 
+# Row numbers of the first range that is searched, how much further each next one goes, and how
+# many are tried before the whole table is searched at once.
+FIRST_RANGE = 1 << 16
+RANGE_GROWTH = 16
+RANGES = 3
+
+
+def enough_rows(
+    found: DataFrame, order: str, limit: int, first: int = FIRST_RANGE, growth: int = RANGE_GROWTH, ranges: int = RANGES
+) -> int | None:
+    """A row number up to which there are ``limit`` rows, or None if the first ranges have fewer.
+
+    Ranges grow by a factor, so those that do not suffice cost a part of the last one. On a
+    snapshot in the order of its numbers each is read alone, by the statistics of its files.
+    """
+    n, lo, hi = 0, 0, first
+    for _ in range(ranges):
+        n += found.where((F.col(order) > lo) & (F.col(order) <= hi)).limit(limit).count()
+        if n >= limit:
+            return hi
+        lo, hi = hi, hi * growth
+    return None
+
+
+def first_rows(df: DataFrame, test: Column, order: str, limit: int, numbered: bool = False) -> DataFrame:
+    """The first rows by number that pass a test.
+
+    ``numbered`` says that the table is stored in the order of its numbers, as a snapshot of a
+    numbered scan is. Then only as much is read, from the start, as holds ``limit`` rows.
+    """
+    found = df.where(test)
+    if numbered and limit > 0 and (end := enough_rows(found, order, limit)) is not None:
+        found = df.where(F.col(order) <= end).where(test)
+    return found.orderBy(order).limit(limit)
+
+
 def search_table(
-    df: DataFrame, query: str, cols: Sequence[str], limit: int = 100, order: str = "row_number"
+    df: DataFrame,
+    query: str,
+    cols: Sequence[str],
+    limit: int = 100,
+    order: str = "row_number",
+    numbered: bool = False,
 ) -> DataFrame:
     """First rows, in source order, with the text in one of the columns.
 
-    A blank query finds nothing. Columns the table lacks are ignored.
+    A blank query finds nothing. Columns the table lacks are ignored. ``numbered`` as for
+    ``first_rows``.
     """
     cols = existing(df, cols)
     if not query.strip():
         return df.select(*cols).limit(0)
-    return (
-        df.where(any_contains(_text_columns(df, cols), query))
-        .orderBy(order)
-        .limit(limit)
-        .select(*cols)
-    )
+    return first_rows(df, any_contains(_text_columns(df, cols), query), order, limit, numbered).select(*cols)
 
 
 def preview(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fettle.functions import text
 from fettle.functions.alias import DEFAULT_FAMILIES, AliasFamily, accept_label, review_label
@@ -25,9 +26,25 @@ def value_counts(df: DataFrame, target: str, order: str | None = None) -> DataFr
     )
 
 
+def _distinct_text(c: Column, dtype: T.DataType) -> Column:
+    """Text that is equal where values are."""
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(c)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))
+    return c.cast("string") if isinstance(dtype, T.AtomicType) else F.to_json(F.struct(c))
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact number of distinct non-null values of each column."""
-    return df.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in cols])
+    """Exact number of distinct non-null values of each column.
+
+    Cells become pairs of ordinal and value, of which each task keeps the distinct ones before
+    the only shuffle; a value that holds a third of the rows is one pair a task.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    pairs = [F.struct(F.lit(i).alias("ordinal"), _distinct_text(F.col(f"`{c}`"), kinds[c]).alias("value")) for i, c in enumerate(cols)]
+    found = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
+    return found.agg(*[F.count_if(F.col("ordinal") == i).alias(c) for i, c in enumerate(cols)])
 
 
 def name_forms(values: DataFrame) -> DataFrame:
