@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,11 +15,11 @@ from fettle.functions.nulls import NA_TOKENS, is_blank, is_missing, is_na_token,
 from fettle.functions.rows import as_rows
 from fettle.functions.shapes import (
     BOOLEAN_WORDS,
+    DATE_LAYOUTS,
     INTEGER_PATTERN,
+    NUMBER_NOISE,
     NUMBER_PATTERN,
-    date_shape,
     float_text,
-    numeric_shape,
 )
 from fettle.sources.tables import existing, sample_rows
 
@@ -124,6 +126,7 @@ def remediation_plan(df: DataFrame, policies: Sequence, default, na_tokens=NA_TO
 # What is known of a cell is one number: a bit for each of these, then the lengths of its text,
 # of it as a whole number and as a floating one.
 _BITS = ("present", "integers", "numbers", "booleans", "shown", "dates", "shapes")
+_SHORT_DECIMAL = r"^-?(?!0\.000)(0|[1-9]\d{0,8})\.\d{1,6}$"
 _LENGTHS = {"text_length": (7, 30), "integer_length": (37, 8), "float_length": (45, 16)}
 
 
@@ -133,9 +136,10 @@ def _may_be_number(c: Column) -> Column:
 
 
 def _cell_facts(cells: DataFrame, na_tokens: Iterable[str]) -> DataFrame:
-    """(ordinal, fact) of cells (ordinal, raw), each worked out once in a few steps.
+    """(ordinal, fact, odd) of cells (ordinal, raw), each worked out once in a few steps.
 
-    Patterns are for the few cells whose first character allows for them.
+    Patterns are for the few cells whose first character allows for them. A number that is
+    printed otherwise than it stands is odd: its text is kept, for its length as printed.
     """
 
     def bit(test: Column, name: str) -> Column:
@@ -153,22 +157,27 @@ def _cell_facts(cells: DataFrame, na_tokens: Iterable[str]) -> DataFrame:
     )
     cells = cells.select("*", F.when(number & bare.rlike(INTEGER_PATTERN), bare.try_cast("bigint")).alias("integer"))
     cells = cells.select("*", F.char_length(F.col("integer").cast("string")).alias("digits"))
-    shaped = _may_be_number(shown) & (number & (bare == shown) | numeric_shape(shown))
+    noise = reduce(or_, [shown.contains(c) for c in NUMBER_NOISE])
+    shaped = F.when((bare == shown) & ~noise, number).otherwise(
+        strip(F.translate(shown, NUMBER_NOISE, "")).rlike(NUMBER_PATTERN)
+    )
     bits = {
         "present": value.isNotNull(),
         "integers": F.col("integer").isNotNull(),
         "numbers": number,
         "booleans": value.isin(*BOOLEAN_WORDS),
         "shown": shown.isNotNull(),
-        "dates": shown.between("0", ":") & date_shape(shown),
-        "shapes": shaped,
+        "dates": shown.between("0", ":") & shown.rlike("|".join(DATE_LAYOUTS)),
+        "shapes": _may_be_number(shown) & shaped,
     }
+    # Below 10^15 a whole number is shown with a point and a zero after it, and a short decimal
+    # as it stands, without zeros at its end.
+    cut = F.rtrim(bare, F.lit("0"))
     lengths = {
         "text_length": F.char_length(shown),
         "integer_length": F.col("digits"),
-        # Below 10^15 a whole number is shown with a point and a zero after it.
-        "float_length": F.when(F.abs("integer") < 10**15, F.col("digits") + 2).when(
-            number, F.char_length(float_text(bare.try_cast("double")))
+        "float_length": F.when((F.abs("integer") < 10**15) & ~bare.startswith("-0"), F.col("digits") + 2).when(
+            number & bare.rlike(_SHORT_DECIMAL), F.char_length(cut) + F.when(cut.endswith("."), 1).otherwise(0)
         ),
     }
     fact = F.lit(0).cast("bigint")
@@ -176,7 +185,9 @@ def _cell_facts(cells: DataFrame, na_tokens: Iterable[str]) -> DataFrame:
         fact = fact + bit(test, name)
     for name, length in lengths.items():
         fact = fact + F.shiftleft(F.coalesce(length, F.lit(0)).cast("bigint"), _LENGTHS[name][0])
-    return cells.select("ordinal", fact.alias("fact"))
+    cells = cells.select("ordinal", "bare", "number", fact.alias("fact"))
+    odd = F.when(number & (F.shiftright("fact", _LENGTHS["float_length"][0]) == 0), bare)
+    return cells.select("ordinal", "fact", odd.alias("odd"))
 
 
 def _column_stats(
@@ -192,7 +203,10 @@ def _column_stats(
     rows = df if n is None else sample_rows(df, n, order)
     text = F.array(*[F.col(f"`{c}`").cast("string") for c in names])
     cells = rows.select(F.posexplode(text).alias("ordinal", "raw"))
-    counts = _cell_facts(cells, na_tokens).groupBy("ordinal", "fact").agg(F.count(F.lit(1)).alias("n"))
+    counts = _cell_facts(cells, na_tokens).groupBy("ordinal", "fact", "odd").agg(F.count(F.lit(1)).alias("n"))
+    printed = F.char_length(float_text(F.col("odd").try_cast("double"))).cast("bigint")
+    known = F.col("fact") + F.shiftleft(F.coalesce(printed, F.lit(0).cast("bigint")), _LENGTHS["float_length"][0])
+    counts = counts.select("ordinal", "n", known.alias("fact"))
     times, fact = F.col("n"), F.col("fact")
 
     def count(name: str) -> Column:

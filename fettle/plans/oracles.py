@@ -616,6 +616,15 @@ def _preview_side(name: str, source: str, cols, shown) -> str:
   WHERE {contains(cols, TERM)} ORDER BY key LIMIT 40)"""
 
 
+def _lookup_terms() -> str:
+    return rf"""WITH q AS (SELECT conv_id, turn, {QUESTION_TEXT} AS question FROM conversations),
+found AS (SELECT *, trim(regexp_extract(question, '["'']([^"'']{{3,80}})["'']', 1)) AS quoted,
+  regexp_extract(question, '\b[A-Za-z0-9]+(?:[-/#][A-Za-z0-9]+){{2,}}\b') AS reference,
+  list_filter(regexp_extract_all(question, '\b[A-Z][A-Z0-9&.-]{{3,}}\b'), lambda t: t NOT IN {lits(NOT_LOOKUPS)}) AS acr FROM q)
+SELECT conv_id, turn, CASE WHEN quoted <> '' THEN quoted WHEN reference <> '' THEN reference
+  ELSE coalesce(list_filter(acr, lambda t: length(t) = list_max(list_transform(acr, lambda u: length(u))))[1], '') END AS term FROM found"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for each registered query that SQL can state."""
     cols = ", ".join(COLS)
@@ -634,21 +643,23 @@ def oracle_sql() -> dict[str, str]:
     numbered_key = "row_number"
     return {
         "row_numbers": f"WITH {GRANTS} SELECT row_number, {cols} FROM grants",
-        "source_row_numbers": "SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS bigint) AS row_number, o_orderkey FROM orders",
+        "source_row_numbers": "SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS bigint) AS row_number, * FROM orders",
+        "files_overview": 'SELECT 4 AS files, count(*) AS "rows", 6 AS "columns" FROM orders',
+        "csv_line_breaks": """SELECT CAST(row_number() OVER (ORDER BY doc_id) AS bigint) AS row_number, CAST(doc_id AS varchar) AS doc_id,
+  nullif(text, '') AS text, nullif(lang, '') AS lang, nullif(source, '') AS source, CAST(n_chars AS varchar) AS n_chars FROM documents""",
         "sample_rows": f"WITH {GRANTS} SELECT {cols} FROM grants ORDER BY row_number LIMIT 1000",
         "dataset_overview": f'WITH {GRANTS} SELECT count(*) AS "rows", {len(COLS) + 1} AS "columns" FROM grants',
         "text_scan": f"WITH {READ} SELECT "
         + ", ".join(f"nullif({c}, '') AS {c}" for c in COLS)
         + " FROM read",
         "csv_row_numbers": f"""SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS bigint) AS row_number,
-  {_ORDERS['o_orderkey']} AS o_orderkey, {_ORDERS['o_totalprice']} AS o_totalprice FROM orders""",
+  {', '.join(f"nullif({sql}, '') AS {name}" for name, sql in _ORDERS.items())} FROM orders""",
         "missing_input": f"WITH {REPORT} SELECT colonne, total_lignes FROM report",
         "target_fallback": f'WITH {READ} SELECT ref_number AS original_value, count(*) AS "count" FROM read WHERE ref_number IS NOT NULL GROUP BY 1',
         "search_blank": f"WITH {REPORT} SELECT * FROM report",
-        "lookup_no_term": "SELECT CAST(0 AS bigint) AS matched_rows, CAST(0 AS double) AS value_sum",
-        "snapshot_scan": _snapshot(
-            {c: _ORDERS[c] for c in ("o_orderkey", "o_orderdate", "o_totalprice")}, "orders"
-        ),
+        "lookup_no_term": f"""SELECT count(*) AS questions, CAST(0 AS bigint) AS matched_rows, CAST(0 AS double) AS value_sum
+FROM ({_lookup_terms()}) WHERE term = ''""",
+        "snapshot_scan": _snapshot(_ORDERS, "orders"),
         "text_snapshot_orders": _snapshot(_ORDERS, "orders"),
         "text_snapshot_events": _snapshot(_EVENTS, "events"),
         "canonical_nulls": f"WITH {CLEAN} SELECT {numbered_key} AS key, {cols} FROM clean",
@@ -714,7 +725,7 @@ SELECT o AS original_value, {_ACCEPT} AS accepted, nv <> '' AND {_REVIEW} AS rev
         "cleaned_table": f"WITH {CLEANED} SELECT {numbered_key} AS key, {cols}, {TARGET}_clean FROM cleaned",
         "cleaned_from_saved": f"""WITH {MAPPING}, saved AS (SELECT original_value, min(CASE decision WHEN 'review' THEN NULL
     WHEN 'accepted' THEN suggested_group ELSE 'EDITED' END) AS label FROM variants GROUP BY 1)
-SELECT {numbered_key} AS key, {TARGET}, coalesce(label, {TARGET}) AS {TARGET}_clean
+SELECT {numbered_key} AS key, {cols}, coalesce(label, {TARGET}) AS {TARGET}_clean
 FROM read LEFT JOIN saved ON original_value = {TARGET}""",
         "changed_cells": f"WITH {CLEANED} SELECT count(*) FILTER (WHERE {TARGET} <> {TARGET}_clean) AS changed_cells FROM cleaned",
         "cleaning_execution": f"""WITH {CLEANED}
@@ -733,18 +744,16 @@ UNION ALL SELECT 'corrections_applied', count(*) FROM cleaned WHERE {TARGET} <>
 WHERE {contains(['original_value', 'normalized_value', 'suggested_group', 'similarity_score', '"count"', 'decision'], 'uqam')} GROUP BY decision""",
         "search_table": f"""WITH {READ} SELECT ref_number, recipient_legal_name, recipient_city FROM read
 WHERE {contains(['ref_number', 'recipient_legal_name', 'recipient_city'], 'nation_7')} ORDER BY row_number LIMIT 100""",
-        "top_rows": f"""WITH {READ} SELECT ref_number, foreign_currency_value FROM read
+        "search_snapshot": f"""WITH numbered AS (SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS bigint) AS row_number,
+  {', '.join(f"{sql} AS {name}" for name, sql in _ORDERS.items())} FROM orders)
+SELECT * FROM numbered WHERE contains(o_orderpriority, 'URGENT') ORDER BY row_number LIMIT 100""",
+        "top_rows": f"""WITH {READ} SELECT row_number AS key, {cols} FROM read
 ORDER BY CASE WHEN regexp_matches(foreign_currency_value, '{NUMBER}') THEN CAST(foreign_currency_value AS double) END DESC NULLS LAST, row_number LIMIT 20""",
         "raw_clean_preview": f"""WITH {CLEANED}, shifted_raw AS (SELECT * REPLACE ({numbered_key} AS row_number) FROM read),
 shifted AS (SELECT * REPLACE ({numbered_key} AS row_number) FROM cleaned)
 {_preview_side('raw', 'shifted_raw', raw_cols, raw_shown)} UNION ALL {_preview_side('clean', 'shifted', PREVIEW_COLUMNS, clean_shown)}""",
         "cleaned_sample": f"WITH {CLEANED} SELECT {', '.join(SAMPLE_COLUMNS)} FROM cleaned ORDER BY row_number LIMIT 20",
-        "lookup_terms": rf"""WITH q AS (SELECT conv_id, turn, {QUESTION_TEXT} AS question FROM conversations),
-found AS (SELECT *, trim(regexp_extract(question, '["'']([^"'']{{3,80}})["'']', 1)) AS quoted,
-  regexp_extract(question, '\b[A-Za-z0-9]+(?:[-/#][A-Za-z0-9]+){{2,}}\b') AS reference,
-  list_filter(regexp_extract_all(question, '\b[A-Z][A-Z0-9&.-]{{3,}}\b'), lambda t: t NOT IN {lits(NOT_LOOKUPS)}) AS acr FROM q)
-SELECT conv_id, turn, CASE WHEN quoted <> '' THEN quoted WHEN reference <> '' THEN reference
-  ELSE coalesce(list_filter(acr, lambda t: length(t) = list_max(list_transform(acr, lambda u: length(u))))[1], '') END AS term FROM found""",
+        "lookup_terms": _lookup_terms(),
         "lookup_totals": f"WITH {CLEANED} {_totals('cleaned', LOOKUP)}",
         "lookup_extremes": f"""WITH {READ}, odd AS (SELECT * REPLACE (CASE row_number % 7 WHEN 0 THEN '1e33' WHEN 1 THEN '1e40'
   WHEN 2 THEN '0.1234567890123' ELSE agreement_value END AS agreement_value) FROM read)
@@ -775,7 +784,7 @@ UNION ALL SELECT 'corrections_applied', count(*) FROM cleaned WHERE {TARGET} <>
 UNION ALL SELECT 'duplicate_rows_flagged', CAST(sum(n - 1) AS bigint) FROM groups
 UNION ALL SELECT 'corrections_review', count(*) FROM mapping WHERE status = 'review'""",
         "remediated_table": f"WITH {TREATED} SELECT * EXCLUDE (held) FROM treated WHERE NOT held",
-        "amendment_review": f"WITH {CLEAN} SELECT {numbered_key} AS key, ref_number, amendment_number, amendment_date FROM clean WHERE {_held}",
+        "amendment_review": f"WITH {CLEAN} SELECT {numbered_key} AS key, {cols} FROM clean WHERE {_held}",
         "remediation_checks": _checks(),
         "remediated_detected": f"WITH {TREATED} SELECT * EXCLUDE (held) FROM treated WHERE NOT held",
         "remediation_profile": _profile(),

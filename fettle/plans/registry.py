@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fettle.functions.alias import accept_alias, review_candidate
 from fettle.functions.nulls import canonical_null, null_to_empty
-from fettle.functions.rows import as_rows
+from fettle.functions.rows import as_rows, beside
 from fettle.functions.shapes import date_shape, exact_sum, numeric_shape, to_number
 from fettle.functions.text import collapse_segments, compact_text, normalize_text
 from fettle.functions.tokens import any_contains, lookup_term, token_set
@@ -101,15 +101,22 @@ def _duplicates(spark, sf, rules=dup.DEFAULT_RULES, ordered=True):
     return dup.duplicate_report(grants(spark, sf), rules, exclude=["row_number"], ordered=ordered)
 
 
+def _saved_variants(spark, sf):
+    """The variants report, written once for all that is made from it."""
+    return src.write_snapshot(_variants(read_grants(spark, sf)), work_path(spark, "variants"))
+
+
 def _reports(spark, sf):
-    """Name, rows and order of the four reports."""
-    found = _variants(read_grants(spark, sf))
-    return [
+    """Name, rows and order of the four reports, each written once."""
+    found = _saved_variants(spark, sf)
+    made = [
         ("missing_values", pr.missing_report(grants(spark, sf), ordered=False), ["colonne"]),
         ("duplicates", _duplicates(spark, sf, ordered=False), ["duplicate_type", "sample_row_number"]),
         ("organization_variants", found, ["original_value"]),
         ("entity_cleaning_mapping", mp.build_mapping(found), ["original_value"]),
     ]
+    saved = {name: src.write_snapshot(rows, work_path(spark, name)) for name, rows, _ in made if rows is not found}
+    return [(name, saved.get(name, rows), order) for name, rows, order in made]
 
 
 def _groups(view):
@@ -133,7 +140,7 @@ def row_numbers(spark, sf):
 @query
 def source_row_numbers(spark, sf):
     """Position of every row in a Parquet table, from the scan itself."""
-    return read_parquet_numbered(spark, f"{sf}/orders.parquet").select("row_number", "o_orderkey")
+    return read_parquet_numbered(spark, f"{sf}/orders.parquet")
 
 
 @query
@@ -154,6 +161,15 @@ def file_overview(spark, sf):
     return src.file_overview(table(spark, sf, "lineitem"))
 
 
+@query
+def files_overview(spark, sf):
+    """Files, rows and columns of orders in three files, and a fourth without rows."""
+    path, orders = work_path(spark, "orders-files"), table(spark, sf, "orders")
+    orders.repartition(3).write.parquet(path)
+    orders.limit(0).write.mode("append").parquet(path)
+    return src.files_overview(spark.read.parquet(path)).drop("bytes")
+
+
 @query
 def text_scan(spark, sf):
     """Write the grants view as CSV, read its columns back as text."""
@@ -168,7 +184,15 @@ def csv_row_numbers(spark, sf):
     path = work_path(spark, "orders-csv")
     text = src.to_text_snapshot(table(spark, sf, "orders").orderBy("o_orderkey"))
     src.write_report(text, path)
-    return read_csv_numbered(spark, path).select("row_number", "o_orderkey", "o_totalprice")
+    return read_csv_numbered(spark, path)
+
+
+@query
+def csv_line_breaks(spark, sf):
+    """Write whole texts, with their line breaks, as CSV; read the records back numbered."""
+    path = work_path(spark, "documents-csv")
+    src.write_report(table(spark, sf, "documents").orderBy("doc_id"), path)
+    return read_csv_numbered(spark, path)
 
 
 @query
@@ -191,7 +215,7 @@ def snapshot_scan(spark, sf):
     path = work_path(spark, "orders-text")
     text = src.to_text_snapshot(table(spark, sf, "orders"))
     src.write_snapshot(text, path)
-    return src.write_snapshot(text, path).select("o_orderkey", "o_orderdate", "o_totalprice")
+    return src.write_snapshot(text, path)
 
 
 @query
@@ -483,7 +507,7 @@ def cleaned_from_saved(spark, sf):
     saved = src.read_report(spark, path, found.schema)
     mapping = mp.build_mapping(saved, unique=False)
     clean = mp.apply_mapping(read, mapping, TARGET)
-    return clean.select(F.col("row_number").alias("key"), TARGET, f"{TARGET}_clean")
+    return clean.withColumnRenamed("row_number", "key")
 
 
 @query
@@ -550,27 +574,40 @@ def search_table(spark, sf):
     return se.search_table(read_grants(spark, sf), "NATION_7", cols, 100)
 
 
+@query
+def search_snapshot(spark, sf):
+    """First matches in a numbered snapshot: it is read from the start until there are enough."""
+    text = src.to_text_snapshot(read_parquet_numbered(spark, f"{sf}/orders.parquet"))
+    numbered = text.withColumn("row_number", F.col("row_number").cast("bigint"))
+    saved = src.write_snapshot(numbered, work_path(spark, "numbered"))
+    return se.search_table(saved, "URGENT", saved.columns, 100, numbered=True)
+
+
 @query
 def top_rows(spark, sf):
     """Rows with the largest foreign currency value, read as a number."""
     view = read_grants(spark, sf)
-    return se.top_rows(view, "foreign_currency_value", 20, order=["row_number"]).select(
-        "ref_number", "foreign_currency_value"
-    )
+    found = se.top_rows(view, "foreign_currency_value", 20, order=["row_number"])
+    return found.withColumnRenamed("row_number", "key")
 
 
 @query
 def raw_clean_preview(spark, sf):
     """The same search on the raw and the cleaned table, side by side."""
-    read = read_grants(spark, sf)
-    found = se.preview(read, _cleaned(read), TERM, PREVIEW_COLUMNS, 40)
-    return found.withColumnRenamed("row_number", "key")
+    read, mapping = read_grants(spark, sf), mp.build_mapping(_saved_variants(spark, sf))
+    # The labels with the term suffice to find the rows; the rows shown get all labels.
+    labels = mp.effective(mapping).where(any_contains([F.col("clean_value")], TERM))
+    found = se.preview(read, _cleaned_with(read, labels.withColumn("status", F.lit("accepted"))), TERM, PREVIEW_COLUMNS, 40)
+    shown = _cleaned_with(found.drop(f"{TARGET}_clean"), mapping)
+    clean = F.when(F.col("side") == "clean", F.col(f"{TARGET}_clean")).alias(f"{TARGET}_clean")
+    return shown.select(*[clean if c == f"{TARGET}_clean" else c for c in found.columns]).withColumnRenamed("row_number", "key")
 
 
 @query
 def cleaned_sample(spark, sf):
     """First rows of the cleaned table."""
-    return src.sample_rows(_cleaned(read_grants(spark, sf)), 20, "row_number", SAMPLE_COLUMNS)
+    read = read_grants(spark, sf)
+    return src.sample_rows(_cleaned_with(src.sample_rows(read, 20, "row_number"), _mapping(read)), 20, "row_number", SAMPLE_COLUMNS)
 
 
 # Evidence
@@ -604,8 +641,10 @@ def lookup_extremes(spark, sf):
 
 @query
 def lookup_no_term(spark, sf):
-    """Without a term nothing is matched."""
-    return ev.lookup_totals(read_grants(spark, sf), "")
+    """Questions without a term match nothing: how many there are, and their totals."""
+    asked = questions(spark, sf).where(lookup_term(F.col("question")) == "")
+    none = ev.lookup_totals(read_grants(spark, sf), "")
+    return beside(asked.agg(F.count(F.lit(1)).alias("questions")), none)
 
 
 @query
@@ -670,14 +709,20 @@ def value_profile(spark, sf):
 @query
 def budget_concat(spark, sf):
     """Texts joined in order until the character budget is used."""
-    return ev.budget_concat(table(spark, sf, "documents"), ["doc_id"])
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return ev.budget_concat(ev.enough_documents(docs, "doc_id", lambda part: part), ["doc_id"])
 
 
 @query
 def evidence_bundle(spark, sf):
     """Bounded text over all reports and texts, its sources, and the number of matching rows."""
-    sections = ev.split_sections(sectioned_documents(spark, sf), ["doc_id"], "content", "doc_id")
-    best = ev.top_sections(sections, ["doc_id"], REPORT_QUESTION, 2)
+    def best_of(docs):
+        sections = ev.split_sections(docs, ["doc_id"], "content", "doc_id")
+        return ev.top_sections(sections, ["doc_id"], REPORT_QUESTION, 2)
+
+    # Of the texts only as many are read, in order, as fill the budget.
+    docs = sectioned_documents(spark, sf)
+    best = best_of(ev.enough_documents(docs, "doc_id", lambda part: best_of(part).select(ev.section_text().alias("text"))))
     totals = ev.lookup_totals(read_grants(spark, sf), TERM)
     reports = _reports(spark, sf)
     figures = src.dataset_overview(grants(spark, sf))
@@ -700,8 +745,8 @@ def report_metrics(spark, sf):
 @query
 def final_summary(spark, sf):
     view = grants(spark, sf)
-    read = canonical_null(view, blanks=False)
-    return sm.final_summary(read, _groups(view), _mapping(read), TARGET)
+    mapping = mp.build_mapping(_saved_variants(spark, sf))
+    return sm.final_summary(canonical_null(view, blanks=False), _groups(view), mapping, TARGET)
 
 
 # Remediation
@@ -716,9 +761,7 @@ def remediated_table(spark, sf):
 @query
 def amendment_review(spark, sf):
     """Amendments without a date, held for a person."""
-    return rm.review_rows(grants(spark, sf)).select(
-        F.col("row_number").alias("key"), "ref_number", "amendment_number", "amendment_date"
-    )
+    return rm.review_rows(grants(spark, sf)).withColumnRenamed("row_number", "key")
 
 
 @query
