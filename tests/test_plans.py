@@ -177,3 +177,106 @@ def test_hot_spelling_group_is_split(spark):
             spark.conf.unset(key)
     assert len(rows) == 20_000 and len({r.suggested_group for r in rows}) == 1
     assert "skew=true" in final and "ReusedExchange" in final
+
+
+def rows_read(spark, make) -> int:
+    """Rows that all jobs of some steps read from files."""
+    group = f"rows-{id(make)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        make()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return sum(store.lastStageAttempt(s).inputRecords() for s in stages if tracker.getStageInfo(s))
+
+
+@pytest.fixture(scope="module")
+def numbered(spark, tmp_path_factory):
+    """A numbered table of forty files in order."""
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path_factory.mktemp("numbered") / "t")
+    rows = spark.range(1, 40_001).select(
+        F.col("id").alias("row_number"),
+        F.when(F.col("id") % 10 == 0, "common").when(F.col("id") == 39_000, "rare").otherwise("other").alias("name"),
+    )
+    rows.repartitionByRange(40, "row_number").sortWithinPartitions("row_number").write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("term, least, most", [("common", 10, 6_000), ("rare", 39_000, 90_000), ("none", 40_000, 90_000)])
+def test_search_stops_early(spark, numbered, monkeypatch, term, least, most):
+    from fettle.operators import evidence as ev
+    from fettle.operators import search as se
+
+    monkeypatch.setattr(se.enough_rows, "__defaults__", (1_000, 16, 3))
+    table, found = spark.read.parquet(numbered), []
+    read = rows_read(spark, lambda: found.extend(se.search_table(table, term, table.columns, 50, numbered=True).collect()))
+    assert found == se.search_table(table, term, table.columns, 50).collect()
+    assert least <= read <= most
+    rows = ev.lookup_rows(table, term, ["row_number", "name"], numbered=True).collect()
+    assert rows == ev.lookup_rows(table, term, ["row_number", "name"]).collect()
+
+
+def test_search_of_a_hot_range_and_an_empty_table(spark, numbered):
+    from fettle.operators import search as se
+
+    table = spark.read.parquet(numbered)
+    assert se.search_table(table.where("false"), "common", ["name"], 5, numbered=True).count() == 0
+    assert se.search_table(table, "common", ["name"], 0, numbered=True).count() == 0
+    assert se.search_table(table, " ", ["name"], 5, numbered=True).count() == 0
+
+
+def test_evidence_reads_texts_until_the_budget(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from fettle.operators import evidence as ev
+
+    path = str(tmp_path / "docs")
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 7 > 0, F.repeat(F.lit("word "), 100)).alias("text"))
+    docs.repartitionByRange(50, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    docs, found = spark.read.parquet(path), []
+    read = rows_read(spark, lambda: found.extend(ev.budget_concat(ev.enough_documents(docs, "doc_id", lambda d: d), ["doc_id"]).collect()))
+    assert found == ev.budget_concat(docs, ["doc_id"]).collect()
+    # The keys of all documents, twice, and the texts of a few files only.
+    assert read < 2.5 * 20_000
+    few = docs.where("doc_id < 20")
+    assert ev.enough_documents(few, "doc_id", lambda d: d).count() == 20
+    assert ev.enough_documents(docs.where("false"), "doc_id", lambda d: d).count() == 0
+
+
+@pytest.mark.parametrize("name", ["column_roles", "column_dtypes", "distinct_counts"])
+def test_rows_are_not_multiplied_in_width(spark, sf_dir, name):
+    plan = physical(QUERIES[name](spark, sf_dir))
+    assert "Expand" not in plan and order_scans(plan) == 1
+
+
+def test_cells_are_counted_before_the_shuffle(spark, sf_dir):
+    plan = physical(QUERIES["column_roles"](spark, sf_dir))
+    assert re.search(r"hashpartitioning\(ordinal#\d+, fact#\d+L, odd#\d+", plan) and "partial_count" in plan
+
+
+def test_summaries_read_saved_reports(spark, sf_dir):
+    assert order_scans(physical(QUERIES["final_summary"](spark, sf_dir))) <= 2
+    assert order_scans(physical(QUERIES["report_summary"](spark, sf_dir))) == 0
+
+
+def test_distinct_counts_of_all_kinds(spark):
+    from pyspark.sql import functions as F
+
+    from fettle.operators import variants as va
+
+    n = F.col("id")
+    df = spark.range(3000).select(
+        F.when(n % 3 == 0, "hot").otherwise(n.cast("string")).alias("a"),
+        F.when(n % 2 == 0, 0.0).otherwise(-0.0).alias("b"),
+        F.lit(None).cast("int").alias("c"),
+        F.array(n % 5).alias("d"),
+        (n % 7).cast("string").cast("binary").alias("a b"),
+    )
+    got = va.distinct_counts(df, df.columns).first()
+    assert tuple(got) == tuple(df.agg(*[F.count_distinct(f"`{c}`") for c in df.columns]).first()) == (2001, 1, 0, 5, 7)
+    assert tuple(va.distinct_counts(df.where("false"), ["a", "b"]).first()) == (0, 0)
