@@ -9,6 +9,7 @@ look like more of it are kept with it.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -56,26 +57,67 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "aler
 ARTICLE = {"article", "main"}
 WHOLE = {"html", "body", *ARTICLE}
 
+# A tag whose quotes do not end, up to the end of the page, ends with its first ">".
 TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.DOTALL
+    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|</?([a-zA-Z][^\s/>]*+)"
+    r"((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+(?:>|\Z)|[^>]*+(?:>|\Z))",
+    re.DOTALL,
 )
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+# Words of a name end at other characters, at digits and where the case changes.
+WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 SPACE = re.compile(r"\s+")
 
 LEAST_SCORED = 25
 SIBLING_PART = 0.2
+# Points go this many elements up; the last gets a hundredth of them.
+LEVELS = 34
 MENU_LINKS = 0.6
 SCHEMA = "page_id long, url string, text string"
 
 
+def attributes(text: str) -> dict[str, str]:
+    """Values by lower-case name; of several with one name the first counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
+def name_words(value: str) -> set[str]:
+    return {w.lower() for w in WORDS.findall(value)}
+
+
+def unwanted(tag: str, found: dict[str, str], inside: bool) -> bool:
+    """Whether an element is no article, by its tag, names, role or that it is not shown."""
+    if tag in NEVER or tag == "header" and not inside:
+        return True
+    if tag in WHOLE or not found:
+        return False
+    if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    if NO_DISPLAY.search(found.get("style", "")) or ROLES & set(found.get("role", "").lower().split()):
+        return True
+    words = name_words(found.get("class", "")) | name_words(found.get("id", ""))
+    return bool(words & BOILERPLATE - ({"header"} if inside else set()))
+
+
 class Page:
-    """Elements as rows (tag, parent, dropped) and blocks as (element, text, link characters)."""
+    """Elements as rows (tag, parent, dropped, ...) and blocks as (element, text, link characters).
+
+    Parents come before their children. What holds for an element and all in it is carried
+    down when it is opened, so a page takes time in proportion to its length.
+    """
 
     def __init__(self, html: str):
         self.tags, self.parents, self.dropped = ["#root"], [-1], [False]
+        # The nearest block around an element, and whether it is in an article.
+        self.holder, self.inside = [0], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self.open = [0]
+        # Places of the open elements of each tag.
+        self.places: dict[str, list[int]] = defaultdict(list)
         self.text: list[str] = []
         self.linked: list[str] = []
         self.breaks = 0
@@ -102,31 +144,32 @@ class Page:
             self.text.append(text := unescape(raw))
             if not text.isspace():
                 self.breaks = 0
-            if any(self.tags[n] == "a" for n in self.open[-4:]):
+            if self.places["a"]:
                 self.linked.append(text)
 
     def flush(self) -> None:
         """End a block: the text since the last border of a block element."""
         if text := SPACE.sub(" ", "".join(self.text)).strip():
-            holder = next(n for n in reversed(self.open) if self.tags[n] in BLOCKS or n == 0)
             if not self.dropped[self.open[-1]]:
-                self.blocks.append((holder, text, len(SPACE.sub(" ", "".join(self.linked)).strip())))
+                linked = len(SPACE.sub(" ", "".join(self.linked)).strip())
+                self.blocks.append((self.holder[self.open[-1]], text, linked))
         self.text, self.linked, self.breaks = [], [], 0
 
     def pop_to(self, place: int) -> None:
-        if any(self.tags[n] in BLOCKS for n in self.open[place:]):
+        gone = self.open[place:]
+        if any(self.tags[n] in BLOCKS for n in gone):
             self.flush()
+        for n in gone:
+            self.places[self.tags[n]].pop()
         del self.open[place:]
 
     def find(self, tags: list[str], until: list[str]) -> int | None:
-        for place in range(len(self.open) - 1, 0, -1):
-            if (tag := self.tags[self.open[place]]) in tags:
-                return place
-            if tag in until:
-                return None
-        return None
-
-    def start(self, tag: str, attributes: str) -> None:
+        """Place of the innermost open element with one of the tags, inside any of the others."""
+        place = max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
+        border = max((p[-1] for t in until if (p := self.places.get(t))), default=-1)
+        return place if place >= max(border, 0) else None
+
+    def start(self, tag: str, text: str) -> None:
         if tag == "br":
             self.breaks += 1
             if self.breaks > 1:
@@ -142,31 +185,17 @@ class Page:
             self.pop_to(place)
         if tag in VOID:
             return
-        above = self.open[-1]
-        inside = any(self.tags[n] in ARTICLE for n in self.open)
+        above, node = self.open[-1], len(self.tags)
+        drop = self.dropped[above] or unwanted(tag, attributes(text), self.inside[above])
+        if drop and not self.dropped[above]:
+            self.flush()
         self.tags.append(tag)
         self.parents.append(above)
-        self.dropped.append(self.dropped[above] or self.unwanted(tag, attributes, inside))
-        if self.dropped[-1] and not self.dropped[above]:
-            self.flush()
-        self.open.append(len(self.tags) - 1)
-
-    def unwanted(self, tag: str, attributes: str, inside: bool) -> bool:
-        if tag in NEVER or tag == "header" and not inside:
-            return True
-        if tag in WHOLE or not attributes:
-            return False
-        if HIDDEN.search(attributes):
-            return True
-        for name, *values in NAMES.findall(attributes):
-            value = "".join(values).lower()
-            words = set(re.split(r"[\s_-]+", value))
-            if name.lower() == "role":
-                if words & ROLES:
-                    return True
-            elif words & BOILERPLATE - ({"header"} if inside else set()):
-                return True
-        return False
+        self.dropped.append(drop)
+        self.holder.append(node if tag in BLOCKS else self.holder[above])
+        self.inside.append(self.inside[above] or tag in ARTICLE)
+        self.places[tag].append(len(self.open))
+        self.open.append(node)
 
     def close(self, tag: str) -> None:
         if tag == "p" and self.find(["p"], []) is None:
@@ -179,52 +208,50 @@ class Page:
                 self.flush()
             self.pop_to(place)
 
-    def above(self, node: int) -> Iterator[int]:
-        while node > 0:
-            yield node
-            node = self.parents[node]
-
     def article(self) -> list[str]:
         """Texts of the blocks of the article, in page order."""
+        every = range(len(self.tags))
         size, linked = [0] * len(self.tags), [0] * len(self.tags)
         score, links = [0.0] * len(self.tags), [0] * len(self.tags)
         for node, text, in_links in self.blocks:
-            for n in [*self.above(node), 0]:
-                size[n] += len(text)
-                linked[n] += in_links
-                links[n] += in_links > 0
+            size[node] += len(text)
+            linked[node] += in_links
+            links[node] += in_links > 0
             if len(text) < LEAST_SCORED:
                 continue
             points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - in_links / len(text))
-            first = self.parents[node] if self.tags[node] in PARAGRAPHS else node
-            for level, n in enumerate([*self.above(first)] or [0]):
-                score[n] += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-        for n in range(len(score)):
+            n = self.parents[node] if self.tags[node] in PARAGRAPHS else node
+            level = 0
+            while level < LEVELS and (n > 0 or level == 0):
+                score[max(n, 0)] += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
+                n, level = self.parents[n] if n > 0 else 0, level + 1
+        for n in reversed(every[1:]):
+            size[self.parents[n]] += size[n]
+            linked[self.parents[n]] += linked[n]
+            links[self.parents[n]] += links[n]
+        for n in every:
             if size[n]:
                 score[n] *= (1 - linked[n] / size[n]) * (1.5 if self.tags[n] in ARTICLE else 1)
-        best = max(range(len(score)), key=lambda n: (score[n], -n))
+        best = max(every, key=lambda n: (score[n], -n))
         if score[best] <= 0:  # nothing long enough to score
-            named = [n for n in range(len(score)) if self.tags[n] in ARTICLE and size[n] > linked[n]]
+            named = [n for n in every if self.tags[n] in ARTICLE and size[n] > linked[n]]
             best = named[0] if named else 0
-        kept = {best}
-        for n in range(1, len(score)):
-            if self.parents[n] == self.parents[best] and n != best and size[n]:
-                light = linked[n] / size[n] < 0.25
-                kept_p = self.tags[n] in PARAGRAPHS and light and size[n] > 80
-                heading = self.tags[n] in HEADINGS and light and n < best
-                if light and score[n] >= max(10, SIBLING_PART * score[best]) or kept_p or heading:
-                    kept.add(n)
-        menus = {
-            n
-            for n in range(len(score))
-            if self.tags[n] in ("ul", "ol", "dl", "table") and links[n] > 2 and linked[n] > MENU_LINKS * size[n]
-        }
-        out = []
-        for node, text, _ in self.blocks:
-            path = [*self.above(node), 0]
-            if not kept.isdisjoint(path) and menus.isdisjoint(path):
-                out.append(text)
-        return out
+        kept, menu = [False] * len(self.tags), [False] * len(self.tags)
+        for n in every:
+            above = self.parents[n]
+            kept[n] = n == best or n > 0 and (kept[above] or self.sibling(n, best, size, linked, score))
+            is_list = self.tags[n] in ("ul", "ol", "dl", "table")
+            menu[n] = is_list and links[n] > 2 and linked[n] > MENU_LINKS * size[n] or n > 0 and menu[above]
+        return [text for node, text, _ in self.blocks if kept[node] and not menu[node]]
+
+    def sibling(self, n: int, best: int, size: list[int], linked: list[int], score: list[float]) -> bool:
+        """Whether an element beside the best one is more of the article."""
+        if self.parents[n] != self.parents[best] or not size[n]:
+            return False
+        light = linked[n] / size[n] < 0.25
+        kept_p = self.tags[n] in PARAGRAPHS and light and size[n] > 80
+        heading = self.tags[n] in HEADINGS and light and n < best
+        return light and score[n] >= max(10, SIBLING_PART * score[best]) or kept_p or heading
 
 
 def main_text(html: str | None) -> str:
