@@ -89,12 +89,21 @@ def find(text: str) -> list[tuple[str, int, int]]:
         for m in pattern.finditer(text):
             if m.end(group) - m.start(group) >= least:
                 spans.append((kind, m.start(), m.end()))
-    base = list(spans)
+    taken = sorted((s, e) for _, s, e in spans)
+    first = 0
     for m in CANDIDATE.finditer(text):
-        for start, end in random_spans(m[0]):
-            start, end = m.start() + start, m.start() + end
-            if not any(s < end and start < e for _, s, e in base):
-                spans.append(("entropy", start, end))
+        if any(a.fullmatch(m[0]) for a in ALLOWED):
+            continue
+        while first < len(taken) and taken[first][1] <= m.start():
+            first += 1
+        # What fixed patterns have found is cut out; the rest is judged by itself.
+        at, place = m.start(), first
+        while at < m.end():
+            cut = place < len(taken) and taken[place][0] < m.end()
+            start, end = taken[place] if cut else (m.end(), m.end())
+            if start > at:
+                spans += [("entropy", at + s, at + e) for s, e in random_spans(text[at:start])]
+            at, place = max(at, end), place + 1
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -102,8 +111,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """Spans of every text: doc_id, kinds, starts, ends (code points, end exclusive).
 
     One row for each row of the input, in one pass without a shuffle; a null text counts as
-    empty. Columns other than doc_id and text are not read. An entropy span that overlaps
-    a span of a fixed pattern is left out, as it says nothing new.
+    empty. Columns other than doc_id and text are not read. Spans of fixed patterns are cut
+    out of a candidate before its entropy is judged, so no entropy span overlaps one, and a
+    random string next to one is found.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,6 +74,31 @@ def test_entropy_and_allowed():
     assert [s[0] for s in secrets.find("password=" + random_key)] == ["assign"]
 
 
+def test_random_string_beside_a_fixed_pattern():
+    """Only what the pattern covers is cut out of the candidate."""
+    key = "wJalrXUtnFEMI7K8MDENG3bPxRfiCYz9kQ2sTvLp"
+    access, run = "AKIA" + "Q7" * 8, "0a1b2c3d4e5f" * 3
+    for text in (f"{access}/{key}", f"{access}={key} x", f"{key}/{access}", f"{key}-{run}-{key}"):
+        found = secrets.find(text)
+        base = [s for s in found if s[0] != "entropy"]
+        held = {p for _, s, e in base for p in range(s, e)}
+        spans = [(s, e) for k, s, e in found if k == "entropy"]
+        assert spans and all(not held & set(range(s, e)) for s, e in spans)
+        assert sum(key in text[s : e + 1] or text[s:e].strip("/=-") in key for s, e in spans) == text.count(key)
+    assert [s[0] for s in secrets.find("password=" + key)] == ["assign"]
+    assert [s[0] for s in secrets.find(f"{access}/short")] == ["access"]
+
+
+def test_time_with_many_spans():
+    import time
+
+    text = ("AKIA" + "Q7" * 8 + "/") * 5_000 + " token=abcdef1234" * 5_000
+    text += " token=abcdef1234 QmxK7zP2vR9sT4wY6nB1cD3" * 20_000
+    start = time.process_time()
+    assert len(secrets.find(text)) >= 10_000
+    assert time.process_time() - start < 15
+
+
 def test_query(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] or "" for r in queries.documents(spark, sf_dir).collect()}
     rows = queries.op8_secret_scan(spark, sf_dir).collect()
