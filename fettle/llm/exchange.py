@@ -165,12 +165,14 @@ def ask(
     answer: Callable[[np.ndarray, np.ndarray], np.ndarray],
     bits: int,
     exact: bool = False,
+    each: bool = False,
 ) -> DataFrame:
     """Answers for each batch (batch, replies) about its hashes, as a written table.
 
     ``hashes`` gives the sorted distinct keys of a batch, cut by ``cut_key``, and a number
     for each; ``answer`` gets the first place of each key among all that came to a bucket
-    (sorted) and their numbers, and returns a small number for each key.
+    (sorted) and their numbers, and returns a small number for each key, or with ``each``
+    for each number.
     """
     kind = np.uint64 if exact else np.uint32
     low = 64 - bits if exact else 32
@@ -210,7 +212,8 @@ def ask(
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         said = answer(first, notes[order])
         replies = np.empty(len(flat), np.uint8)
-        replies[order] = np.repeat(said, np.diff(np.append(first, len(flat)))).astype(np.uint8)
+        said = said if each else np.repeat(said, np.diff(np.append(first, len(flat))))
+        replies[order] = said.astype(np.uint8)
         pack = zstandard.ZstdCompressor(level=1)
         parts = np.split(replies, np.cumsum(sizes)[:-1])
         answers = pa.array([pack.compress(p.tobytes()) for p in parts], pa.binary())

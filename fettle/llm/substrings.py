@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from fettle.llm import exchange as ex
 
 WINDOW = 35
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
 SCHEMA = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:int,`end`:int>>"
 
 
@@ -40,14 +41,31 @@ def _probes(words: np.ndarray, ends: np.ndarray, block: int, bits: int):
 
 
 def _candidates(words: np.ndarray, ends: np.ndarray, replies: np.ndarray, block: int, window: int, bits: int):
-    """Places of full windows with a hit inside, and their exact keys."""
+    """Places of full windows with a hit inside, their keys, and a second number of 31 bits.
+
+    The second one comes from other values of the words, so windows that agree in the key by
+    chance agree in it by another chance of one in 2^31.
+    """
     _, _, _, places, inverse = _probes(words, ends, block, bits)
     hits = np.zeros(len(words) + 1, np.int64)
     hits[places[replies[inverse] > 0] + 1] = 1
     hits = np.cumsum(hits)
     full, _ = ex.starts(ends, window)
     full = full[hits[full + window - block + 1] > hits[full]]
-    return full, ex.rolling(words, window)[full] if len(full) else np.empty(0, np.uint64)
+    if not len(full):
+        return full, np.empty(0, np.uint64), np.empty(0, np.uint64)
+    other = ex.rolling(ex.mixed(words ^ _SECOND), window)[full] >> np.uint64(33)
+    return full, ex.rolling(words, window)[full], other
+
+
+def _distinct(keys: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the distinct pairs, sorted, which pair each one is, and how often each comes."""
+    order = np.lexsort((other, keys))
+    new = np.ones(len(order), bool)
+    new[1:] = (keys[order][1:] != keys[order][:-1]) | (other[order][1:] != other[order][:-1])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which, np.diff(np.append(np.flatnonzero(new), len(order)))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, batch_bytes: int = ex.BATCH_BYTES) -> DataFrame:
@@ -59,8 +77,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, batch_bytes: int = ex.
     no words; equal rows repeat each other. Only doc_id and text are read. An empty table
     gives an empty result.
 
-    Windows are compared by 64-bit hashes: in a table of n repeated windows a wrong match
-    has a chance of n^2 / 2^65.
+    Windows are compared by 95 bits of two hashes: in a table of n repeated windows a wrong
+    match has a chance of n^2 / 2^96.
     """
     block = (window + 1) // 2
     batches = ex.batched(docs, batch_bytes)
@@ -78,20 +96,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, batch_bytes: int = ex.
 
     def fulls(row: dict) -> tuple[np.ndarray, np.ndarray]:
         words, ends = ex.word_hashes(_words(row))
-        _, keys = _candidates(words, ends, ex.replied(row["hits"]), block, window, bits)
-        return np.unique(keys, return_counts=True)
+        _, keys, other = _candidates(words, ends, ex.replied(row["hits"]), block, window, bits)
+        places, _, counts = _distinct(keys, other)
+        return keys[places], other[places].astype(np.uint32) | (counts > 1).astype(np.uint32) << 31
 
     def repeated(first: np.ndarray, notes: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(notes, first) > 1
+        """For each window whether it comes often in its batch, or in another one too."""
+        other = notes & 0x7FFFFFFF
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(notes))))
+        _, which, counts = _distinct(group, other)
+        return (counts[which] > 1) | (notes >> 31 > 0)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
             for row in part.to_pylist():
                 texts = _words(row)
                 words, ends = ex.word_hashes(texts)
-                places, keys = _candidates(words, ends, ex.replied(row["hits"]), block, window, bits)
-                inverse = np.unique(keys, return_inverse=True)[1]
-                places = places[ex.replied(row["repeats"])[inverse] > 0]
+                places, keys, other = _candidates(words, ends, ex.replied(row["hits"]), block, window, bits)
+                places = places[ex.replied(row["repeats"])[_distinct(keys, other)[1]] > 0]
                 cover = np.zeros(len(words) + window + 1, np.int32)
                 np.add.at(cover, places, 1)
                 np.add.at(cover, places + window, -1)
@@ -99,7 +121,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, batch_bytes: int = ex.
                 yield _result(row["ids"], texts, gone, ends)
 
     asked = ex.with_replies(batches, ex.ask(batches, probes, hit, bits), "hits")
-    full = ex.with_replies(asked, ex.ask(asked, fulls, repeated, bits, exact=True), "repeats")
+    full = ex.with_replies(asked, ex.ask(asked, fulls, repeated, bits, exact=True, each=True), "repeats")
     return full.mapInArrow(cut, SCHEMA)
 
 

@@ -46,6 +46,22 @@ def test_shared_passages(spark, window):
     assert result(substrings.remove_repeats(docs, window, batch_bytes=5_000)) == brute(rows, window)
 
 
+def test_windows_with_one_key_are_told_apart(spark):
+    """With keys that all agree only the second number tells windows apart."""
+    rows = [(1, "a b " + words(1, 60)), (2, words(2, 60)), (3, words(1, 60) + " c"), (4, words(3, 35)), (5, words(4, 90))]
+    texts = [[w.encode() for w in t.split()] for _, t in rows]
+    flat, ends = exchange.word_hashes(texts)
+    keys = np.zeros(len(flat), np.uint64)
+    places, _ = exchange.starts(ends, 35)
+    other = exchange.rolling(exchange.mixed(flat ^ substrings._SECOND), 35)[places] >> np.uint64(33)
+    _, which, counts = substrings._distinct(keys[places], other)
+    found = {int(p) for p in places[counts[which] > 1]}
+    want = Counter(tuple(t[k : k + 35]) for t in texts for k in range(len(t) - 34))
+    begins = [0, *ends[:-1].tolist()]
+    assert found == {b + k for t, b in zip(texts, begins) for k in range(len(t) - 34) if want[tuple(t[k : k + 35])] > 1}
+    assert result(substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows, 35)
+
+
 def test_spans(spark):
     rows = [(1, "a b " + words(1, 40)), (2, words(1, 40) + " c")]
     got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
