@@ -2,7 +2,9 @@
 
 Each language is a zstandard raw-content dictionary of sample text. A text is encoded once
 with every dictionary and takes the language of the smallest encoding; a narrow lead over
-the second means that no language fits well.
+the second means that no language fits well. Sizes are whole bytes, so short texts often
+tie: such a text is encoded again with each of ``PARTS`` parts of every dictionary, and the
+mean sizes decide.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ BLOCK = 2048
 # The sample of a language: so many documents and characters of each at most.
 SAMPLE_DOCS = 128
 SAMPLE_CHARS = 1024
+SAMPLE_SHARDS = 256
+# Parts of a dictionary that measure a tied text again, of so many bytes at least.
+PARTS = 16
+PART_BYTES = 64
 # Least lead of the smallest encoding, as a part of the second smallest.
 LEAST_LEAD = 0.005
 
@@ -46,8 +52,12 @@ def sample_dictionaries(
     # Texts are compared by what the sample would hold of them.
     rows = rows.select("lang", F.substring("text", 1, sample_chars).alias("part"))
     rows = rows.withColumn("order", F.xxhash64("part")).groupBy("lang", "order").agg(F.first("part").alias("part"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    rows = rows.withColumn("rank", rank).where(F.col("rank") <= sample_docs)
+    # Every task hands on sample_docs rows of a language at most, and so does every shard, so
+    # the task that sees a whole language has a bounded number of rows.
+    rows = rows.withColumn("shard", F.pmod("order", F.lit(SAMPLE_SHARDS)))
+    for keys in (["lang", "shard"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("order"))
+        rows = rows.withColumn("rank", rank).where(F.col("rank") <= sample_docs)
     parts: dict[str, list[tuple[int, str]]] = {}
     for r in rows.select("lang", "order", "part").collect():
         parts.setdefault(r["lang"], []).append((r["order"], r["part"]))
@@ -63,23 +73,38 @@ class Encoders:
     """Encoded sizes of texts by language."""
 
     def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL):
-        import zstandard
-
         self.names = list(dictionaries)
-        self.all = []
-        for name in self.names:
-            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=level)
-            self.all.append(
-                zstandard.ZstdCompressor(
-                    level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
-                )
-            )
-
-    def sizes(self, text: str) -> list[int]:
+        self.all = [_encoder(d, level) for d in dictionaries.values()]
+        parts = max(1, min([PARTS, *(len(d) // PART_BYTES for d in dictionaries.values())]))
+        self.parts = [[_encoder(p, level) for p in _cut(d, parts)] for d in dictionaries.values()]
+
+    def sizes(self, text: str) -> list[float]:
         raw = letters(text)
         blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
-        return [sum(len(e.compress(b)) for b in blocks) for e in self.all]
+        whole = [_size([e], blocks) for e in self.all]
+        if len(whole) > 1 and whole.count(min(whole)) > 1:
+            return [_size(parts, blocks) for parts in self.parts]
+        return whole
+
+
+def _encoder(dictionary: bytes, level: int):
+    import zstandard
+
+    content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    content.precompute_compress(level=level)
+    return zstandard.ZstdCompressor(
+        level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
+    )
+
+
+def _cut(dictionary: bytes, parts: int) -> list[bytes]:
+    borders = [len(dictionary) * i // parts for i in range(parts + 1)]
+    return [dictionary[a:b] for a, b in zip(borders, borders[1:])]
+
+
+def _size(encoders: list, blocks: list[bytes]) -> float:
+    """Mean size of all blocks over some encoders."""
+    return sum(len(e.compress(b)) for e in encoders for b in blocks) / len(encoders)
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float = LEAST_LEAD) -> DataFrame:
@@ -89,8 +114,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float
     The score is the lead of the smallest encoding over the second smallest, as a part of
     the second; a document with a lead under ``least_lead`` is not accepted. Without a
     letter, or where there is no dictionary, the language is ``und`` with score 0, not
-    accepted. With a single dictionary the second size is that of the text itself. Ties go
-    to the first language by name. Repeated rows stay as they are.
+    accepted. With a single dictionary the second size is that of the text itself. A text that
+    ties is measured again by parts of the dictionaries; what ties then too goes to the first
+    language by name, with score 0. Repeated rows stay as they are.
     """
     docs = docs.drop(*FOUND.names)
     names, kept = list(dictionaries), docs.columns
@@ -119,5 +145,5 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], least_lead: float
 
 
 def held_out(doc_id):
-    """Whether a document is kept from learning."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    """Whether a document is kept from learning; one without an id is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

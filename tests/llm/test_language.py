@@ -41,3 +41,26 @@ def test_narrow_leads_are_rejected(spark):
     docs = spark.createDataFrame([(1, "zq xv " * 40), (2, "the of and that for it was on the of and")], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in language.identify(docs, learnt).collect()}
     assert not rows[1]["accepted"] and rows[2]["accepted"] and rows[2]["lang_pred"] == "en"
+
+
+def test_short_texts_tie_less_often(spark, sf_dir):
+    """Of labelled texts under 60 characters that tie by whole bytes, most are told apart by parts."""
+    docs = queries.documents(spark, sf_dir)
+    encoders = language.Encoders(language.sample_dictionaries(docs))
+    rows = [(t[at : at + 30], r["lang"]) for r in docs.where("lang is not null").collect() if (t := r["text"] or "")
+            for at in range(0, min(len(t), 600), 30) if t[at : at + 30].strip()]
+    tied = right = found = 0
+    for text, lang in rows:
+        blocks = [language.letters(text)]
+        whole = [language._size([e], blocks) for e in encoders.all]
+        if whole.count(min(whole)) > 1:
+            sizes = encoders.sizes(text)
+            tied += 1
+            found += sizes.count(min(sizes)) == 1
+            right += sizes.count(min(sizes)) == 1 and encoders.names[sizes.index(min(sizes))] == lang
+    assert tied > 50 and found > 0.5 * tied and right > 0.8 * found
+
+
+def test_documents_without_an_id_are_learnt_from(spark):
+    docs = spark.createDataFrame([(None,), (1,)], "doc_id long")
+    assert all(r[0] is not None for r in docs.select(language.held_out(docs.doc_id)).collect())
