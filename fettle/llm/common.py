@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 
 from fettle.plans.session import work_path
 
-# Rows of one group are ranked in this many independent blocks, so that a hot group is
-# spread over many tasks. The table of block sizes has at most this many rows a group.
-RANK_BLOCKS = 1024
+# Rows of one group are ranked in independent blocks, so that a hot group is spread over many
+# tasks: 2 ** RANK_BITS at least, and so many that a block has RANK_ROWS rows on average if all
+# rows are of one group.
+RANK_BITS = 10
+RANK_ROWS = 1 << 18
 
 
 _KEPT: dict[str, Any] = {}
@@ -62,17 +65,26 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rank_bits(rows: int) -> int:
+    """log2 of the number of rank blocks for a table of so many rows."""
+    return max(RANK_BITS, math.ceil(math.log2(max(1, rows / RANK_ROWS))))
+
+
 def with_rank(df: DataFrame, group: str, order: list[str], name: str, blocks: Column | None = None) -> DataFrame:
     """Add a gapless 0-based rank inside each group, whatever the size of the group.
 
-    Rows of a group are dealt over blocks by a hash, ranked inside each block and moved
-    by the number of rows in the blocks before. Rows that are equal in all of ``order``
-    get different ranks. The input is read twice. With ``blocks``, numbers that never fall
-    along ``order``, these are the blocks, and ranks follow ``order`` over the whole group.
+    Ranks follow a hash of ``order``. Rows of a group are dealt over blocks by its first bits,
+    ranked inside each block and moved by the number of rows in the blocks before; the number
+    of blocks grows with the table and has no effect on the ranks. Rows that are equal in all
+    of ``order`` get different ranks. The input is counted, and read twice. With ``blocks``,
+    numbers that never fall along ``order``, these are the blocks, and ranks follow ``order``
+    over the whole group.
     """
+    rows = df
     if blocks is None:
-        blocks = F.pmod(F.xxhash64(*order), F.lit(RANK_BLOCKS)).cast("int")
-    rows = df.withColumn("_block", blocks)
+        rows = rows.withColumn("_hash", F.xxhash64(*order))
+        blocks, order = F.shiftright("_hash", 64 - rank_bits(df.count())), ["_hash", *order]
+    rows = rows.withColumn("_block", blocks)
     sizes = rows.groupBy(group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -84,5 +96,5 @@ def with_rank(df: DataFrame, group: str, order: list[str], name: str, blocks: Co
     return (
         rows.join(starts, (F.col(group) == F.col("_of")) & (F.col("_block") == F.col("_in")))
         .withColumn(name, F.col("_start") + inside)
-        .drop("_block", "_of", "_in", "_start")
+        .drop("_hash", "_block", "_of", "_in", "_start")
     )

@@ -8,6 +8,9 @@ works out its hashes again when it reads the answers, so no positions travel.
 
 The shuffle moves two to three bytes a distinct hash of a batch (or eight for exact ones),
 and a hash that is everywhere comes once from each batch, so no bucket is hot.
+
+Every batch has a row for every bucket. With sizes of their own, batches and buckets both grow
+with the root of the text, so that the rows stay in proportion to it (``sizes_for``).
 """
 
 from __future__ import annotations
@@ -24,17 +27,35 @@ from pyspark.sql import functions as F
 
 from fettle.llm.common import stored, worker_cache
 
-# Bytes of text in a batch (a longer text is a batch alone) and, on average, in a bucket.
+# Bytes of text in a batch (a longer text is a batch alone) and, on average, in a bucket: so
+# many at least, and so many that a row of the exchange stands for ROW_BYTES.
 BATCH_BYTES = 4_000_000
 BUCKET_BYTES = 8_000_000
+ROW_BYTES = 1_000
 # Words whose hashes a worker keeps.
 CACHED_WORDS = 200_000
 
 BATCHES = "batch long, ids array<long>, sizes array<int>, bytes long, texts binary"
 
 
+def sizes_for(
+    total: int, batch_bytes: int = BATCH_BYTES, bucket_bytes: int = BUCKET_BYTES, row_bytes: int = ROW_BYTES
+) -> tuple[int, int]:
+    """Bytes of a batch and of a bucket for so many bytes of text.
+
+    There are total / batch * total / bucket rows, so with the least sizes they would grow with
+    the square of the text. From total / row_bytes rows on both sizes grow with its root.
+    """
+    grow = max(1.0, math.sqrt(total * row_bytes / (batch_bytes * bucket_bytes)))
+    return math.ceil(batch_bytes * grow), math.ceil(bucket_bytes * grow)
+
+
 def batched(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """A written table of batches; a null text has size -1, so it is told from an empty one."""
+    """A written table of batches of ``batch_bytes``, or larger ones for much text (``sizes_for``).
+
+    A null text has size -1, so it is told from an empty one.
+    """
+    batch_bytes, _ = sizes_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, batch_bytes)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
@@ -136,8 +157,9 @@ def starts(ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_bits(batches: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """log2 of the number of buckets for all batches."""
+    """log2 of the number of buckets of ``bucket_bytes``, or larger ones for much text, for all batches."""
     total = batches.agg(F.sum("bytes")).first()[0] or 0
+    _, bucket_bytes = sizes_for(total, bucket_bytes=bucket_bytes)
     least = int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(4, math.ceil(math.log2(max(total / bucket_bytes, least))))
 
