@@ -27,6 +27,8 @@ FRAME = 4096
 UNITS = 1 << 40
 PLACES = ["slot", "epoch", "release", "deadline"]
 TEMPERATURE = 0.7
+# A block's window has 1 / weight slots, and the driver works out one window at a time.
+LEAST_WEIGHT = 2**-20
 # The blocks of a pool are ranked in this many parts of its time at most.
 POOL_PARTS = 8192
 
@@ -161,7 +163,8 @@ def mix(
     and those without any name in it, are pooled as one with their weights summed; inside
     the pool each keeps its share (``Pool``), by size where weights are given. A row of the
     pool has the release and deadline of the pool's block. Null is a source like any other.
-    A given weight of less than one slot of a frame counts as one.
+    Given weights are held however small they are, so a large source of small weight makes the
+    mix long; one below ``LEAST_WEIGHT`` of their sum is an error.
 
     The schedule runs until every document had a slot. Sources that end earlier start over,
     in a later epoch, so the result has every document at least once and holds the weights
@@ -198,8 +201,9 @@ def mix(
             target["*"] = max(1.0 - sum(weights.values()), min(weights.values(), default=1.0))
     target = {k: target[k] for k in sizes if k in target}
     if weights is not None:
-        least = sum(target.values()) / frame
-        target = {k: max(least, w) for k, w in target.items()}
+        least = sum(target.values()) * LEAST_WEIGHT
+        if low := sorted(k for k, w in target.items() if w < least):
+            raise ValueError(f"weights below {LEAST_WEIGHT} of their sum: {low}")
     shares = whole_shares(target, UNITS)
     frame = max(frame, len(shares))
     # The block that ends last is in a frame between the last release and the last deadline.

@@ -1,6 +1,7 @@
 from collections import Counter
 from fractions import Fraction
 
+import pytest
 from helpers import awkward, empty
 
 from fettle.llm import mixing
@@ -77,12 +78,24 @@ def test_hot_source_by_temperature(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(2100)]
     docs = spark.createDataFrame(rows, "doc_id long, source string")
     sizes = Counter(s for _, s in rows)
-    shares = mixing.whole_shares({f"={k}": n**0.7 for k, n in sizes.items()})
-    out = mixing.mix(docs).collect()
-    check(out, 2100, {k: Fraction(shares[f"={k}"], 4096) for k in sizes})
+    total = sum(n**0.7 for n in sizes.values())
+    out = mixing.mix(docs, frame=128).collect()
+    check(out, 2100, {k: Fraction(n**0.7 / total) for k, n in sizes.items()})
     assert len(out) < 2 * 2100
 
 
+def test_small_weights_are_held(spark):
+    """A weight far below a slot of a frame: 3 documents of 2,003 slots each, over many frames."""
+    rows = [(i, "small" if i < 3 else "big") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {"big": 2002 / 2003, "small": 1 / 2003}
+    out = mixing.mix(docs, weights, frame=64).collect()
+    check(out, 1000, {k: Fraction(w) for k, w in weights.items()})
+    assert 2 * 2003 < len(out) <= 3 * 2003 and sum(r["source"] == "small" for r in out) == 3
+    with pytest.raises(ValueError, match="small"):
+        mixing.mix(docs, {"big": 1.0, "small": 1e-7})
+
+
 def test_unlisted_sources_are_pooled(spark):
     rows = [(i, ["a", "b", "c", None][i % 4]) for i in range(400)]
     out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), {"a": 0.25, "zz": 0.5}).collect()
