@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from fettle.sources.records import csv_reader, read_csv_table
 # Any 64-bit key then needs at most 2^22 groups, so no window sees more than 2^22 rows.
 _BLOCK_BITS = 20
 _GROUP_BITS = 42
+_PARTS = 4096
 
 
 def _before(order: list[str], partition: list[str] | None = None):
@@ -59,15 +60,27 @@ def with_row_number(df: DataFrame, key: str, name: str = "row_number") -> DataFr
     )
 
 
-def _shift_by_unit(rows: DataFrame, sizes: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``_offset``: the number of rows in all earlier files or splits.
+def _shift_of(unit: Column, sizes: DataFrame, order: list[str], first: Column | int = 0) -> Column:
+    """The number of rows in all earlier files or splits, less ``first``, by the unit of a row.
 
-    There is a row of two numbers for each, which the optimiser broadcasts within its size
-    limit; beyond it the table is joined by unit, and large units are split at run time.
+    There is a row of two numbers for each file, fewer bytes than the listing that the driver
+    holds to plan the scan. They reach the tasks as the one value of a subquery: the optimiser
+    takes a count by file to be as large as a part of the table, and would join by unit, which
+    moves all rows of a file to one task. The pairs are dealt over _PARTS maps, as a look into a
+    map takes time by its size.
     """
-    totals = _running_total(sizes, "_rows", "_offset", order).drop("_rows")
-    offsets = totals.select(F.col("_unit").alias("_of"), *[c for c in totals.columns if c not in ("_unit", *order)])
-    return rows.join(offsets, F.col("_unit") == F.col("_of")).drop("_of")
+    part, first = F.pmod(F.col("_unit"), F.lit(_PARTS)), first if isinstance(first, Column) else F.lit(first)
+    totals = _running_total(sizes, "_rows", "_offset", order).withColumn("_shift", F.col("_offset") - first)
+    maps = totals.groupBy(part.alias("_part")).agg(_as_map("_unit", "_shift").alias("_map"))
+    dealt = F.transform(F.sequence(F.lit(0), F.lit(_PARTS - 1)), lambda p: F.col("_maps")[p.cast("long")])
+    found = maps.agg(_as_map("_part", "_map").alias("_maps")).select(dealt.alias("_dealt")).scalar()
+    moved = F.raise_error(F.lit("the files changed while they were read")).cast("bigint")
+    # A shift is never null, and the optimiser is to know it.
+    return F.coalesce(found[F.pmod(unit, F.lit(_PARTS)).cast("int")][unit], moved, F.lit(0).cast("bigint"))
+
+
+def _as_map(key: str, value: str) -> Column:
+    return F.map_from_entries(F.collect_list(F.struct(key, value)))
 
 
 def read_parquet_numbered(spark: SparkSession, path: str, name: str = "row_number") -> DataFrame:
@@ -81,13 +94,12 @@ def read_parquet_numbered(spark: SparkSession, path: str, name: str = "row_numbe
 def number_scan(scan: DataFrame, name: str = "row_number") -> DataFrame:
     """The same for a Parquet scan at hand."""
     file = F.col("_metadata.file_path")
-    rows = scan.select("*", F.xxhash64(file).alias("_unit"), F.col("_metadata.row_index").alias("_index"))
     # The metadata of a file is constant, so counting reads no column.
     sizes = scan.groupBy(file.alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = sizes.withColumn("_unit", F.xxhash64("_file"))
-    shifted = _shift_by_unit(rows, sizes, ["_file"])
-    number = (F.col("_offset") + F.col("_index") + 1).alias(name)
-    return shifted.select(number, *[F.col(f"`{c}`") for c in scan.columns])
+    shift = _shift_of(F.xxhash64(file), sizes, ["_file"])
+    number = (shift + F.col("_metadata.row_index") + 1).alias(name)
+    return scan.select(number, *[F.col(f"`{c}`") for c in scan.columns])
 
 
 def read_csv_numbered(
@@ -103,11 +115,9 @@ def read_csv_numbered(
         return read_csv_table(spark, path, name)
     scan = csv_reader(spark, True).csv(path)
     file, begin = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
-    unit = F.xxhash64(file, begin).alias("_unit")
-    rows = scan.select("*", unit, F.monotonically_increasing_id().alias("_id"))
     first = scan.select(file.alias("_file"), begin.alias("_start"), F.monotonically_increasing_id().alias("_id"))
     sizes = first.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
     sizes = sizes.withColumn("_unit", F.xxhash64("_file", "_start"))
-    shifted = _shift_by_unit(rows, sizes, ["_file", "_start"])
-    number = (F.col("_offset") + F.col("_id") - F.col("_first") + 1).alias(name)
-    return shifted.select(number, *[F.col(f"`{c}`") for c in scan.columns])
+    shift = _shift_of(F.xxhash64(file, begin), sizes, ["_file", "_start"], F.col("_first"))
+    number = (shift + F.monotonically_increasing_id() + 1).alias(name)
+    return scan.select(number, *[F.col(f"`{c}`") for c in scan.columns])

@@ -88,6 +88,23 @@ def test_parquet_row_numbers_follow_files(spark, tmp_path):
     assert sorted((r.row_number, r.id) for r in rows) == [(i + 1, i) for i in range(1000)]
 
 
+def test_row_numbers_of_a_large_scan_move_no_rows(spark, tmp_path):
+    """All rows of a file went to one task where the table was beyond the size of a broadcast."""
+    path = str(tmp_path / "t")
+    rows = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows.repartitionByRange(2, "id").sortWithinPartitions("id").write.parquet(path)
+    assert sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path)) > 1_000_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        df = read_parquet_numbered(spark, path)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = df.agg(F.count(F.lit(1)), F.count_if(F.col("row_number") == F.col("id") + 1)).first()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "hashpartitioning(_unit" not in plan
+    assert tuple(found) == (40_000, 40_000)
+
+
 @pytest.mark.parametrize("multi_line", [True, False])
 def test_csv_row_numbers_follow_splits(spark, tmp_path, multi_line):
     folder = tmp_path / "t"
