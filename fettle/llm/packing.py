@@ -84,40 +84,35 @@ class WordIds(dict):
             letters = letters.encode().decode("latin-1").translate(self.letters_of)
         return b"".join([self.bytes_of[t.id] for t in self.tokenizer.model.tokenize(letters)])
 
-    def learn(self, words: set[str]) -> None:
-        for word in words:
-            low = word.lower()
-            stem = low.rstrip(punctuation)
-            # Python's lower case differs from the tokenizer's, letter by letter, in a final sigma.
-            plain = stem.isascii() or is_normalized("NFC", word) and is_normalized("NFC", low) and "\u03a3" not in word
-            if not (plain and stem.isalpha()):
-                self[word] = self.whole(word)
-                continue
-            ids = self.get(stem)
-            if ids is None:
-                ids = self[stem] = self.run(stem)
-            mark = low[len(stem) :]
-            if mark not in self.marks:
-                if len(self.marks) > CACHED_WORDS:
-                    self.marks = {"": b""}
-                self.marks[mark] = self.whole(mark)
-            self[word] = ids + self.marks[mark]
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        low = word.lower()
+        stem = low.rstrip(punctuation)
+        # Python's lower case differs from the tokenizer's, letter by letter, in a final sigma.
+        plain = stem.isascii() or is_normalized("NFC", word) and is_normalized("NFC", low) and "\u03a3" not in word
+        if not (plain and stem.isalpha()):
+            ids = self[word] = self.whole(word)
+            return ids
+        ids = self.get(stem)
+        if ids is None:
+            ids = self[stem] = self.run(stem)
+        mark = low[len(stem) :]
+        if mark not in self.marks:
+            if len(self.marks) > CACHED_WORDS:
+                self.marks = {"": b""}
+            self.marks[mark] = self.whole(mark)
+        ids = self[word] = ids + self.marks[mark]
+        return ids
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         # Special tokens match across word ends; four control marks split Python's words only.
         odd = ["<|" in t or any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
-        words = set().union(*split)
-        new = words - self.keys()
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = words
-        self.learn(new)
         get = self.__getitem__
         return [
-            self.whole(t) if o else b"".join(map(get, ws))
-            for t, o, ws in zip(texts, odd, split, strict=True)
+            self.whole(t) if o else b"".join(map(get, t.split()))
+            for t, o in zip(texts, odd, strict=True)
         ]
 
 

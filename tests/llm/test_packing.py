@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -97,3 +98,18 @@ def test_best_fit_keeps_all():
 def test_word_ids_equal_the_tokenizer(text):
     known = packing._word_ids(PATH)
     assert np.frombuffer(known.texts([text, "<|endoftext|>" + text])[0], "<u4").tolist() == whole_ids(text)[:-1]
+
+
+def test_words_of_one_text_are_held_at_a_time(monkeypatch):
+    """The words of all texts were held, and a set of them made, before any was looked up."""
+    texts = [" ".join(f"word{(i * 7 + j) % 5000}" for j in range(400)) for i in range(500)]
+    known = packing.WordIds(PATH)
+    ids = known.texts(texts)
+    tracemalloc.start()
+    again = known.texts(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert again == ids and peak < 2 * sum(map(len, ids))
+    # A worker that starts afresh in the middle of a text gives the same ids.
+    monkeypatch.setattr(packing, "CACHED_WORDS", 100)
+    assert packing.WordIds(PATH).texts(texts[:20]) == ids[:20]
