@@ -24,7 +24,7 @@ from fettle.operators import summary as sm
 from fettle.operators import variants as va
 from fettle.plans.grants import COLUMNS, grants, numbered_grants, table
 from fettle.operators.policies import DEFAULT_POLICY, POLICIES
-from fettle.plans.session import work_path
+from fettle.plans.session import tune, work_path
 from fettle.plans.views import (
     COPY_OFFSET,
     documents_with_figures,
@@ -65,7 +65,8 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = lambda spark, sf_dir: fn(spark, sf_dir.rstrip("/"))
+    # The view is wide: in a session as it comes, its generated code would never be compiled.
+    _QUERIES[fn.__name__] = lambda spark, sf_dir: fn(tune(spark), sf_dir.rstrip("/"))
     return fn
 
 

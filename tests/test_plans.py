@@ -5,6 +5,7 @@ import re
 import pytest
 
 from fettle.plans.registry import queries
+from fettle.plans.session import tune
 
 QUERIES = queries()
 WIDE = [n for n in QUERIES if n not in ("text_scan", "snapshot_scan", "evidence_bundle")]
@@ -30,6 +31,18 @@ def test_no_cross_joins_and_no_python(spark, sf_dir, name):
         assert bad not in plan
 
 
+def test_queries_hold_in_a_session_as_it_comes(spark, sf_dir):
+    """The code generated for the wide view was too large to be compiled: four to ten times slower."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        for name in ("canonical_nulls", "dup_total", "remediated_table"):
+            spark.conf.set(limit, "65535")
+            QUERIES[name](spark, sf_dir)
+            assert spark.conf.get(limit) == "8000"
+    finally:
+        tune(spark)
+
+
 def test_missing_report_is_one_scan_and_one_row_exchange(spark, sf_dir):
     plan = physical(QUERIES["missing_report"](spark, sf_dir))
     assert order_scans(plan) == 1
