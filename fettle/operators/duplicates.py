@@ -69,18 +69,27 @@ def duplicate_groups(
     # Each part is trimmed once per row, whatever the number of rules that use it.
     cells = [F.col(row_number).alias("_row"), *stripped_cells(used, "_key_")]
     if any(not r.parts for r in usable):
-        cells.append(row_key(c for c in df.columns if c not in skip).alias("_whole"))
+        # Half as long as its text, which only the groups shown need.
+        cells.append(F.unhex(row_key(c for c in df.columns if c not in skip)).alias("_whole"))
+    # The keys of a task are held in memory until it ends: the rule is a number in them.
     keys = [
-        (F.lit(r.name), compound_key(r.parts, "_key_") if r.parts else F.col("_whole"))
-        for r in usable
+        (F.lit(i), compound_key(r.parts, "_key_").cast("binary") if r.parts else F.col("_whole"))
+        for i, r in enumerate(usable)
     ]
+    names = F.lit(None).cast("string")
+    text = F.col("_key").cast("string")
+    for i, r in enumerate(usable):
+        names = F.when(F.col("_rule") == i, F.lit(r.name)).otherwise(names)
+        if not r.parts:
+            text = F.when(F.col("_rule") == i, F.lower(F.hex("_key"))).otherwise(text)
     return (
         df.select(*cells)
-        .select("_row", as_rows(["duplicate_type", "duplicate_key"], keys))
-        .where(F.col("duplicate_key").isNotNull())
-        .groupBy("duplicate_type", "duplicate_key")
+        .select("_row", as_rows(["_rule", "_key"], keys))
+        .where(F.col("_key").isNotNull())
+        .groupBy("_rule", "_key")
         .agg(F.count(F.lit(1)).alias("duplicate_count"), F.min("_row").alias("sample_row_number"))
         .where(F.col("duplicate_count") > 1)
+        .select(names.alias("duplicate_type"), text.alias("duplicate_key"), "duplicate_count", "sample_row_number")
     )
 
 

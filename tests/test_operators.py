@@ -135,6 +135,20 @@ def test_duplicates_against_brute_force(spark):
     assert found == {"ref_number", "org_date_value"}
 
 
+def test_duplicate_keys_are_short_until_they_are_shown(spark):
+    """Tasks hold all their keys: they had the name of the rule and a digest as 64 letters."""
+    import hashlib
+
+    df = spark.createDataFrame([(1, "é|", 7), (2, "é|", 7), (3, " ", 8)], "row_number long, a string, b int")
+    rule = dup.KeyRule("pair", (("a", "a"), ("b", "b")))
+    found = dup.duplicate_groups(df, [rule, dup.EXACT_ROW], exclude=["row_number"])
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate [_rule" in plan and "unhex" in plan and "as binary" in plan
+    whole = hashlib.sha256("3:é|1:7".encode()).hexdigest()
+    assert {tuple(r) for r in found.collect()} == {("pair", "a=é||b=7", 2, 1), ("exact_row", whole, 2, 1)}
+    assert found.schema["duplicate_key"].dataType.simpleString() == "string"
+
+
 def test_summary_of_published_counts(spark):
     rows = [("org_city_postal", "94895"), ("org_date_value", "4553"), ("org_date_value", "x"), ("ref_number", None)]
     report = spark.createDataFrame(rows, "duplicate_type string, duplicate_count string")
