@@ -28,6 +28,9 @@ ROUNDS = 20
 # A paragraph is a line, or of a longer one a run of at least so many characters that ends
 # with a sentence.
 PARAGRAPH = 120
+# Pairs go to larger tables in parts of so many paragraphs of the table at most, on average. A
+# paragraph is in four cells of each table that it is in, so a part has millions of cells.
+PART = 1 << 17
 
 
 def digests(text: Column, least: int = PARAGRAPH) -> Column:
@@ -194,35 +197,50 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def _peel_rows(pairs: DataFrame, seed: int) -> DataFrame:
-    """(key, copy, kind, found) of the pairs (key, copy, kind, one, other, cells) that get empty."""
+def _parts(docs: DataFrame) -> int:
+    """Number of parts of pairs: by lines and bytes, as a long line has many paragraphs."""
+    size = F.octet_length("text")
+    lines = size - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    most = lines + size / PARAGRAPH
+    most = docs.agg(F.sum(most)).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, round(most / PART))
+
+
+def _peel_rows(pairs: DataFrame, seed: int, parts: int = 8) -> DataFrame:
+    """(key, copy, kind, found) of the pairs (key, copy, kind, one, other, cells) that get empty.
+
+    The pairs are dealt anew, so that their cells are not in memory beside the texts. The number
+    of parts is given, as a few bytes of digests become many cells. All rounds run in one task
+    for each part.
+    """
     cells, keys = F.col("cells"), ["key", "copy", "kind", "cells"]
     zero = F.lit(0).cast("long")
+    pairs = pairs.repartition(parts, "key", "copy")
     changes = F.concat(_changes(F.col("one"), 1, cells, seed), _changes(F.col("other"), -1, cells, seed))
 
     def settled(rows: DataFrame) -> DataFrame:
-        """Cells by number; those that are empty stay if they gave digests away."""
+        """Cells by number, without those that are empty; number -1 counts what a pair gave away."""
         cells = rows.groupBy(*keys, "c").agg(
             F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"), F.sum("got").alias("got")
         )
         return cells.where("n <> 0 or k <> 0 or got > 0")
 
-    rows = pairs.select(*keys, F.explode(changes).alias("x")).select(*keys, "x.*", zero.alias("got"))
+    rows = pairs.select(*keys, F.inline(changes)).withColumn("got", zero)
     rows = settled(rows)
     for t in range(ROUNDS):
         table = t % TABLES
         mine = F.floor(F.col("c") / (cells / TABLES)) == table
         pure = mine & (F.abs("n") == 1) & (check(F.col("k")) == F.col("h"))
         itself = F.struct("c", "n", "k", "h", "got")
-        # A cell that gives its digest away is empty, and counts what it gave.
-        given = F.struct(F.col("c"), zero.alias("n"), zero.alias("k"), zero.alias("h"), (F.col("got") + 1).alias("got"))
+        # A cell that gives its digest away is empty and goes. What a pair gave is counted in
+        # one row, so that a table shrinks from round to round.
+        given = F.struct(F.lit(-1).cast("long").alias("c"), zero.alias("n"), zero.alias("k"), zero.alias("h"), F.lit(1).cast("long").alias("got"))
         others = [
             F.struct(cell(F.col("k"), o, cells, seed).alias("c"), (-F.col("n")).alias("n"), "k", "h", zero.alias("got"))
             for o in range(TABLES)
             if o != table
         ]
-        rows = rows.select(*keys, F.explode(F.when(pure, F.array(given, *others)).otherwise(F.array(itself))).alias("x"))
-        rows = settled(rows.select(*keys, "x.*"))
+        rows = settled(rows.select(*keys, F.inline(F.when(pure, F.array(given, *others)).otherwise(F.array(itself)))))
     left = F.sum(F.when((F.col("n") != 0) | (F.col("k") != 0), 1).otherwise(0))
     done = rows.groupBy("key", "copy", "kind").agg(F.sum("got").cast("int").alias("found"), left.alias("_left"))
     return done.where("_left = 0").drop("_left")
@@ -301,13 +319,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for kind, found, other in (("edited", "_edited", "changed"), ("next", "_next", "following"))
     ]
     failed = tried.select("key", "copy", F.explode(F.filter(F.array(*pair), lambda p: p.isNotNull())).alias("p"))
-    failed = failed.select("key", "copy", "p.*")
+    # A key of bytes keeps Spark from its small map in front of every partial aggregate: each
+    # takes a page when the task starts and holds it until its round is over, and those of all
+    # rounds take all the memory of the task.
+    failed = failed.select(F.encode("key", "utf-8").alias("key"), "copy", "p.*")
     room = F.ceil((3 * (F.size("one") + F.size("other")) + 32) / TABLES) * TABLES
-    again = _peel_rows(failed.withColumn("cells", room.cast("long")), 1)
-    again = again.groupBy(F.col("key").alias("_key"), F.col("copy").alias("_copy")).agg(
+    again = _peel_rows(failed.withColumn("cells", room.cast("long")), 1, _parts(docs))
+    again = again.groupBy("key", "copy").agg(
         F.max(F.when(F.col("kind") == "edited", F.col("found"))).alias("_edited2"),
         F.max(F.when(F.col("kind") == "next", F.col("found"))).alias("_next2"),
     )
+    # It cannot be null: a filter for that would be pushed down to the rows, and their texts would
+    # be shuffled twice.
+    name = F.coalesce(F.decode("key", "utf-8"), F.lit("")).alias("_key")
+    again = again.select(name, F.col("copy").alias("_copy"), "_edited2", "_next2")
     done = tried.join(again, _same_row(), "left")
 
     def near(found: str, other: str) -> Column:

@@ -124,3 +124,27 @@ def test_table_in_a_row(spark):
 def test_no_python_in_the_plan(spark):
     plan = fp.fingerprints(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_rounds_leave_memory_to_the_task(spark):
+    """No stage holds a small map for each of the rounds, and pairs are dealt anew before them."""
+    rows = [(i, "\n".join(f"line {j} of {i}" for j in range(60))) for i in range(20)]
+    df = fp.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    check(df, rows)
+    done = df._jdf.queryExecution()
+    stages = done.debug().codegenToSeq()
+    maps = [len(set(re.findall(r"class (\w*FastHashMap\w*)", stages.apply(i)._2()))) for i in range(stages.size())]
+    assert max(maps) <= 1
+    plan = done.executedPlan().toString().split("Initial Plan")[0]
+    assert "REPARTITION_BY_NUM" in plan
+    # The texts are shuffled once.
+    assert len(re.findall(r"\bExchange hashpartitioning\(key#\d+, \d+\)", re.sub(r"ReusedExchange.*", "", plan))) == 1
+
+
+def test_parts_follow_the_paragraphs(spark, monkeypatch):
+    monkeypatch.setattr(fp, "PART", 10)
+    least = spark.sparkContext.defaultParallelism
+    rows = [(i, "x\n" * 99 if i % 2 else "x" * 99 * fp.PARAGRAPH) for i in range(100)]
+    docs = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+    assert least < fp._parts(docs) and abs(fp._parts(docs) - 1008) < 30
+    assert fp._parts(docs.where("doc_id < 0")) == least
